@@ -10,29 +10,41 @@ than the distance from the point to the outside of the block
 (empty block, or a candidate beyond the safe radius) move to the next,
 coarser grid; the last grid has one row of two cells, so its block is the
 whole globe and every point resolves.  Each level is one equi-join plus one
-aggregation; lineage is cut between levels with a reliable ``checkpoint()``.
+aggregation; each level is written once as a parquet table in the cluster's
+shared folder and read back, which cuts lineage (a lost executor re-runs one
+level, not the chain) and computes the level only once.
 
 Ties: distance rounded to 1e-6 km, then the smaller ``place_key`` wins.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import block_safe_radius_km, grid_col, grid_row, haversine_km, neighbour_cells
-from ..session import shared_dir
+from ..session import scratch_path
 from .hourly import split_rejects, with_station_key
-from .joins import maybe_broadcast
+from .joins import MAX_BROADCAST_ROWS, bounded_rows
 
-BASE_CELL_DEG = 360.0 / 256      # ~1.4 degrees: dense gazetteers resolve here
+BASE_CELL_DEG = None              # None: pick from the gazetteer's density
 GROWTH = 4                        # cell edge multiplier between levels
 _TIE_MARGIN_KM = 2e-6             # > rounding step of the distance
 
 
-def cell_sizes(base: float = BASE_CELL_DEG, growth: int = GROWTH) -> list[float]:
+def base_cell_for(n_places: int) -> float:
+    """Finest grid 360/2^k whose cell count does not exceed the number of places.
+
+    About one place per cell on average: a dense gazetteer (1e5 places) starts
+    at ~0.7 degree, a handful of places at 90 degrees.
+    """
+    k = int((math.log2(max(n_places, 1)) + 1) // 2)
+    return 360.0 / 2 ** min(max(k, 1), 12)
+
+
+def cell_sizes(base: float, growth: int = GROWTH) -> list[float]:
     sizes, c = [], base
     while c < 180.0:
         sizes.append(c)
@@ -47,7 +59,7 @@ def station_cells(raw: DataFrame, id_mode: str = "cell") -> DataFrame:
 
 
 def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: str = "LATITUDE",
-                  lon: str = "LONGITUDE", base_cell_deg: float = BASE_CELL_DEG,
+                  lon: str = "LONGITUDE", base_cell_deg: float | None = BASE_CELL_DEG,
                   growth: int = GROWTH) -> DataFrame:
     """For each point (unique ``key``), the nearest place of ``places``.
 
@@ -55,20 +67,24 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
     ``points`` plus (place_key, name, cc, distance_km); one row per key.
     """
     spark = points.sparkSession
-    shared_dir(spark)  # checkpoints go to the cluster's shared folder
+    work = scratch_path(spark, "nearest")
     place_cols = ["place_key", "name", "cc"]
     pl_base = places.select(*place_cols, F.col("lat").alias("_plat"), F.col("lon").alias("_plon"))
+    n_places = bounded_rows(pl_base)  # one count: broadcast decision and grid size
+    if n_places <= MAX_BROADCAST_ROWS:
+        pl_base = F.broadcast(pl_base)
+    if base_cell_deg is None:
+        base_cell_deg = base_cell_for(n_places)
     carry = [c for c in points.columns if c not in (key, lat, lon)]
     cols = [key, lat, lon, *carry]
     pending = points.select(*cols)
-    resolved = []
     sizes = cell_sizes(base_cell_deg, growth)
     for i, c in enumerate(sizes):
         last = i == len(sizes) - 1
         pts = pending.select(*cols, F.explode(neighbour_cells(F.col(lat), F.col(lon), c)).alias("_cell"))
         pts = pts.select(*cols, F.col("_cell.gr").alias("gr"), F.col("_cell.gc").alias("gc"))
         pl = pl_base.select("*", grid_row(F.col("_plat"), c).alias("gr"), grid_col(F.col("_plon"), c).alias("gc"))
-        cand = pts.join(maybe_broadcast(pl), ["gr", "gc"], "left")
+        cand = pts.join(pl, ["gr", "gc"], "left")
         dist = F.round(haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon")), 6)
         cand = cand.withColumn("_d", dist)
         order = F.when(F.col("place_key").isNotNull(), F.struct("_d", "place_key"))
@@ -80,14 +96,17 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
         else:
             ok = F.col("distance_km").isNotNull() & (
                 F.col("distance_km") + _TIE_MARGIN_KM < block_safe_radius_km(F.col(lat), F.col(lon), c))
-        best = best.withColumn("_ok", ok).checkpoint(eager=True)
-        resolved.append(best.filter("_ok").select(*cols, "_best.*", "distance_km"))
+        path = f"{work}/level={i}"
+        best = best.withColumn("_ok", ok)
+        best.write.mode("overwrite").parquet(path)
+        schema = best.schema
         if last:
             break
-        pending = best.filter(~F.col("_ok")).select(*cols)
+        pending = spark.read.schema(schema).parquet(path).filter(~F.col("_ok")).select(*cols)
         if pending.isEmpty():
             break
-    return reduce(lambda a, b: a.unionByName(b), resolved)
+    levels = spark.read.schema(schema).option("basePath", work).parquet(*[f"{work}/level={j}" for j in range(i + 1)])
+    return levels.filter("_ok").select(*cols, "_best.*", "distance_km")
 
 
 def place_label(name: str = "name", cc: str = "cc") -> F.Column:
@@ -96,7 +115,7 @@ def place_label(name: str = "name", cc: str = "cc") -> F.Column:
 
 
 def location_dimension(raw: DataFrame, places: DataFrame, id_mode: str = "cell",
-                       base_cell_deg: float = BASE_CELL_DEG) -> DataFrame:
+                       base_cell_deg: float | None = BASE_CELL_DEG) -> DataFrame:
     """One row per station key (D7): representative point, its city, point count.
 
     The representative point of a key is its smallest (LATITUDE, LONGITUDE);
@@ -112,7 +131,7 @@ def location_dimension(raw: DataFrame, places: DataFrame, id_mode: str = "cell",
 
 
 def located_points(raw: DataFrame, places: DataFrame, id_mode: str = "cell",
-                   base_cell_deg: float = BASE_CELL_DEG) -> DataFrame:
+                   base_cell_deg: float | None = BASE_CELL_DEG) -> DataFrame:
     """Every distinct coordinate with its id and nearest city (the per-point form)."""
     pts = station_cells(raw, id_mode).withColumn("_pt", F.concat_ws("|", "LATITUDE", "LONGITUDE"))
     near = nearest_place(pts, places, "_pt", "LATITUDE", "LONGITUDE", base_cell_deg)
