@@ -1,0 +1,77 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from meteocube.operators.hourly import hourly_fact, split_rejects
+from meteocube.operators.rollup import daily_rollup, daily_rollup_join_form, monthly_rollup, yearly_rollup
+
+from helpers import plan_text, raw_df
+
+ST = (33.68, -117.87)
+
+
+def test_numeric_min_max_not_lexicographic(spark):
+    # 9.0, 10.0, -5.0, -10.0 in one day -> min -10, max 10 (text order would give max 9.0)
+    raw = raw_df(spark, [(f"2020-01-01 {h:02d}:00", *ST, v, 1.0, 1.0, 1.0) for h, v in
+                         enumerate([9.0, 10.0, -5.0, -10.0])])
+    r = daily_rollup(hourly_fact(raw)).first()
+    assert (r.minTMP, r.maxTMP, r.avgTMP) == (-10.0, 10.0, 1.0)
+
+
+def test_half_up_rounding_both_signs(spark):
+    # Exact decimals, halves go away from zero
+    rows = []
+    for day, vals in enumerate([(-0.12, -0.13), (0.12, 0.13), (2.67, 2.68), (0.01, 0.02, 0.02)], start=1):
+        rows += [(f"2020-01-{day:02d} {h:02d}:00", *ST, v, None, None, None) for h, v in enumerate(vals)]
+    got = {r.DATE.day: r.avgTMP for r in daily_rollup(hourly_fact(raw_df(spark, rows))).collect()}
+    assert got == {1: -0.13, 2: 0.13, 3: 2.68, 4: 0.02}  # -0.125, 0.125, 2.675, 0.01666..
+
+
+def test_monthly_weighs_days_not_readings(spark):
+    rows = [("2020-01-01 00:00", *ST, 10.0, 0.0, 0.0, 0.0), ("2020-01-01 01:00", *ST, 10.0, 0.0, 0.0, 0.0),
+            ("2020-01-01 02:00", *ST, 10.0, 0.0, 0.0, 0.0), ("2020-01-02 00:00", *ST, 20.0, 0.0, 0.0, 0.0)]
+    daily = daily_rollup(hourly_fact(raw_df(spark, rows)))
+    m = monthly_rollup(daily).first()
+    assert m.avgTMP == 15.0            # reading-weighted would be 12.5
+    y = yearly_rollup(daily).first()
+    assert (y.avgTMP, y.avg_minTMP, y.minTMP, y.avg_maxTMP, y.maxTMP) == (15.0, 15.0, 10.0, 15.0, 20.0)
+
+
+def test_nulls_are_skipped_and_all_null_stays_null(spark):
+    rows = [("2020-01-01 00:00", *ST, None, 1.0, None, None), ("2020-01-01 01:00", *ST, None, 3.0, None, None)]
+    r = daily_rollup(hourly_fact(raw_df(spark, rows))).first()
+    assert r.avgTMP is None and r.minTMP is None and r.avgDEW == 2.0
+
+
+def test_null_keys_go_to_rejects(spark):
+    # A reading without time or coordinate never forms a group or a malformed id
+    rows = [("2020-01-01 00:00", *ST, 1.0, 1.0, 1.0, 1.0), ("2020-01-01 00:00", None, -117.87, 1.0, 1.0, 1.0, 1.0),
+            ("2020-01-01 00:00", 33.68, None, 1.0, 1.0, 1.0, 1.0)]
+    raw = raw_df(spark, rows)
+    raw = raw.unionByName(raw.limit(1).withColumn("DATE", F.lit(None).cast("timestamp_ntz")))
+    ok, bad = split_rejects(raw)
+    assert (ok.count(), bad.count()) == (1, 3)
+    assert [r.id for r in hourly_fact(raw).collect()] == ["12300-6213"]
+
+
+def test_join_form_equals_single_groupby(spark):
+    rows = [(f"2020-0{m}-0{d} {h:02d}:00", lat, -117.87, float(d * h - 3), float(h), 0.5, 1013.0 + h)
+            for m in (1, 2) for d in (1, 2) for h in (0, 5, 23) for lat in (33.68, 40.0)]
+    hourly = hourly_fact(raw_df(spark, rows))
+    a, b = daily_rollup(hourly), daily_rollup_join_form(hourly)
+    assert a.count() == 8
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_single_groupby_plan_has_one_exchange(spark):
+    hourly = hourly_fact(raw_df(spark, [("2020-01-01 00:00", *ST, 1.0, 1.0, 1.0, 1.0)]))
+    plan = plan_text(daily_rollup(hourly), "simple")
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "partial_sum" in plan
+
+
+def test_hourly_fact_schema(spark):
+    h = hourly_fact(raw_df(spark, [("2020-03-04 05:00", *ST, 1.0, 2.0, 3.0, 4.0)]))
+    assert h.columns == ["DATE", "TMP", "DEW", "WIND", "SLP", "id", "year", "month"]
+    r = h.first()
+    assert (r.year, r.month, r.WIND) == (2020, 3, 3.0)
