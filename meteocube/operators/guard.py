@@ -38,3 +38,12 @@ def value_range(df: DataFrame, column: str) -> DataFrame:
 def preview(df: DataFrame, order: list[str | Column], n: int = 5) -> DataFrame:
     """O3: first ``n`` rows in a stated order (a top-n, so the answer is deterministic)."""
     return df.orderBy(*order).limit(n)
+
+
+def fetch(df: DataFrame, cap: int = ROW_LIMIT):
+    """(status, pandas frame) -- the answer reaches the driver only after the guard passes.
+
+    At most ``cap`` rows ever travel to the driver; otherwise the frame is None.
+    """
+    status = check_result(df, cap)
+    return status, (df.toPandas() if status == OK else None)

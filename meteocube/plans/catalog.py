@@ -24,6 +24,7 @@ from ..session import scratch_path
 from ..sinks.parquet import materialize, write_table
 from ..sources import testtables as tt
 from ..sources.raw import read_csv
+from ..streaming.ingest import run_hourly_ingest
 from . import oracle as O
 from .build import Cube, build
 from .dispatch import query
@@ -111,6 +112,14 @@ def q_full_build_monthly(spark, sf_dir):
     return c.monthly()
 
 
+def q_stream_hourly_ingest(spark, sf_dir):
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "hourly-stream")
+    for obs in (tt.lineitem_observations(spark, sf_dir), tt.event_observations(spark, sf_dir)):
+        obs.write.mode("append").parquet(landing)  # two drops of station files
+    run_hourly_ingest(spark, landing, target, files_per_batch=1)
+    return spark.read.parquet(target)
+
+
 def _snap(name):
     level, metric, agg, (s, e) = SNAPSHOTS[name]
     return lambda spark, sf_dir: snapshot(cube(spark, sf_dir).table(level), cube(spark, sf_dir).locations(),
@@ -197,6 +206,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "layout_small_files": q_layout_small_files,
         "layout_single_file": q_layout_single_file,
         "full_build_monthly": q_full_build_monthly,
+        "stream_hourly_ingest": q_stream_hourly_ingest,
     }
     q.update({n: _snap(n) for n in SNAPSHOTS})
     q.update({n: _series(n) for n in SERIES})
@@ -263,6 +273,7 @@ def oracle_queries() -> dict[str, str]:
         "layout_small_files": w(*O.LI_DAILY) + "SELECT * FROM daily",
         "layout_single_file": w(*O.LI_DAILY, O.period_cte(["id", "year"], name="yearly")) + "SELECT * FROM yearly",
         "full_build_monthly": w(*O.LI_DAILY, O.period_cte(["id", "year", "month"])) + "SELECT * FROM monthly",
+        "stream_hourly_ingest": w(*O.ALL_OBS, O.hourly_cte("obs")) + "SELECT * FROM hourly",
     }
     sql.update({n: _snap_sql(*v) for n, v in SNAPSHOTS.items()})
     sql.update({n: _series_sql(*v) for n, v in SERIES.items()})

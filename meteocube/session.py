@@ -17,12 +17,17 @@ def shared_dir(spark: SparkSession) -> str:
     The same folder is installed as the RDD checkpoint directory so that
     ``DataFrame.checkpoint()`` writes there too.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get(_CONF_KEY, None) or sc.getConf().get(_CONF_KEY, None)
+    root = spark.conf.get(_CONF_KEY, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context; the server owns the setting
+        sc = None
+    if sc is not None:
+        root = root or sc.getConf().get(_CONF_KEY, None) or sc.getCheckpointDir()
     if not root:
         # Unset only in ad-hoc local sessions; a cluster always names one.
-        root = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="meteocube-ckpt-")
-    if sc.getCheckpointDir() is None:
+        root = tempfile.mkdtemp(prefix="meteocube-ckpt-")
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
