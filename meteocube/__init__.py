@@ -9,11 +9,11 @@ from .operators.hourly import hourly_fact, split_rejects
 from .operators.locations import location_dimension, nearest_place, station_cells
 from .operators.rollup import daily_rollup, daily_rollup_join_form, monthly_rollup, yearly_rollup
 from .plans.build import Cube, build
-from .plans.dispatch import check_request, query
+from .plans.dispatch import answer, check_request, query
 from .plans.queries import series, snapshot, station_listing
 
 __all__ = [
-    "Cube", "build", "check_request", "daily_rollup", "daily_rollup_join_form", "hourly_fact",
+    "Cube", "answer", "build", "check_request", "daily_rollup", "daily_rollup_join_form", "hourly_fact",
     "location_dimension", "monthly_rollup", "nearest_place", "query", "series", "snapshot",
     "split_rejects", "station_cells", "station_listing", "yearly_rollup",
 ]

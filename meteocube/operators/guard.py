@@ -40,10 +40,12 @@ def preview(df: DataFrame, order: list[str | Column], n: int = 5) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def fetch(df: DataFrame, cap: int = ROW_LIMIT):
+def fetch(df: DataFrame, cap: int = ROW_LIMIT, count_df: DataFrame | None = None):
     """(status, pandas frame) -- the answer reaches the driver only after the guard passes.
 
     At most ``cap`` rows ever travel to the driver; otherwise the frame is None.
+    ``count_df`` is the same answer without its final sort, if the caller has it
+    (counting a sorted plan under a limit costs a top-k).
     """
-    status = check_result(df, cap)
+    status = check_result(count_df if count_df is not None else df, cap)
     return status, (df.toPandas() if status == OK else None)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..operators.guard import OK, check_result
+from ..schema import ROW_LIMIT
+
 from ..functions.calendar import parse_day
 from ..schema import (LEVELS, MAX_DAYS_DAILY_SNAPSHOT, MAX_DAYS_HOURLY_SERIES, MAX_DAYS_HOURLY_SNAPSHOT)
 from .build import Cube
@@ -30,11 +33,25 @@ def check_request(level: str, metric: str, agg: str, start, end, station: str |
         raise ValueError(f"at most {MAX_DAYS_HOURLY_SERIES} days of hourly data for one station")
 
 
-def query(cube: Cube, level: str, metric: str, agg: str, start, end, station: str | None = None) -> DataFrame:
+def query(cube: Cube, level: str, metric: str, agg: str, start, end, station: str | None = None,
+          ordered: bool = True) -> DataFrame:
     """Series for one station when ``station`` is given, else a snapshot of all."""
     check_request(level, metric, agg, start, end, station)
     table = cube.table(level)
     station = (station or "").strip()
     if station:
-        return series(table, level, metric, agg, start, end, station)
-    return snapshot(table, cube.locations(), level, metric, agg, start, end)
+        return series(table, level, metric, agg, start, end, station, ordered)
+    return snapshot(table, cube.locations(), level, metric, agg, start, end, ordered)
+
+
+def answer(cube: Cube, level: str, metric: str, agg: str, start, end, station: str | None = None,
+           cap: int = ROW_LIMIT):
+    """The request's answer for a caller: (status, pandas frame or None).
+
+    The size check counts the unsorted plan (at most cap+1 rows); only an
+    answer within the cap is sorted and moved to the driver.
+    """
+    status = check_result(query(cube, level, metric, agg, start, end, station, ordered=False), cap)
+    if status != OK:
+        return status, None
+    return status, query(cube, level, metric, agg, start, end, station).toPandas()

@@ -51,22 +51,28 @@ def _facts(table: DataFrame, level: str, col: str, start, end) -> tuple[DataFram
 
 
 def snapshot(table: DataFrame, locations: DataFrame, level: str, metric: str, agg: str,
-             start, end) -> DataFrame:
-    """Q1-Q4: all stations in [start, end] with city and coordinates."""
+             start, end, ordered: bool = True) -> DataFrame:
+    """Q1-Q4: all stations in [start, end] with city and coordinates.
+
+    ``ordered=False`` leaves out the final sort (for counting or aggregating the
+    answer: a limit over a sorted plan would become a top-k).
+    """
     col = value_column(level, agg, metric)
     facts, time_cols = _facts(table, level, col, start, end)
     dim = locations.select("id", "city", "LATITUDE", "LONGITUDE")
-    out = join_small(facts, dim, "id", "left")
-    return out.select(*facts.columns, "city", "LATITUDE", "LONGITUDE").orderBy(*time_cols, "id")
+    out = join_small(facts, dim, "id", "left").select(*facts.columns, "city", "LATITUDE", "LONGITUDE")
+    return out.orderBy(*time_cols, "id") if ordered else out
 
 
-def series(table: DataFrame, level: str, metric: str, agg: str, start, end, station: str) -> DataFrame:
+def series(table: DataFrame, level: str, metric: str, agg: str, start, end, station: str,
+           ordered: bool = True) -> DataFrame:
     """Q5-Q8: one station's values over [start, end]."""
     col = value_column(level, agg, metric)
     if not station:
         raise ValueError("series needs a station id")
     facts, time_cols = _facts(table.filter(F.col("id") == F.lit(station)), level, col, start, end)
-    return facts.drop("id").orderBy(*time_cols)
+    out = facts.drop("id")
+    return out.orderBy(*time_cols) if ordered else out
 
 
 def station_listing(locations: DataFrame) -> DataFrame:

@@ -134,3 +134,18 @@ def test_csv_bad_text_becomes_null_and_rejected(spark, tmp_dir):
     from meteocube.operators.hourly import split_rejects
     ok, bad = split_rejects(df)
     assert (ok.count(), bad.count()) == (1, 2)
+
+
+def test_answer_counts_unsorted_and_returns_sorted(cube):
+    from meteocube.plans.dispatch import answer
+
+    status, pdf = answer(cube, "daily", "TMP", "avg", "2020-01-01", "2020-01-05")
+    assert status == "ok" and list(pdf["DATE"].astype(str)) == [f"2020-01-0{d}" for d in range(1, 6)]
+    assert answer(cube, "daily", "TMP", "avg", "2020-01-01", "2020-01-05", cap=2) == ("Too Large", None)
+    assert answer(cube, "yearly", "TMP", "avg", "2030-01-01", "2031-01-05") == ("No Data", None)
+
+
+def test_guard_plan_has_no_top_k(cube):
+    df = snapshot(cube.daily(), cube.locations(), "daily", "TMP", "avg", "2020-01-01", "2020-01-31", ordered=False)
+    plan = plan_text(guard_status(df), "simple")
+    assert "TakeOrdered" not in plan and "Sort [" not in plan
