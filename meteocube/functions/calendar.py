@@ -53,10 +53,11 @@ def day_range(start, end, date_col: str = "DATE") -> Column:
 def hour_range(start, end, ts_col: str = "DATE") -> Column:
     """From start 00:00 up to the end of the end day on a timestamp (F2)."""
     s, e = parse_day(start), parse_day(end)
-    lo = dt.datetime.combine(s, dt.time())
-    hi = dt.datetime.combine(e + dt.timedelta(days=1), dt.time())
+    # Bounds from text: a Python datetime literal would pass through the local/session time zone.
+    lo = F.lit(f"{s.isoformat()} 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{(e + dt.timedelta(days=1)).isoformat()} 00:00:00").cast("timestamp_ntz")
     ts = F.col(ts_col)
-    return _month_span(s, e) & (ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz"))
+    return _month_span(s, e) & (ts >= lo) & (ts < hi)
 
 
 def month_range(start, end) -> Column:

@@ -21,7 +21,7 @@ from ..operators.hourly import hourly_fact
 from ..operators.locations import BASE_CELL_DEG, location_dimension
 from ..operators.rollup import daily_rollup, monthly_rollup, yearly_rollup
 from ..sinks.parquet import materialize, write_sorted, write_table
-from ..sources.raw import register_views
+from ..sources.raw import read_csv, register_views
 
 TABLES = ("hourly", "daily", "monthly", "yearly", "locations")
 VIEW_NAMES = {"hourly": "hourly_view", "daily": "daily_view", "monthly": "monthly_view",
@@ -61,6 +61,16 @@ class Cube:
         return dict(VIEW_NAMES)
 
 
+def ingest_csv(spark: SparkSession, csv_dir: str, parquet_dir: str) -> DataFrame:
+    """Stage 1: header CSV (read as text, typed with try_cast) -> parquet; returns the written table.
+
+    The rebalance lets AQE size the output files independently of how the
+    CSV files were cut.
+    """
+    write_table(read_csv(spark, csv_dir), parquet_dir, (), "clustered")
+    return spark.read.parquet(parquet_dir)
+
+
 def build(spark: SparkSession, raw: DataFrame, places: DataFrame, root: str, layout: str = "clustered",
           id_mode: str = "cell", base_cell_deg: float | None = BASE_CELL_DEG) -> Cube:
     """Q11: write all five tables under ``root`` and return the handle."""

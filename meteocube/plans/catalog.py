@@ -23,10 +23,9 @@ from ..operators.rollup import daily_rollup, daily_rollup_join_form, monthly_rol
 from ..session import scratch_path
 from ..sinks.parquet import materialize, write_table
 from ..sources import testtables as tt
-from ..sources.raw import read_csv
 from ..streaming.ingest import run_hourly_ingest
 from . import oracle as O
-from .build import Cube, build
+from .build import Cube, build, ingest_csv
 from .dispatch import query
 from .queries import snapshot, series, station_listing
 
@@ -88,7 +87,8 @@ def _li_daily(spark, sf_dir):
 def q_csv_ingest(spark, sf_dir):
     path = scratch_path(spark, "raw-csv")
     tt.lineitem_observations(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
-    return read_csv(spark, path).select("DATE", "LATITUDE", "LONGITUDE", "TMP", "DEW", "WND_RATE", "SLP")
+    converted = ingest_csv(spark, path, scratch_path(spark, "raw-parquet"))
+    return converted.select("DATE", "LATITUDE", "LONGITUDE", "TMP", "DEW", "WND_RATE", "SLP")
 
 
 def q_partitioned_roundtrip(spark, sf_dir):

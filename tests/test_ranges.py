@@ -51,3 +51,16 @@ def test_range_prunes_partitions_and_pushes_date(spark, calendar, tmp_dir):
     assert part and "year" in part[0] and "month" in part[0]
     assert pushed and "DATE" in pushed[0] and "GreaterThanOrEqual" in pushed[0]
     assert spark.read.parquet(path).filter(day_range("2020-01-15", "2020-02-10")).count() == 27
+
+
+def test_hour_range_ignores_session_time_zone(spark):
+    ts = [dt.datetime(2022, 12, 29, 23), dt.datetime(2022, 12, 30, 0), dt.datetime(2022, 12, 31, 0)]
+    df = spark.createDataFrame([(t,) for t in ts], "DATE timestamp_ntz").withColumns(
+        {"year": F.year("DATE"), "month": F.month("DATE")})
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert [r.DATE for r in df.filter(hour_range("2022-12-30", "2022-12-30")).collect()] == ts[1:2]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
