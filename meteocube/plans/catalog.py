@@ -170,6 +170,14 @@ def q_preview(spark, sf_dir):
     return preview(cube(spark, sf_dir).yearly(), ["id", "year"], 5)
 
 
+def q_table_counts(spark, sf_dir):
+    """A5: row count of every stored table, one Spark job over the union of counts."""
+    c = cube(spark, sf_dir)
+    parts = [c.table(t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
+             for t in ("hourly", "daily", "monthly", "yearly", "locations")]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def q_query_dispatch(spark, sf_dir):
     c = cube(spark, sf_dir)
     parts = []
@@ -217,6 +225,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "value_range": q_value_range,
         "result_guard": q_result_guard,
         "preview": q_preview,
+        "table_counts": q_table_counts,
         "query_dispatch": q_query_dispatch,
     })
     return q
@@ -284,6 +293,9 @@ def oracle_queries() -> dict[str, str]:
                           f"{_snap_sql('daily', 'TMP', 'avg', DAILY_RANGE)})")
     sql["result_guard"] = "\nUNION ALL\n".join(O.guard_sql(n, _snap_sql(*v)) for n, v in SNAPSHOTS.items())
     sql["preview"] = w(*O.CUBE) + "SELECT * FROM yearly ORDER BY id, year LIMIT 5"
+    sql["table_counts"] = w(*O.CUBE) + "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}"
+        for t in ("hourly", "daily", "monthly", "yearly", "locations"))
     parts = []
     for level, metric, agg, r in SERIES.values():
         col = f"{agg}{metric}"
