@@ -81,7 +81,8 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
     sizes = cell_sizes(base_cell_deg, growth)
     for i, c in enumerate(sizes):
         last = i == len(sizes) - 1
-        pts = pending.select(*cols, F.explode(neighbour_cells(F.col(lat), F.col(lon), c)).alias("_cell"))
+        # explode_outer: a point without coordinates still reaches the output (with no place)
+        pts = pending.select(*cols, F.explode_outer(neighbour_cells(F.col(lat), F.col(lon), c)).alias("_cell"))
         pts = pts.select(*cols, F.col("_cell.gr").alias("gr"), F.col("_cell.gc").alias("gc"))
         pl = pl_base.select("*", grid_row(F.col("_plat"), c).alias("gr"), grid_col(F.col("_plon"), c).alias("gc"))
         cand = pts.join(pl, ["gr", "gc"], "left")
@@ -110,8 +111,8 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
 
 
 def place_label(name: str = "name", cc: str = "cc") -> F.Column:
-    """P12: 'name, cc'."""
-    return F.concat_ws(", ", F.col(name), F.col(cc))
+    """P12: 'name, cc' (NULL when no place was found)."""
+    return F.when(F.col(name).isNotNull(), F.concat_ws(", ", F.col(name), F.col(cc)))
 
 
 def location_dimension(raw: DataFrame, places: DataFrame, id_mode: str = "cell",

@@ -15,13 +15,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import period_label
 from ..operators.guard import guard_status, preview, value_range
 from ..operators.hourly import hourly_fact
 from ..operators.locations import location_dimension, located_points, station_cells
 from ..operators.rollup import daily_rollup, daily_rollup_join_form, monthly_rollup, yearly_rollup
 from ..session import scratch_path
-from ..sinks.parquet import materialize, write_table
+from ..sinks.parquet import materialize
 from ..sources import testtables as tt
 from ..streaming.ingest import run_hourly_ingest
 from . import oracle as O

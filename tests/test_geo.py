@@ -65,3 +65,23 @@ def test_grid_levels():
     assert cell_sizes(360.0 / 256)[-1] == 180.0
     assert base_cell_for(25) == 90.0
     assert base_cell_for(150_000) == 360.0 / 512
+
+
+def test_every_point_appears_once_even_without_places_or_coordinates(spark):
+    pts = spark.createDataFrame([("a", 10.0, 10.0), ("b", None, None)], "k string, LATITUDE double, LONGITUDE double")
+    none = spark.createDataFrame([], "place_key long, name string, cc string, lat double, lon double")
+    rows = sorted(nearest_place(pts, none, "k").collect())
+    assert [(r.k, r.place_key) for r in rows] == [("a", None), ("b", None)]
+    some = spark.createDataFrame([(1, "X", "YY", 0.0, 0.0)], "place_key long, name string, cc string, lat double, lon double")
+    rows = sorted(nearest_place(pts, some, "k").collect())
+    assert [(r.k, r.place_key) for r in rows] == [("a", 1), ("b", None)]
+
+
+def test_location_dimension_city_null_without_places(spark):
+    from meteocube.operators.locations import location_dimension
+
+    from helpers import raw_df
+
+    raw = raw_df(spark, [("2020-01-01 00:00", 33.68, -117.87, 1.0, 1.0, 1.0, 1.0)])
+    none = spark.createDataFrame([], "place_key long, name string, cc string, lat double, lon double")
+    assert [r.city for r in location_dimension(raw, none).collect()] == [None]
