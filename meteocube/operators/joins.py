@@ -21,12 +21,16 @@ def bounded_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> int:
     return df.limit(limit + 1).count()
 
 
-def maybe_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when it is proven to have at most ``limit`` rows."""
-    return F.broadcast(df) if bounded_rows(df, limit) <= limit else df
+def maybe_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` when it is proven to have at most ``limit`` rows.
+
+    ``rows`` is an already measured (bounded) count of ``df``, if the caller has one.
+    """
+    n = bounded_rows(df, limit) if rows is None else rows
+    return F.broadcast(df) if n <= limit else df
 
 
 def join_small(big: DataFrame, small: DataFrame, on: str | list[str] | Column, how: str = "inner",
-               limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               limit: int = MAX_BROADCAST_ROWS, small_rows: int | None = None) -> DataFrame:
     """Join ``big`` with ``small``, broadcasting ``small`` only under the bound."""
-    return big.join(maybe_broadcast(small, limit), on, how)
+    return big.join(maybe_broadcast(small, limit, small_rows), on, how)

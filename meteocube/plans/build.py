@@ -15,10 +15,12 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.hourly import hourly_fact
+from ..operators.joins import MAX_BROADCAST_ROWS, bounded_rows
 from ..operators.locations import BASE_CELL_DEG, location_dimension
 from ..operators.rollup import daily_rollup, monthly_rollup, yearly_rollup
 from ..sinks.parquet import materialize, write_sorted, write_table
@@ -56,6 +58,11 @@ class Cube:
     def locations(self) -> DataFrame:
         return self.table("locations")
 
+    @cached_property
+    def location_rows(self) -> int:
+        """Row count of the stored dimension (bounded at the broadcast limit + 1), measured once."""
+        return bounded_rows(self.locations(), MAX_BROADCAST_ROWS)
+
     def register_views(self) -> dict[str, str]:
         """The five tables as temp views for ``spark.sql``."""
         register_views({VIEW_NAMES[t]: self.table(t) for t in TABLES})

@@ -50,7 +50,7 @@ SERIES = {
 }
 # --- end of fixed values ---
 
-_cubes: dict[tuple[str, str], str] = {}
+_cubes: dict[tuple[str, str], Cube] = {}
 
 
 def all_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,17 +62,19 @@ def cube(spark: SparkSession, sf_dir: str) -> Cube:
     from ..session import shared_dir
 
     key = (shared_dir(spark), sf_dir.rstrip("/"))
-    root = _cubes.get(key)
-    if root is not None:
+    c = _cubes.get(key)
+    if c is not None:
+        if c.spark is not spark:  # same files, caller's session
+            c = _cubes[key] = Cube(spark, c.root)
         try:
-            spark.read.parquet(f"{root}/yearly").schema  # still there?
+            spark.read.parquet(f"{c.root}/yearly").schema  # still there?
         except Exception:
-            root = None
-    if root is None:
-        root = scratch_path(spark, "cube")
-        build(spark, all_observations(spark, sf_dir), tt.nation_gazetteer(spark, sf_dir), root)
-        _cubes[key] = root
-    return Cube(spark, root)
+            c = None
+    if c is None:
+        c = build(spark, all_observations(spark, sf_dir), tt.nation_gazetteer(spark, sf_dir),
+                  scratch_path(spark, "cube"))
+        _cubes[key] = c
+    return c
 
 
 def _li_hourly(spark, sf_dir):
@@ -121,8 +123,11 @@ def q_stream_hourly_ingest(spark, sf_dir):
 
 def _snap(name, ordered=True):
     level, metric, agg, (s, e) = SNAPSHOTS[name]
-    return lambda spark, sf_dir: snapshot(cube(spark, sf_dir).table(level), cube(spark, sf_dir).locations(),
-                                          level, metric, agg, s, e, ordered)
+
+    def run(spark, sf_dir):
+        c = cube(spark, sf_dir)
+        return snapshot(c.table(level), c.locations(), level, metric, agg, s, e, ordered, c.location_rows)
+    return run
 
 
 def _series(name):
@@ -131,8 +136,10 @@ def _series(name):
 
 
 def _range(r):
-    return lambda spark, sf_dir: snapshot(cube(spark, sf_dir).daily(), cube(spark, sf_dir).locations(),
-                                          "daily", "TMP", "avg", *r)
+    def run(spark, sf_dir):
+        c = cube(spark, sf_dir)
+        return snapshot(c.daily(), c.locations(), "daily", "TMP", "avg", *r, location_rows=c.location_rows)
+    return run
 
 
 SQL_VIEW_QUERY = """

@@ -41,7 +41,7 @@ def query(cube: Cube, level: str, metric: str, agg: str, start, end, station: st
     station = (station or "").strip()
     if station:
         return series(table, level, metric, agg, start, end, station, ordered)
-    return snapshot(table, cube.locations(), level, metric, agg, start, end, ordered)
+    return snapshot(table, cube.locations(), level, metric, agg, start, end, ordered, cube.location_rows)
 
 
 def answer(cube: Cube, level: str, metric: str, agg: str, start, end, station: str | None = None,

@@ -51,16 +51,18 @@ def _facts(table: DataFrame, level: str, col: str, start, end) -> tuple[DataFram
 
 
 def snapshot(table: DataFrame, locations: DataFrame, level: str, metric: str, agg: str,
-             start, end, ordered: bool = True) -> DataFrame:
+             start, end, ordered: bool = True, location_rows: int | None = None) -> DataFrame:
     """Q1-Q4: all stations in [start, end] with city and coordinates.
 
     ``ordered=False`` leaves out the final sort (for counting or aggregating the
-    answer: a limit over a sorted plan would become a top-k).
+    answer: a limit over a sorted plan would become a top-k).  ``location_rows``
+    is a measured row count of ``locations`` (skips the broadcast check's count).
     """
     col = value_column(level, agg, metric)
     facts, time_cols = _facts(table, level, col, start, end)
     dim = locations.select("id", "city", "LATITUDE", "LONGITUDE")
-    out = join_small(facts, dim, "id", "left").select(*facts.columns, "city", "LATITUDE", "LONGITUDE")
+    out = join_small(facts, dim, "id", "left", small_rows=location_rows).select(
+        *facts.columns, "city", "LATITUDE", "LONGITUDE")
     return out.orderBy(*time_cols, "id") if ordered else out
 
 
