@@ -26,7 +26,7 @@ from ..streaming.ingest import run_hourly_ingest
 from . import oracle as O
 from .build import Cube, build, ingest_csv
 from .dispatch import query
-from .queries import snapshot, series, station_listing
+from .queries import series, snapshot, station_listing, value_column
 
 # --- fixed request parameters of the registered queries (see FIXTURES.md) ---
 DAILY_RANGE = ("1997-01-01", "1997-01-24")
@@ -189,7 +189,7 @@ def q_query_dispatch(spark, sf_dir):
     parts = []
     for name, (level, metric, agg, (s, e)) in SERIES.items():
         df = query(c, level, metric, agg, s, e, STATION)
-        col = f"{agg}{metric}"
+        col = value_column(level, agg, metric)
         if level == "hourly":
             t = F.date_format("DATE", "yyyy-MM-dd HH:mm:ss")
         elif level == "daily":

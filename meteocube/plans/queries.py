@@ -24,12 +24,17 @@ from ..schema import ALLOWED_AGGS, LEVELS, METRICS
 
 
 def value_column(level: str, agg: str, metric: str) -> str:
-    """The measure column a request names, checked against the fixed sets."""
+    """The measure column a request names, checked against the fixed sets.
+
+    Hourly values are raw readings: the aggregation of a request is ignored there.
+    """
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}, got {level!r}")
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}, got {metric!r}")
     agg = agg or ""
+    if level == "hourly":
+        return metric
     if agg not in ALLOWED_AGGS[level]:
         raise ValueError(f"agg {agg!r} not allowed at level {level!r}; allowed: {ALLOWED_AGGS[level]}")
     return f"{agg}{metric}"

@@ -149,3 +149,9 @@ def test_guard_plan_has_no_top_k(cube):
     df = snapshot(cube.daily(), cube.locations(), "daily", "TMP", "avg", "2020-01-01", "2020-01-31", ordered=False)
     plan = plan_text(guard_status(df), "simple")
     assert "TakeOrdered" not in plan and "Sort [" not in plan
+
+
+def test_hourly_ignores_agg(cube):
+    check_request("hourly", "TMP", "avg", "2020-01-01", "2020-01-02")
+    df = query(cube, "hourly", "TMP", "max", "2020-01-05", "2020-01-05", "12300-6213")
+    assert df.columns == ["DATE", "TMP"]
