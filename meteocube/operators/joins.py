@@ -17,8 +17,13 @@ MAX_BROADCAST_ROWS = 2_000_000
 
 
 def bounded_rows(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> int:
-    """Row count of ``df``, but never counts past ``limit + 1``."""
-    return df.limit(limit + 1).count()
+    """Row count of ``df``, reported up to ``limit + 1``.
+
+    A plain distributed count (partial counts per task, one row per task to the
+    final sum).  ``limit(n).count()`` would instead funnel up to n rows of every
+    partition through one task.
+    """
+    return min(df.count(), limit + 1)
 
 
 def maybe_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
