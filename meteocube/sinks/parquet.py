@@ -44,7 +44,7 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), la
     if layout == "clustered":
         out = _clustered(df, partition_by, sort_by)
     elif layout == "single_file":
-        if df.count() <= SINGLE_FILE_ROWS:  # distributed count; the table is computed twice only when small
+        if df.count() <= SINGLE_FILE_ROWS:  # distributed count (evaluates the input once more)
             out = df.repartition(1)
             order = (*partition_by, *sort_by)
             out = out.sortWithinPartitions(*order) if order else out
