@@ -202,6 +202,12 @@ def q_query_dispatch(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily series of the fixed station, from the readings without a stored cube."""
+    level, metric, agg, (s, e) = SERIES["series_daily"]
+    return series(daily_rollup(hourly_fact(all_observations(spark, sf_dir))), level, metric, agg, s, e, STATION)
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "csv_ingest": q_csv_ingest,

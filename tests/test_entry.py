@@ -29,3 +29,10 @@ def test_some_queries_match_oracle_at_smallest_scale(spark):
         cols = [d[0] for d in cur.description]
         want = sorted((tuple(sorted(zip(cols, r))) for r in cur.fetchall()), key=repr)
         assert got == want, name
+
+
+def test_flagship_equals_registered_series(spark):
+    a = E.entry(spark)
+    b = E.queries()["series_daily"](spark, "/root/testdata/sf0.001")
+    assert a.schema == b.schema
+    assert a.collect() == b.collect()
