@@ -14,7 +14,7 @@ another.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,15 +33,22 @@ VIEW_NAMES = {"hourly": "hourly_view", "daily": "daily_view", "monthly": "monthl
 
 @dataclass(frozen=True)
 class Cube:
-    """Stored cube tables under one root folder."""
+    """Stored cube tables under one root folder.
+
+    The tables are immutable once built, so each is opened once per handle
+    (one schema read), and the DataFrame is reused by every query.
+    """
 
     spark: SparkSession
     root: str
+    _frames: dict = field(default_factory=dict, repr=False, compare=False)
 
     def table(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise ValueError(f"unknown table {name!r}; one of {TABLES}")
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.root}/{name}")
+        return self._frames[name]
 
     def hourly(self) -> DataFrame:
         return self.table("hourly")

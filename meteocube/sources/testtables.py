@@ -35,8 +35,17 @@ SERIES_ID = "1700-1237"       # suppliers 2 and 3, present at every scale
 # --- end of fixed values ---
 
 
+_opened: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's tables; opened once per session (the files are read-only)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _opened.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _opened[key] = spark.read.parquet(path)
+    return df
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
