@@ -63,17 +63,12 @@ def cube(spark: SparkSession, sf_dir: str) -> Cube:
 
     key = (shared_dir(spark), sf_dir.rstrip("/"))
     c = _cubes.get(key)
-    if c is not None:
-        if c.spark is not spark:  # same files, caller's session
-            c = _cubes[key] = Cube(spark, c.root)
-        try:
-            spark.read.parquet(f"{c.root}/yearly").schema  # still there?
-        except Exception:
-            c = None
     if c is None:
         c = build(spark, all_observations(spark, sf_dir), tt.nation_gazetteer(spark, sf_dir),
                   scratch_path(spark, "cube"))
-        _cubes[key] = c
+    elif c.spark is not spark:  # same files, the caller's session
+        c = Cube(spark, c.root)
+    _cubes[key] = c
     return c
 
 
