@@ -14,7 +14,11 @@ aggregation; each level is written once as a parquet table in the cluster's
 shared folder and read back, which cuts lineage (a lost executor re-runs one
 level, not the chain) and computes the level only once.
 
-Ties: distance rounded to 1e-6 km, then the smaller ``place_key`` wins.
+Ties: distance rounded to 1e-6 km, then the smaller ``place_key`` wins.  When
+place keys fit in 28 bits (checked in the same job that counts the places),
+(distance in 1e-6 km, place_key) is packed into one long, so the arg-min is a
+plain ``min`` that hash-aggregates with a fixed-width buffer; otherwise a
+``min_by`` over a struct ordering does the same (sort-based aggregation).
 """
 
 from __future__ import annotations
@@ -23,15 +27,17 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.geo import block_safe_radius_km, grid_col, grid_row, haversine_km, neighbour_cells
 from ..session import scratch_path
 from .hourly import split_rejects, with_station_key
-from .joins import MAX_BROADCAST_ROWS, bounded_rows
+from .joins import MAX_BROADCAST_ROWS
 
 BASE_CELL_DEG = None              # None: pick from the gazetteer's density
 GROWTH = 4                        # cell edge multiplier between levels
 _TIE_MARGIN_KM = 2e-6             # > rounding step of the distance
+KEY_BITS = 28                     # place keys in [0, 2^28) pack beside a 35-bit distance
 
 
 def base_cell_for(n_places: int) -> float:
@@ -70,8 +76,14 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
     work = scratch_path(spark, "nearest")
     place_cols = ["place_key", "name", "cc"]
     pl_base = places.select(*place_cols, F.col("lat").alias("_plat"), F.col("lon").alias("_plon"))
-    n_places = bounded_rows(pl_base)  # one count: broadcast decision and grid size
-    if n_places <= MAX_BROADCAST_ROWS:
+    # One job: broadcast decision, grid size and whether keys pack into a long.
+    stats = pl_base.agg(F.count(F.lit(1)).alias("n"), F.min("place_key").alias("lo"),
+                        F.max("place_key").alias("hi")).first()
+    n_places = stats["n"]
+    packed = isinstance(places.schema["place_key"].dataType, (T.IntegerType, T.LongType, T.ShortType)) and (
+        n_places == 0 or (stats["lo"] >= 0 and stats["hi"] < 2 ** KEY_BITS))
+    small = n_places <= MAX_BROADCAST_ROWS
+    if small:
         pl_base = F.broadcast(pl_base)
     if base_cell_deg is None:
         base_cell_deg = base_cell_for(n_places)
@@ -81,17 +93,7 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
     sizes = cell_sizes(base_cell_deg, growth)
     for i, c in enumerate(sizes):
         last = i == len(sizes) - 1
-        # explode_outer: a point without coordinates still reaches the output (with no place)
-        pts = pending.select(*cols, F.explode_outer(neighbour_cells(F.col(lat), F.col(lon), c)).alias("_cell"))
-        pts = pts.select(*cols, F.col("_cell.gr").alias("gr"), F.col("_cell.gc").alias("gc"))
-        pl = pl_base.select("*", grid_row(F.col("_plat"), c).alias("gr"), grid_col(F.col("_plon"), c).alias("gc"))
-        cand = pts.join(pl, ["gr", "gc"], "left")
-        dist = F.round(haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon")), 6)
-        cand = cand.withColumn("_d", dist)
-        order = F.when(F.col("place_key").isNotNull(), F.struct("_d", "place_key"))
-        best = cand.groupBy(*cols).agg(
-            F.min_by(F.struct(*place_cols), order).alias("_best"), F.min("_d").alias("distance_km")
-        )
+        best = _level(pending, pl_base, cols, lat, lon, c, packed)
         if last:
             ok = F.lit(True)
         else:
@@ -107,7 +109,35 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
         if pending.isEmpty():
             break
     levels = spark.read.schema(schema).option("basePath", work).parquet(*[f"{work}/level={j}" for j in range(i + 1)])
-    return levels.filter("_ok").select(*cols, "_best.*", "distance_km")
+    found = levels.filter("_ok")
+    if packed:  # name and cc of the winning key
+        names = places.select("place_key", "name", "cc")
+        found = found.join(F.broadcast(names) if small else names, "place_key", "left")
+    return found.select(*cols, *place_cols, "distance_km")
+
+
+def _level(pending: DataFrame, places: DataFrame, cols: list[str], lat: str, lon: str, c: float,
+           packed: bool) -> DataFrame:
+    """Best place per point among the 3x3 block of cells of edge ``c`` (one equi-join + one aggregate)."""
+    # explode_outer: a point without coordinates still reaches the output (with no place)
+    pts = pending.select(*cols, F.explode_outer(neighbour_cells(F.col(lat), F.col(lon), c)).alias("_cell"))
+    pts = pts.select(*cols, F.col("_cell.gr").alias("gr"), F.col("_cell.gc").alias("gc"))
+    pl = places.select("*", grid_row(F.col("_plat"), c).alias("gr"), grid_col(F.col("_plon"), c).alias("gc"))
+    dist = haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon"))
+    if packed:
+        cand = pts.join(pl.select("place_key", "_plat", "_plon", "gr", "gc"), ["gr", "gc"], "left")
+        units = F.round(dist * 1e6).cast("long")
+        order = F.when(F.col("place_key").isNotNull(), F.shiftleft(units, KEY_BITS) + F.col("place_key"))
+        return cand.groupBy(*cols).agg(F.min(order).alias("_ord")).select(
+            *cols,
+            (F.col("_ord") % (2 ** KEY_BITS)).alias("place_key"),
+            (F.shiftright("_ord", KEY_BITS) / 1e6).alias("distance_km"))
+    cand = pts.join(pl, ["gr", "gc"], "left")
+    dist = F.round(dist, 6)
+    order = F.when(F.col("place_key").isNotNull(), F.struct(dist.alias("_d"), "place_key"))
+    return cand.groupBy(*cols).agg(
+        F.min_by(F.struct("place_key", "name", "cc"), order).alias("_best"), F.min(dist).alias("distance_km")
+    ).select(*cols, "_best.*", "distance_km")
 
 
 def place_label(name: str = "name", cc: str = "cc") -> F.Column:

@@ -40,10 +40,12 @@ def rnd_places(rng, n, clustered=False):
     return out
 
 
-@pytest.mark.parametrize("base", [360.0 / 2048, 360.0 / 256, 360.0 / 16, None])
-def test_grid_matches_brute_force(spark, base):
+@pytest.mark.parametrize("base,key_offset", [(360.0 / 2048, 0), (360.0 / 256, 0), (360.0 / 16, 0), (None, 0),
+                                             (360.0 / 256, 2 ** 40), (None, -5)])
+def test_grid_matches_brute_force(spark, base, key_offset):
+    # key_offset outside [0, 2^28) exercises the struct-ordering path instead of the packed one
     rng = random.Random(7)
-    places = rnd_places(rng, 300, clustered=True)
+    places = [(k + key_offset, *rest) for k, *rest in rnd_places(rng, 300, clustered=True)]
     points = [(f"p{i}", round(rng.uniform(-90, 90), 2), round(rng.uniform(-180, 180), 2)) for i in range(400)]
     points += [("e1", 0.0, 179.99), ("e2", 0.0, -180.0), ("e3", 89.99, 12.0), ("e4", -90.0, 0.0),
                ("e5", 45.0, 2.0), ("e6", -60.0, -150.0)]

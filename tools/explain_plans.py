@@ -29,8 +29,8 @@ def main() -> None:
     from pyspark.sql import SparkSession
     from pyspark.sql import functions as F
 
-    from meteocube.functions.geo import grid_col, grid_row, haversine_km, neighbour_cells
     from meteocube.operators.hourly import hourly_fact
+    from meteocube.operators.locations import _level
     from meteocube.plans import catalog
     from meteocube.sinks.parquet import _clustered
     from meteocube.sources import testtables as tt
@@ -41,25 +41,17 @@ def main() -> None:
     q = catalog.spark_queries()
     c = catalog.cube(spark, sf)
     raw = catalog.all_observations(spark, sf)
-    cell = 90.0
     pts = c.locations().select("id", "LATITUDE", "LONGITUDE")
-    pts = pts.select("*", F.explode_outer(neighbour_cells(F.col("LATITUDE"), F.col("LONGITUDE"), cell)).alias("_c"))
-    pts = pts.select("id", "LATITUDE", "LONGITUDE", F.col("_c.gr").alias("gr"), F.col("_c.gc").alias("gc"))
     pl = F.broadcast(tt.nation_gazetteer(spark, sf)).select(
-        "place_key", "name", "cc", F.col("lat").alias("_plat"), F.col("lon").alias("_plon"),
-        grid_row(F.col("lat"), cell).alias("gr"), grid_col(F.col("lon"), cell).alias("gc"))
-    cand = pts.join(pl, ["gr", "gc"], "left").withColumn(
-        "_d", F.round(haversine_km(F.col("LATITUDE"), F.col("LONGITUDE"), F.col("_plat"), F.col("_plon")), 6))
-    level = cand.groupBy("id", "LATITUDE", "LONGITUDE").agg(
-        F.min_by(F.struct("place_key", "name", "cc"), F.when(F.col("place_key").isNotNull(),
-                                                             F.struct("_d", "place_key"))).alias("best"))
+        "place_key", "name", "cc", F.col("lat").alias("_plat"), F.col("lon").alias("_plon"))
+    level = _level(pts, pl, ["id", "LATITUDE", "LONGITUDE"], "LATITUDE", "LONGITUDE", 90.0, packed=True)
     sections = [
         ("Build: hourly fact write (REBALANCE on year, month; sort by id, time)",
          _clustered(hourly_fact(raw), ("year", "month"), ("id", "DATE"))),
         ("A1 daily rollup (one aggregate, partial before the exchange)", q["daily_rollup"](spark, sf)),
         ("A2 monthly rollup from daily (two levels, two exchanges, both pre-aggregated)", q["monthly_rollup"](spark, sf)),
         ("J1 reference join form (for comparison)", q["rollup_join_form"](spark, sf)),
-        ("J3 one level of the nearest-place join (grid equi-join, broadcast gazetteer)", level),
+        ("J3 one level of the nearest-place join (grid equi-join, broadcast gazetteer, packed arg-min)", level),
         ("Q2 snapshot daily over the stored cube", q["snapshot_daily"](spark, sf)),
         ("Q5 series hourly over the stored cube", q["series_hourly"](spark, sf)),
         ("Q3 snapshot monthly over the stored cube", q["snapshot_monthly"](spark, sf)),
