@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.hourly import hourly_fact
 from ..operators.joins import MAX_BROADCAST_ROWS, bounded_rows
@@ -27,6 +28,11 @@ from ..sinks.parquet import materialize, write_sorted, write_table
 from ..sources.raw import read_csv, register_views
 
 TABLES = ("hourly", "daily", "monthly", "yearly", "locations")
+
+
+def hourly_order() -> tuple:
+    """Order inside each hourly file: day, then station, then time (see sinks.parquet)."""
+    return (F.to_date("DATE"), "id", "DATE")
 VIEW_NAMES = {"hourly": "hourly_view", "daily": "daily_view", "monthly": "monthly_view",
               "yearly": "yearly_view", "locations": "location_table"}
 
@@ -94,7 +100,7 @@ def build(spark: SparkSession, raw: DataFrame, places: DataFrame, root: str, lay
         # The location dimension depends on the raw table only: it runs beside the whole rollup chain.
         locations = pool.submit(lambda: write_sorted(location_dimension(raw, places, id_mode, base_cell_deg),
                                                      f"{root}/locations", ("id",)))
-        write_table(hourly_fact(raw, id_mode), f"{root}/hourly", ("year", "month"), layout, ("id", "DATE"))
+        write_table(hourly_fact(raw, id_mode), f"{root}/hourly", ("year", "month"), layout, hourly_order())
         hourly = spark.read.parquet(f"{root}/hourly")
         daily = materialize(spark, daily_rollup(hourly), f"{root}/daily", ("year", "month"), layout, ("id", "DATE"))
         _all(

@@ -7,8 +7,10 @@ Layouts
     one shuffle partition, and AQE splits any partition above the advisory
     size and merges small ones.  Each directory gets a few files of bounded
     size, so no task ever holds a whole month at scale.  Rows are sorted by
-    the partition columns and then ``sort_by`` (``id``, time) inside each
-    file, so parquet min/max statistics let an id lookup skip row groups.
+    the partition columns and then ``sort_by`` inside each file, so parquet
+    min/max statistics let range and station lookups skip row groups (the
+    hourly table sorts by day, then station, then time: a 2-day snapshot
+    reads only its days, a station series about one row group per day).
 ``small_files`` (K5)
     No exchange before the write: every input task writes into every
     directory it touches (the small-file control case).
@@ -23,20 +25,20 @@ makes a re-run after a lost executor or a failed attempt idempotent.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 LAYOUTS = ("clustered", "small_files", "single_file")
 SINGLE_FILE_ROWS = 5_000_000
 
 
-def _clustered(df: DataFrame, partition_by: tuple[str, ...], sort_by: tuple[str, ...]) -> DataFrame:
+def _clustered(df: DataFrame, partition_by: tuple[str, ...], sort_by: tuple[str | Column, ...]) -> DataFrame:
     out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
     order = (*partition_by, *sort_by)
     return out.sortWithinPartitions(*order) if order else out
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), layout: str = "clustered",
-                sort_by: tuple[str, ...] = ()) -> str:
+                sort_by: tuple[str | Column, ...] = ()) -> str:
     """K1/K2 (+K3/K4/K5 by ``layout``): overwrite ``path`` with ``df`` as parquet."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
@@ -64,7 +66,7 @@ def write_sorted(df: DataFrame, path: str, order: tuple[str, ...]) -> str:
 
 
 def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
-                layout: str = "clustered", sort_by: tuple[str, ...] = ()) -> DataFrame:
+                layout: str = "clustered", sort_by: tuple[str | Column, ...] = ()) -> DataFrame:
     """K6: write, then continue from the written table (cuts lineage, survives restarts)."""
     write_table(df, path, partition_by, layout, sort_by)
     return spark.read.parquet(path)

@@ -155,3 +155,14 @@ def test_hourly_ignores_agg(cube):
     check_request("hourly", "TMP", "avg", "2020-01-01", "2020-01-02")
     df = query(cube, "hourly", "TMP", "max", "2020-01-05", "2020-01-05", "12300-6213")
     assert df.columns == ["DATE", "TMP"]
+
+
+def test_hourly_files_sorted_by_day_then_station(cube):
+    import pyarrow.parquet as pq
+
+    files = glob.glob(f"{cube.root}/hourly/year=*/month=*/*.parquet")
+    assert files
+    for f in files:
+        t = pq.read_table(f, columns=["DATE", "id"]).to_pylist()
+        keys = [(r["DATE"].date(), r["id"], r["DATE"]) for r in t]
+        assert keys == sorted(keys)

@@ -32,6 +32,7 @@ def main() -> None:
     from meteocube.operators.hourly import hourly_fact
     from meteocube.operators.locations import _level
     from meteocube.plans import catalog
+    from meteocube.plans.build import hourly_order
     from meteocube.sinks.parquet import _clustered
     from meteocube.sources import testtables as tt
 
@@ -46,8 +47,8 @@ def main() -> None:
         "place_key", "name", "cc", F.col("lat").alias("_plat"), F.col("lon").alias("_plon"))
     level = _level(pts, pl, ["id", "LATITUDE", "LONGITUDE"], "LATITUDE", "LONGITUDE", 90.0, packed=True)
     sections = [
-        ("Build: hourly fact write (REBALANCE on year, month; sort by id, time)",
-         _clustered(hourly_fact(raw), ("year", "month"), ("id", "DATE"))),
+        ("Build: hourly fact write (REBALANCE on year, month; sort by day, id, time)",
+         _clustered(hourly_fact(raw), ("year", "month"), hourly_order())),
         ("A1 daily rollup (one aggregate, partial before the exchange)", q["daily_rollup"](spark, sf)),
         ("A2 monthly rollup from daily (two levels, two exchanges, both pre-aggregated)", q["monthly_rollup"](spark, sf)),
         ("J1 reference join form (for comparison)", q["rollup_join_form"](spark, sf)),
