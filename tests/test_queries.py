@@ -166,3 +166,14 @@ def test_hourly_files_sorted_by_day_then_station(cube):
         t = pq.read_table(f, columns=["DATE", "id"]).to_pylist()
         keys = [(r["DATE"].date(), r["id"], r["DATE"]) for r in t]
         assert keys == sorted(keys)
+
+
+def test_hourly_values_rounded_in_snapshot_and_series(spark):
+    # Both hourly forms return the measure rounded to 2 places
+    from meteocube.operators.hourly import hourly_fact
+
+    hourly = hourly_fact(raw_df(spark, [("2020-01-01 05:00", 33.68, -117.87, 1.236, 1.0, 1.0, -2.345)]))
+    locs = spark.createDataFrame([("12300-6213", "X, YY", 33.68, -117.87)], "id string, city string, LATITUDE double, LONGITUDE double")
+    s = series(hourly, "hourly", "TMP", "", "2020-01-01", "2020-01-01", "12300-6213").first()
+    m = snapshot(hourly, locs, "hourly", "SLP", "", "2020-01-01", "2020-01-01").first()
+    assert (s.TMP, m.SLP, m.city) == (1.24, -2.35, "X, YY")
