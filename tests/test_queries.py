@@ -177,3 +177,15 @@ def test_hourly_values_rounded_in_snapshot_and_series(spark):
     s = series(hourly, "hourly", "TMP", "", "2020-01-01", "2020-01-01", "12300-6213").first()
     m = snapshot(hourly, locs, "hourly", "SLP", "", "2020-01-01", "2020-01-01").first()
     assert (s.TMP, m.SLP, m.city) == (1.24, -2.35, "X, YY")
+
+
+def test_build_writes_rejects(spark, tmp_dir):
+    rows = [("2020-01-01 00:00", 33.68, -117.87, 1.0, 1.0, 1.0, 1.0), ("2020-01-01 01:00", None, -117.87, 2.0, 1.0, 1.0, 1.0)]
+    places = spark.createDataFrame(PLACES, "place_key long, name string, cc string, lat double, lon double")
+    c = build(spark, raw_df(spark, rows), places, f"{tmp_dir}/cube")
+    assert [r.TMP for r in c.rejects().collect()] == [2.0]
+    assert c.hourly().count() == 1
+
+
+def test_cube_rejects_empty_when_clean(cube):
+    assert cube.rejects().count() == 0
