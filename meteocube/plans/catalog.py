@@ -9,6 +9,7 @@ design of the cube), then reads back.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from functools import reduce
 
@@ -51,6 +52,7 @@ SERIES = {
 # --- end of fixed values ---
 
 _cubes: dict[tuple[str, str], Cube] = {}
+_cube_lock = threading.Lock()
 
 
 def all_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,13 +64,14 @@ def cube(spark: SparkSession, sf_dir: str) -> Cube:
     from ..session import shared_dir
 
     key = (shared_dir(spark), sf_dir.rstrip("/"))
-    c = _cubes.get(key)
-    if c is None:
-        c = build(spark, all_observations(spark, sf_dir), tt.nation_gazetteer(spark, sf_dir),
-                  scratch_path(spark, "cube"))
-    elif c.spark is not spark:  # same files, the caller's session
-        c = Cube(spark, c.root)
-    _cubes[key] = c
+    with _cube_lock:  # callers running queries from several threads share one build
+        c = _cubes.get(key)
+        if c is None:
+            c = build(spark, all_observations(spark, sf_dir), tt.nation_gazetteer(spark, sf_dir),
+                      scratch_path(spark, "cube"))
+        elif c.spark is not spark:  # same files, the caller's session
+            c = Cube(spark, c.root)
+        _cubes[key] = c
     return c
 
 
