@@ -87,3 +87,19 @@ def test_location_dimension_city_null_without_places(spark):
     raw = raw_df(spark, [("2020-01-01 00:00", 33.68, -117.87, 1.0, 1.0, 1.0, 1.0)])
     none = spark.createDataFrame([], "place_key long, name string, cc string, lat double, lon double")
     assert [r.city for r in location_dimension(raw, none).collect()] == [None]
+
+
+@pytest.mark.parametrize("base", [360.0 / 512, 360.0 / 64, 360.0 / 8])
+def test_boundary_heavy_points_match_brute_force(spark, base):
+    """Points and places on or next to grid lines of several levels, on the poles and on +-180."""
+    rng = random.Random(int(360 / base))
+    lines_lat = [-90.0, 90.0] + [k * s - 90 for s in (base, base * 4, base * 16) for k in range(0, int(180 / s) + 1)]
+    lines_lon = [-180.0, 180.0] + [k * s - 180 for s in (base, base * 4, base * 16) for k in range(0, int(360 / s) + 1)]
+
+    def near(lines, lo, hi):
+        v = rng.choice(lines) + rng.choice([0.0, 0.01, -0.01, 0.02, -0.02])
+        return float(round(min(max(v, lo), hi), 2))
+
+    places = [(i, f"P{i}", "XX", near(lines_lat, -90, 90), near(lines_lon, -180, 180)) for i in range(60)]
+    points = [(f"p{i}", near(lines_lat, -90, 90), near(lines_lon, -180, 180)) for i in range(300)]
+    assert run(spark, points, places, base) == brute(points, places)
