@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CONF_KEY = "spark.checkpoint.dir"
+_fallback: dict[int, str] = {}  # chosen root per SparkContext when the setting is unset
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,11 +23,16 @@ def shared_dir(spark: SparkSession) -> str:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no driver-side context; the server owns the setting
         sc = None
-    if sc is not None:
-        root = root or sc.getConf().get(_CONF_KEY, None) or sc.getCheckpointDir()
+    if not root and sc is not None:
+        root = sc.getConf().get(_CONF_KEY, None)
     if not root:
-        # Unset only in ad-hoc local sessions; a cluster always names one.
-        root = tempfile.mkdtemp(prefix="meteocube-ckpt-")
+        # Unset only in ad-hoc local sessions; a cluster always names one.  Chosen once per context
+        # (getCheckpointDir() would return a fresh sub-folder of it).
+        key = id(sc)
+        if key not in _fallback:
+            _fallback[key] = (sc.getCheckpointDir() if sc is not None else None) or tempfile.mkdtemp(
+                prefix="meteocube-ckpt-")
+        root = _fallback[key]
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")

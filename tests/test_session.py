@@ -1,0 +1,12 @@
+from meteocube.session import scratch_path, shared_dir
+
+
+def test_shared_dir_is_stable_and_scratch_paths_unique(spark):
+    a, b = shared_dir(spark), shared_dir(spark)
+    assert a == b
+    p, q = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert p != q and p.startswith(a + "/meteocube/x-")
+
+
+def test_session_setting_wins(spark):
+    assert shared_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark)).rstrip("/")
