@@ -189,3 +189,14 @@ def test_build_writes_rejects(spark, tmp_dir):
 
 def test_cube_rejects_empty_when_clean(cube):
     assert cube.rejects().count() == 0
+
+
+def test_build_with_station_keys_separates_colliding_stations(spark, tmp_dir):
+    # The two stations share the published cell id but get their own station ids
+    rows = [("2020-01-01 00:00", 33.68, -117.87, 1.0, 1.0, 1.0, 1.0), ("2020-01-01 00:00", 33.21, -117.87, 3.0, 1.0, 1.0, 1.0)]
+    places = spark.createDataFrame(PLACES, "place_key long, name string, cc string, lat double, lon double")
+    cell = build(spark, raw_df(spark, rows), places, f"{tmp_dir}/cell")
+    st = build(spark, raw_df(spark, rows), places, f"{tmp_dir}/station", id_mode="station")
+    assert [(r.id, r.avgTMP) for r in cell.daily().collect()] == [("12300-6213", 2.0)]
+    assert sorted((r.id, r.avgTMP) for r in st.daily().collect()) == [("12321-6213", 3.0), ("12368-6213", 1.0)]
+    assert sorted(r.n_points for r in st.locations().collect()) == [1, 1]
