@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 
 
 def to_cents(c: Column | str) -> Column:
-    """Value in hundredths as a long (HALF_UP beyond the second decimal)."""
+    """Value in hundredths as a long (HALF_UP beyond the second decimal).
+
+    Non-finite readings (NaN, +-Infinity, also accepted by the text parser) become
+    NULL, i.e. missing, instead of failing the job under ANSI casts.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c * 100).cast("long")
+    return F.round(c * 100).try_cast("long")
 
 
 def from_cents(c: Column | str) -> Column:

@@ -74,3 +74,9 @@ def test_hourly_fact_schema(spark):
     assert h.columns == ["DATE", "TMP", "DEW", "WIND", "SLP", "id", "year", "month"]
     r = h.first()
     assert (r.year, r.month, r.WIND) == (2020, 3, 3.0)
+
+
+def test_non_finite_readings_are_missing(spark):
+    rows = [("2020-01-01 00:00", *ST, float("nan"), 1.0, float("inf"), 1.0), ("2020-01-01 01:00", *ST, 3.0, 2.0, 5.0, 1.0)]
+    r = daily_rollup(hourly_fact(raw_df(spark, rows))).first()
+    assert (r.avgTMP, r.minTMP, r.avgDEW, r.maxWIND) == (3.0, 3.0, 1.5, 5.0)
