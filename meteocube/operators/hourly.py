@@ -9,15 +9,24 @@ from ..functions.cell import cell_id, round_coord, station_id
 from ..schema import KEY_COLUMNS, RAW_WIND
 
 
+def valid_coordinates(lat: str = "LATITUDE", lon: str = "LONGITUDE") -> F.Column:
+    """Both coordinates present, finite and on the globe (NaN sorts above every number in Spark)."""
+    return F.col(lat).between(-90.0, 90.0) & F.col(lon).between(-180.0, 180.0)
+
+
 def _key_ok() -> F.Column:
     ok = F.lit(True)
     for c in KEY_COLUMNS:
         ok = ok & F.col(c).isNotNull()
-    return ok
+    return ok & valid_coordinates()
 
 
 def split_rejects(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with a time and both coordinates, rows missing any of them)."""
+    """(rows with a time and valid coordinates, the others).
+
+    A reading without a time, or with a missing, non-finite or off-globe
+    coordinate, is a reject: it can form no key and must not fail the job.
+    """
     ok = _key_ok()
     return raw.filter(ok), raw.filter(~ok)
 

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from ..functions.geo import block_safe_radius_km, grid_col, grid_row, haversine_km, neighbour_cells
 from ..session import scratch_path
-from .hourly import split_rejects, with_station_key
+from .hourly import split_rejects, valid_coordinates, with_station_key
 from .joins import MAX_BROADCAST_ROWS
 
 BASE_CELL_DEG = None              # None: pick from the gazetteer's density
@@ -75,6 +75,7 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
     spark = points.sparkSession
     work = scratch_path(spark, "nearest")
     place_cols = ["place_key", "name", "cc"]
+    places = places.filter(valid_coordinates("lat", "lon") & F.col("place_key").isNotNull())
     pl_base = places.select(*place_cols, F.col("lat").alias("_plat"), F.col("lon").alias("_plon"))
     # One job: broadcast decision, grid size and whether keys pack into a long.
     stats = pl_base.agg(F.count(F.lit(1)).alias("n"), F.min("place_key").alias("lo"),
@@ -119,14 +120,15 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
 def _level(pending: DataFrame, places: DataFrame, cols: list[str], lat: str, lon: str, c: float,
            packed: bool) -> DataFrame:
     """Best place per point among the 3x3 block of cells of edge ``c`` (one equi-join + one aggregate)."""
-    # explode_outer: a point without coordinates still reaches the output (with no place)
-    pts = pending.select(*cols, F.explode_outer(neighbour_cells(F.col(lat), F.col(lon), c)).alias("_cell"))
+    # explode_outer: a point without valid coordinates still reaches the output (with no place)
+    cells = F.when(valid_coordinates(lat, lon), neighbour_cells(F.col(lat), F.col(lon), c))
+    pts = pending.select(*cols, F.explode_outer(cells).alias("_cell"))
     pts = pts.select(*cols, F.col("_cell.gr").alias("gr"), F.col("_cell.gc").alias("gc"))
     pl = places.select("*", grid_row(F.col("_plat"), c).alias("gr"), grid_col(F.col("_plon"), c).alias("gc"))
     dist = haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon"))
     if packed:
         cand = pts.join(pl.select("place_key", "_plat", "_plon", "gr", "gc"), ["gr", "gc"], "left")
-        units = F.round(dist * 1e6).cast("long")
+        units = F.round(dist * 1e6).try_cast("long")
         order = F.when(F.col("place_key").isNotNull(), F.shiftleft(units, KEY_BITS) + F.col("place_key"))
         return cand.groupBy(*cols).agg(F.min(order).alias("_ord")).select(
             *cols,

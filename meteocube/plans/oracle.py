@@ -52,6 +52,9 @@ PLACES = """places AS (
   FROM nation)"""
 
 
+VALID = "DATE IS NOT NULL AND LATITUDE BETWEEN -90 AND 90 AND LONGITUDE BETWEEN -180 AND 180"
+
+
 def _id(lat: str = "LATITUDE", lon: str = "LONGITUDE") -> str:
     return (f"concat_ws('-', CAST(CAST(trunc({lat} + 90) AS INTEGER) * 100 AS VARCHAR), "
             f"CAST(CAST(trunc(({lon} + 180) * 100) AS INTEGER) AS VARCHAR))")
@@ -61,7 +64,7 @@ def hourly_cte(obs: str, name: str = "hourly") -> str:
     return f"""{name} AS (
   SELECT DATE, TMP, DEW, WND_RATE AS WIND, SLP, {_id('round(LATITUDE, 2)', 'round(LONGITUDE, 2)')} AS id,
          CAST(year(DATE) AS INTEGER) AS year, CAST(month(DATE) AS INTEGER) AS month
-  FROM {obs} WHERE DATE IS NOT NULL AND LATITUDE IS NOT NULL AND LONGITUDE IS NOT NULL)"""
+  FROM {obs} WHERE {VALID})"""
 
 
 def daily_cte(hourly: str = "hourly", name: str = "daily") -> str:
@@ -104,7 +107,7 @@ def cells_cte(obs: str, name: str = "cells") -> str:
     return f"""{name} AS (
   SELECT DISTINCT {_id()} AS id, LONGITUDE, LATITUDE FROM (
     SELECT round(LATITUDE, 2) AS LATITUDE, round(LONGITUDE, 2) AS LONGITUDE FROM {obs}
-    WHERE DATE IS NOT NULL AND LATITUDE IS NOT NULL AND LONGITUDE IS NOT NULL))"""
+    WHERE {VALID}))"""
 
 
 def nearest_cte(points: str, keys: list[str], name: str) -> str:

@@ -103,3 +103,13 @@ def test_boundary_heavy_points_match_brute_force(spark, base):
     places = [(i, f"P{i}", "XX", near(lines_lat, -90, 90), near(lines_lon, -180, 180)) for i in range(60)]
     points = [(f"p{i}", near(lines_lat, -90, 90), near(lines_lon, -180, 180)) for i in range(300)]
     assert run(spark, points, places, base) == brute(points, places)
+
+
+def test_invalid_coordinates_get_no_place_and_bad_places_are_ignored(spark):
+    pts = spark.createDataFrame([("a", 10.0, 10.0), ("nan", float("nan"), 0.0), ("far", 95.0, 0.0)],
+                                "k string, LATITUDE double, LONGITUDE double")
+    pl = spark.createDataFrame([(1, "Good", "GG", 11.0, 11.0), (2, "Bad", "BB", float("nan"), 10.0),
+                                (3, "Off", "OO", 10.0, 400.0)],
+                               "place_key long, name string, cc string, lat double, lon double")
+    rows = {r.k: r.place_key for r in nearest_place(pts, pl, "k").collect()}
+    assert rows == {"a": 1, "nan": None, "far": None}

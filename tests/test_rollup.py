@@ -80,3 +80,13 @@ def test_non_finite_readings_are_missing(spark):
     rows = [("2020-01-01 00:00", *ST, float("nan"), 1.0, float("inf"), 1.0), ("2020-01-01 01:00", *ST, 3.0, 2.0, 5.0, 1.0)]
     r = daily_rollup(hourly_fact(raw_df(spark, rows))).first()
     assert (r.avgTMP, r.minTMP, r.avgDEW, r.maxWIND) == (3.0, 3.0, 1.5, 5.0)
+
+
+def test_non_finite_or_off_globe_coordinates_are_rejects(spark):
+    rows = [("2020-01-01 00:00", *ST, 1.0, 1.0, 1.0, 1.0), ("2020-01-01 00:00", float("nan"), -117.87, 1.0, 1.0, 1.0, 1.0),
+            ("2020-01-01 00:00", 33.68, float("inf"), 1.0, 1.0, 1.0, 1.0), ("2020-01-01 00:00", 95.0, 10.0, 1.0, 1.0, 1.0, 1.0),
+            ("2020-01-01 00:00", 10.0, -180.5, 1.0, 1.0, 1.0, 1.0)]
+    raw = raw_df(spark, rows)
+    ok, bad = split_rejects(raw)
+    assert (ok.count(), bad.count()) == (1, 4)
+    assert daily_rollup(hourly_fact(raw)).count() == 1   # no ANSI cast failure on the bad rows
