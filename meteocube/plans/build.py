@@ -42,7 +42,8 @@ class Cube:
     """Stored cube tables under one root folder.
 
     The tables are immutable once built, so each is opened once per handle
-    (one schema read), and the DataFrame is reused by every query.
+    (one schema read), and the DataFrame is reused by every query.  Rebuilding
+    into the same root replaces the files: use the handle ``build`` returns.
     """
 
     spark: SparkSession
