@@ -68,7 +68,8 @@ def daily_rollup_join_form(hourly: DataFrame) -> DataFrame:
     return joined.select("id", "DATE", *measures, "year", "month")
 
 
-def _period_rollup(daily: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def _period_rollup(daily: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, list]:
+    """Aggregate buffers per period and the expressions that finish them."""
     cents = []
     for m in METRICS:
         cents += [to_cents(f"avg{m}").alias(f"_a_{m}"), to_cents(f"min{m}").alias(f"_lo_{m}"),
