@@ -16,3 +16,28 @@ def test_no_cross_join_and_no_python_in_plan(spark, name):
     plan = plan_text(df, "extended")
     bad = [f for f in FORBIDDEN if f in plan]
     assert not bad, f"{name}: {bad}"
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", ["snapshot_hourly", "snapshot_daily", "snapshot_monthly", "snapshot_yearly",
+                                  "range_cross_year"])
+def test_snapshots_broadcast_the_checked_dimension_and_prune(spark, name):
+    plan = plan_text(E.queries()[name](spark, SF), "formatted")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    if name != "snapshot_yearly":
+        assert "PartitionFilters: [isnotnull(year" in plan
+
+
+@pytest.mark.parametrize("name", ["series_hourly", "series_daily", "series_monthly", "series_yearly"])
+def test_series_push_the_station_to_the_scan(spark, name):
+    plan = plan_text(E.queries()[name](spark, SF), "formatted")
+    assert "EqualTo(id,1700-1237)" in plan
+
+
+@pytest.mark.parametrize("name,exchanges", [("daily_rollup", 1), ("monthly_rollup", 2), ("yearly_rollup", 2)])
+def test_rollups_one_preaggregated_exchange_per_level(spark, name, exchanges):
+    plan = plan_text(E.queries()[name](spark, SF), "simple")
+    assert plan.count("Exchange hashpartitioning") == exchanges
+    assert plan.count("partial_sum") >= 4 * exchanges
+    assert "SortAggregate" not in plan and "Join" not in plan.replace("BroadcastHashJoin", "")
