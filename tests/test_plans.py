@@ -41,3 +41,29 @@ def test_rollups_one_preaggregated_exchange_per_level(spark, name, exchanges):
     assert plan.count("Exchange hashpartitioning") == exchanges
     assert plan.count("partial_sum") >= 4 * exchanges
     assert "SortAggregate" not in plan and "Join" not in plan.replace("BroadcastHashJoin", "")
+
+
+def test_nearest_place_level_is_broadcast_equi_join_with_hash_aggregate(spark):
+    from pyspark.sql import functions as F
+
+    from meteocube.operators.locations import _level
+
+    pts = spark.createDataFrame([("a", 10.0, 10.0)], "id string, LATITUDE double, LONGITUDE double")
+    pl = F.broadcast(spark.createDataFrame([(1, "X", "YY", 11.0, 11.0)],
+                                           "place_key long, name string, cc string, _plat double, _plon double"))
+    plan = plan_text(_level(pts, pl, ["id", "LATITUDE", "LONGITUDE"], "LATITUDE", "LONGITUDE", 5.625, True), "simple")
+    assert "BroadcastHashJoin" in plan
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_clustered_write_plan_rebalances_and_sorts(spark):
+    from pyspark.sql import functions as F
+
+    from meteocube.plans.build import hourly_order
+    from meteocube.sinks.parquet import _clustered
+
+    df = spark.range(10).select(F.col("id").cast("string").alias("id"),
+                                F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz").alias("DATE"),
+                                (F.col("id") % 3).cast("int").alias("year"), (F.col("id") % 12).cast("int").alias("month"))
+    plan = plan_text(_clustered(df, ("year", "month"), hourly_order()), "simple")
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "Sort [year" in plan
