@@ -14,7 +14,8 @@ aggregation; each level is written once as a parquet table in the cluster's
 shared folder and read back, which cuts lineage (a lost executor re-runs one
 level, not the chain) and computes the level only once.
 
-Ties: distance rounded to 1e-6 km, then the smaller ``place_key`` wins.  When
+Ties: distance rounded to 1e-6 km, then the smaller ``place_key`` wins, so copies
+at identical coordinates are reduced to their smallest key before the join.  When
 place keys fit in 28 bits (checked in the same job that counts the places),
 (distance in 1e-6 km, place_key) is packed into one long, so the arg-min is a
 plain ``min`` that hash-aggregates with a fixed-width buffer; otherwise a
@@ -76,7 +77,10 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
     work = scratch_path(spark, "nearest")
     place_cols = ["place_key", "name", "cc"]
     places = places.filter(valid_coordinates("lat", "lon") & F.col("place_key").isNotNull())
-    pl_base = places.select(*place_cols, F.col("lat").alias("_plat"), F.col("lon").alias("_plon"))
+    # Copies at identical coordinates tie on every distance, and ties go to the smaller key: keep only that
+    # one (a fixed-width aggregate), so a pile of copies in one cell costs one candidate, not all of them.
+    pl_base = places.groupBy(F.col("lat").alias("_plat"), F.col("lon").alias("_plon")).agg(
+        F.min("place_key").alias("place_key"))
     # One job: broadcast decision, grid size and whether keys pack into a long.
     stats = pl_base.agg(F.count(F.lit(1)).alias("n"), F.min("place_key").alias("lo"),
                         F.max("place_key").alias("hi")).first()
@@ -111,9 +115,10 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
             break
     levels = spark.read.schema(schema).option("basePath", work).parquet(*[f"{work}/level={j}" for j in range(i + 1)])
     found = levels.filter("_ok")
-    if packed:  # name and cc of the winning key
-        names = places.select("place_key", "name", "cc")
-        found = found.join(F.broadcast(names) if small else names, "place_key", "left")
+    # name and cc of the winning key (keys are unique in a gazetteer; the smallest copy won)
+    names = places.groupBy("place_key").agg(F.min_by(F.struct("name", "cc"), F.struct("name", "cc")).alias("_nc"))
+    names = names.select("place_key", "_nc.name", "_nc.cc")
+    found = found.join(F.broadcast(names) if small else names, "place_key", "left")
     return found.select(*cols, *place_cols, "distance_km")
 
 
@@ -138,8 +143,7 @@ def _level(pending: DataFrame, places: DataFrame, cols: list[str], lat: str, lon
     dist = F.round(dist, 6)
     order = F.when(F.col("place_key").isNotNull(), F.struct(dist.alias("_d"), "place_key"))
     return cand.groupBy(*cols).agg(
-        F.min_by(F.struct("place_key", "name", "cc"), order).alias("_best"), F.min(dist).alias("distance_km")
-    ).select(*cols, "_best.*", "distance_km")
+        F.min_by("place_key", order).alias("place_key"), F.min(dist).alias("distance_km"))
 
 
 def place_label(name: str = "name", cc: str = "cc") -> F.Column:

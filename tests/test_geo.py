@@ -113,3 +113,17 @@ def test_invalid_coordinates_get_no_place_and_bad_places_are_ignored(spark):
                                "place_key long, name string, cc string, lat double, lon double")
     rows = {r.k: r.place_key for r in nearest_place(pts, pl, "k").collect()}
     assert rows == {"a": 1, "nan": None, "far": None}
+
+
+def test_copies_at_one_spot_reduce_to_smallest_key(spark):
+    # a third of the gazetteer piled on one coordinate: the smallest key of the pile wins, names follow the key
+    pile = [(k, f"Copy{k}", "CP", 40.0, 40.0) for k in range(100, 400)]
+    others = [(k, f"O{k}", "OO", float(k % 50) - 25.0, float(k % 70) * 2 - 70.0) for k in range(1, 600)]
+    pts = [("near", 40.01, 40.0), ("far", -30.0, -60.0)]
+    got = run(spark, pts, pile + others, None)
+    assert got == brute(pts, pile + others)
+    assert got["near"] == 100
+    pts_df = spark.createDataFrame(pts, "k string, LATITUDE double, LONGITUDE double")
+    pl = spark.createDataFrame(pile + others, "place_key long, name string, cc string, lat double, lon double")
+    near = [r for r in nearest_place(pts_df, pl, "k").collect() if r.k == "near"][0]
+    assert (near.name, near.cc) == ("Copy100", "CP")
