@@ -51,7 +51,7 @@ SERIES = {
 }
 # --- end of fixed values ---
 
-_cubes: dict[tuple[str, str], Cube] = {}
+_cubes: dict[tuple[str, str, str], Cube] = {}
 _cube_lock = threading.Lock()
 
 
@@ -59,16 +59,16 @@ def all_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tt.lineitem_observations(spark, sf_dir).unionByName(tt.event_observations(spark, sf_dir))
 
 
-def cube(spark: SparkSession, sf_dir: str) -> Cube:
-    """The cube of all test observations at ``sf_dir``, built once per shared folder."""
+def cube(spark: SparkSession, sf_dir: str, layout: str = "clustered") -> Cube:
+    """The cube of all test observations at ``sf_dir``, built once per shared folder and layout."""
     from ..session import shared_dir
 
-    key = (shared_dir(spark), sf_dir.rstrip("/"))
+    key = (shared_dir(spark), sf_dir.rstrip("/"), layout)
     with _cube_lock:  # callers running queries from several threads share one build
         c = _cubes.get(key)
         if c is None:
             c = build(spark, all_observations(spark, sf_dir), tt.nation_gazetteer(spark, sf_dir),
-                      scratch_path(spark, "cube"))
+                      scratch_path(spark, f"cube-{layout}"), layout=layout)
         elif c.spark is not spark:  # same files, the caller's session
             c = Cube(spark, c.root)
         _cubes[key] = c
@@ -119,18 +119,18 @@ def q_stream_hourly_ingest(spark, sf_dir):
     return spark.read.parquet(target)
 
 
-def _snap(name, ordered=True):
+def _snap(name, ordered=True, layout="clustered"):
     level, metric, agg, (s, e) = SNAPSHOTS[name]
 
     def run(spark, sf_dir):
-        c = cube(spark, sf_dir)
+        c = cube(spark, sf_dir, layout)
         return snapshot(c.table(level), c.locations(), level, metric, agg, s, e, ordered, c.location_rows)
     return run
 
 
-def _series(name):
+def _series(name, layout="clustered"):
     level, metric, agg, (s, e) = SERIES[name]
-    return lambda spark, sf_dir: series(cube(spark, sf_dir).table(level), level, metric, agg, s, e, STATION)
+    return lambda spark, sf_dir: series(cube(spark, sf_dir, layout).table(level), level, metric, agg, s, e, STATION)
 
 
 def _range(r):
@@ -237,6 +237,9 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "preview": q_preview,
         "table_counts": q_table_counts,
         "query_dispatch": q_query_dispatch,
+        # the same requests over a cube written with the small-file layout (K5): same answers, other files
+        "snapshot_daily_small_files": _snap("snapshot_daily", layout="small_files"),
+        "series_monthly_small_files": _series("series_monthly", layout="small_files"),
     })
     return q
 
@@ -314,4 +317,6 @@ def oracle_queries() -> dict[str, str]:
         parts.append(f"SELECT '{level}' AS level, {t} AS period, {col} AS value FROM ("
                      f"{_series_sql(level, metric, agg, r)})")
     sql["query_dispatch"] = "\nUNION ALL\n".join(parts)
+    sql["snapshot_daily_small_files"] = sql["snapshot_daily"]
+    sql["series_monthly_small_files"] = sql["series_monthly"]
     return sql
