@@ -2,8 +2,10 @@
 
 Nearest place, exactly, without a cross join
 --------------------------------------------
-Places are bucketed on a lat/lon grid; each point is exploded to the 3x3
-block of cells around it and equi-joined to the places in those cells.  The
+Places are bucketed on a lat/lon grid (the density-chosen grid, refined until
+its fullest cell holds at most MAX_PLACES_PER_CELL places); each point is
+exploded to the 3x3 block of cells around it and equi-joined to the places in
+those cells.  The
 best candidate in the block is provably the global nearest when it is closer
 than the distance from the point to the outside of the block
 (``functions.geo.block_safe_radius_km``).  Points that cannot be proven
@@ -39,6 +41,8 @@ BASE_CELL_DEG = None              # None: pick from the gazetteer's density
 GROWTH = 4                        # cell edge multiplier between levels
 _TIE_MARGIN_KM = 2e-6             # > rounding step of the distance
 KEY_BITS = 28                     # place keys in [0, 2^28) pack beside a 35-bit distance
+MAX_PLACES_PER_CELL = 256         # base grid: no cell holds more places than this (if 360/2^16 allows)
+FINEST_K = 16                     # finest grid considered: 360/2^16 degrees (~600 m)
 
 
 def base_cell_for(n_places: int) -> float:
@@ -51,6 +55,26 @@ def base_cell_for(n_places: int) -> float:
     return 360.0 / 2 ** min(max(k, 1), 12)
 
 
+def base_cell_for_occupancy(places: DataFrame, coarsest: float, cap: int = MAX_PLACES_PER_CELL) -> float:
+    """Coarsest grid 360/2^k (not coarser than ``coarsest``) whose fullest cell holds at most ``cap`` places.
+
+    ``places`` has (_plat, _plon).  One aggregate over the places exploded to the candidate grids; at most
+    FINEST_K rows reach the driver.  A dense city then starts on a fine grid, so stations inside it see few
+    candidates, while a sparse gazetteer keeps the density-chosen grid.
+    """
+    ks = [k for k in range(1, FINEST_K + 1) if 360.0 / 2 ** k <= coarsest]
+    if not ks:
+        return coarsest
+    cells = F.array(*[F.struct(F.lit(k).alias("k"), grid_row(F.col("_plat"), 360.0 / 2 ** k).alias("gr"),
+                               grid_col(F.col("_plon"), 360.0 / 2 ** k).alias("gc")) for k in ks])
+    per_cell = places.select(F.explode(cells).alias("c")).groupBy("c.k", "c.gr", "c.gc").count()
+    fullest = {r["k"]: r["m"] for r in per_cell.groupBy("k").agg(F.max("count").alias("m")).collect()}
+    for k in ks:  # coarse to fine
+        if fullest.get(k, 0) <= cap:
+            return 360.0 / 2 ** k
+    return 360.0 / 2 ** ks[-1]
+
+
 def cell_sizes(base: float, growth: int = GROWTH) -> list[float]:
     sizes, c = [], base
     while c < 180.0:
@@ -91,7 +115,7 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
     if small:
         pl_base = F.broadcast(pl_base)
     if base_cell_deg is None:
-        base_cell_deg = base_cell_for(n_places)
+        base_cell_deg = base_cell_for_occupancy(pl_base, base_cell_for(n_places))
     carry = [c for c in points.columns if c not in (key, lat, lon)]
     cols = [key, lat, lon, *carry]
     pending = points.select(*cols)

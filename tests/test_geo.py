@@ -127,3 +127,38 @@ def test_copies_at_one_spot_reduce_to_smallest_key(spark):
     pl = spark.createDataFrame(pile + others, "place_key long, name string, cc string, lat double, lon double")
     near = [r for r in nearest_place(pts_df, pl, "k").collect() if r.k == "near"][0]
     assert (near.name, near.cc) == ("Copy100", "CP")
+
+
+def test_dense_cluster_refines_the_base_grid_and_stays_exact(spark):
+    from pyspark.sql import functions as F
+
+    from meteocube.operators.locations import MAX_PLACES_PER_CELL, base_cell_for_occupancy, grid_col, grid_row
+
+    rng = random.Random(3)
+    dense = [(i, f"D{i}", "DD", round(35.0 + rng.uniform(0, 0.5), 4), round(139.0 + rng.uniform(0, 0.5), 4))
+             for i in range(3000)]
+    sparse = [(10000 + i, f"S{i}", "SS", round(rng.uniform(-80, 80), 2), round(rng.uniform(-180, 180), 2))
+              for i in range(50)]
+    places = dense + sparse
+    pl = spark.createDataFrame(places, "place_key long, name string, cc string, lat double, lon double").select(
+        F.col("lat").alias("_plat"), F.col("lon").alias("_plon"))
+    base = base_cell_for_occupancy(pl, 360.0 / 64)
+    assert base < 360.0 / 64
+    fullest = pl.groupBy(grid_row(F.col("_plat"), base), grid_col(F.col("_plon"), base)).count().agg(
+        F.max("count")).first()[0]
+    assert fullest <= MAX_PLACES_PER_CELL
+    assert base_cell_for_occupancy(pl.limit(0), 90.0) == 90.0
+    pts = [(f"in{i}", round(35.0 + rng.uniform(0, 0.5), 3), round(139.0 + rng.uniform(0, 0.5), 3)) for i in range(40)]
+    pts += [(f"near{i}", round(35.8 + rng.uniform(0, 0.3), 3), round(139.7 + rng.uniform(0, 0.3), 3)) for i in range(20)]
+    pts += [(f"far{i}", round(rng.uniform(-60, 60), 2), round(rng.uniform(-180, 180), 2)) for i in range(20)]
+    assert run(spark, pts, places, None) == brute(pts, places)
+
+
+def test_sparse_gazetteer_keeps_density_grid(spark):
+    from pyspark.sql import functions as F
+
+    from meteocube.operators.locations import base_cell_for, base_cell_for_occupancy
+
+    pl = spark.createDataFrame(rnd_places(random.Random(5), 25), "place_key long, name string, cc string, lat double, lon double")
+    pl = pl.select(F.col("lat").alias("_plat"), F.col("lon").alias("_plon"))
+    assert base_cell_for_occupancy(pl, base_cell_for(25)) == base_cell_for(25) == 90.0
