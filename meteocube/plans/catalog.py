@@ -49,6 +49,17 @@ SERIES = {
     "series_monthly": ("monthly", "TMP", "avg", MONTH_RANGE),
     "series_yearly": ("yearly", "WIND", "avg_max", YEAR_RANGE),
 }
+# Edge-case requests over the same cube: leap day, cross-year month range, the 2-day hourly maximum,
+# yearly avg_min, a daily minimum across a month boundary.
+EXTRA_SNAPSHOTS = {
+    "snapshot_leap_day": ("daily", "SLP", "max", ("2000-02-28", "2000-03-01")),
+    "snapshot_monthly_cross_year": ("monthly", "TMP", "avg_max", ("1996-11-20", "1997-02-03")),
+    "snapshot_hourly_two_days": ("hourly", "DEW", "", ("2024-01-30", "2024-01-31")),
+    "snapshot_yearly_avg_min": ("yearly", "WIND", "avg_min", ("1995-06-01", "1997-01-01")),
+}
+EXTRA_SERIES = {
+    "series_daily_min_month_edge": ("daily", "DEW", "min", ("1998-01-25", "1998-02-05")),
+}
 # --- end of fixed values ---
 
 _cubes: dict[tuple[str, str, str], Cube] = {}
@@ -120,7 +131,7 @@ def q_stream_hourly_ingest(spark, sf_dir):
 
 
 def _snap(name, ordered=True, layout="clustered"):
-    level, metric, agg, (s, e) = SNAPSHOTS[name]
+    level, metric, agg, (s, e) = {**SNAPSHOTS, **EXTRA_SNAPSHOTS}[name]
 
     def run(spark, sf_dir):
         c = cube(spark, sf_dir, layout)
@@ -129,7 +140,7 @@ def _snap(name, ordered=True, layout="clustered"):
 
 
 def _series(name, layout="clustered"):
-    level, metric, agg, (s, e) = SERIES[name]
+    level, metric, agg, (s, e) = {**SERIES, **EXTRA_SERIES}[name]
     return lambda spark, sf_dir: series(cube(spark, sf_dir, layout).table(level), level, metric, agg, s, e, STATION)
 
 
@@ -241,6 +252,8 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "snapshot_daily_small_files": _snap("snapshot_daily", layout="small_files"),
         "series_monthly_small_files": _series("series_monthly", layout="small_files"),
     })
+    q.update({n: _snap(n) for n in EXTRA_SNAPSHOTS})
+    q.update({n: _series(n) for n in EXTRA_SERIES})
     return q
 
 
@@ -319,4 +332,6 @@ def oracle_queries() -> dict[str, str]:
     sql["query_dispatch"] = "\nUNION ALL\n".join(parts)
     sql["snapshot_daily_small_files"] = sql["snapshot_daily"]
     sql["series_monthly_small_files"] = sql["series_monthly"]
+    sql.update({n: _snap_sql(*v) for n, v in EXTRA_SNAPSHOTS.items()})
+    sql.update({n: _series_sql(*v) for n, v in EXTRA_SERIES.items()})
     return sql
