@@ -77,3 +77,22 @@ def neighbour_cells(lat: Column, lon: Column, cell_deg: float) -> Column:
                        F.struct(rr.cast("int").alias("gr"), F.pmod(c + dc, F.lit(cols)).cast("int").alias("gc")))
             )
     return F.array_distinct(F.filter(F.array(*cells), lambda x: x.isNotNull()))
+
+
+def box_lower_bound_km(lat: Column, lon: Column, row: Column, col: Column, cell_deg: float) -> Column:
+    """A lower bound of the distance from a point to any point of grid cell (row, col) of edge ``cell_deg``.
+
+    The larger of the latitude gap (along a meridian) and the distance to the
+    nearer bounding meridian of the cell's longitude span (asin(cos(lat) *
+    sin(dlon)), dlon capped at 90 degrees); zero when the point is inside.
+    """
+    lat_lo = row * cell_deg - 90
+    lat_hi = lat_lo + cell_deg
+    lon_lo = col * cell_deg - 180
+    lon_hi = lon_lo + cell_deg
+    dlat = F.greatest(lat_lo - lat, lat - lat_hi, F.lit(0.0))
+    inside = (lon >= lon_lo) & (lon <= lon_hi)
+    dlon = F.when(inside, F.lit(0.0)).otherwise(
+        F.least(F.pmod(lon_lo - lon, F.lit(360.0)), F.pmod(lon - lon_hi, F.lit(360.0))))
+    lon_km = F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(F.least(dlon, F.lit(90.0))))) * EARTH_RADIUS_KM
+    return F.greatest(F.radians(dlat) * EARTH_RADIUS_KM, lon_km)

@@ -28,11 +28,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.geo import block_safe_radius_km, grid_col, grid_row, haversine_km, neighbour_cells
+from ..functions.geo import block_safe_radius_km, box_lower_bound_km, grid_col, grid_row, haversine_km, neighbour_cells
 from ..session import scratch_path
 from .hourly import split_rejects, valid_coordinates, with_station_key
 from .joins import MAX_BROADCAST_ROWS
@@ -40,6 +40,7 @@ from .joins import MAX_BROADCAST_ROWS
 BASE_CELL_DEG = None              # None: pick from the gazetteer's density
 GROWTH = 4                        # cell edge multiplier between levels
 _TIE_MARGIN_KM = 2e-6             # > rounding step of the distance
+_PRUNE_MARGIN_KM = 1e-3           # slack on the cell bounds for floating-point error
 KEY_BITS = 28                     # place keys in [0, 2^28) pack beside a 35-bit distance
 MAX_PLACES_PER_CELL = 256         # base grid: no cell holds more places than this (if 360/2^16 allows)
 FINEST_K = 16                     # finest grid considered: 360/2^16 degrees (~600 m)
@@ -116,13 +117,20 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
         pl_base = F.broadcast(pl_base)
     if base_cell_deg is None:
         base_cell_deg = base_cell_for_occupancy(pl_base, base_cell_for(n_places))
+    # Occupied base cells with one representative place each (its smallest key): the coarse levels join
+    # points to these cells first and prune them by distance bounds before touching their places.
+    occupied = pl_base.groupBy(grid_row(F.col("_plat"), base_cell_deg).alias("bgr"),
+                               grid_col(F.col("_plon"), base_cell_deg).alias("bgc")).agg(
+        F.min_by("_plat", "place_key").alias("_rlat"), F.min_by("_plon", "place_key").alias("_rlon"))
+    if small:
+        occupied = F.broadcast(occupied)
     carry = [c for c in points.columns if c not in (key, lat, lon)]
     cols = [key, lat, lon, *carry]
     pending = points.select(*cols)
     sizes = cell_sizes(base_cell_deg, growth)
     for i, c in enumerate(sizes):
         last = i == len(sizes) - 1
-        best = _level(pending, pl_base, cols, lat, lon, c, packed)
+        best = _level(pending, pl_base, cols, lat, lon, c, packed, base_cell_deg, occupied)
         if last:
             ok = F.lit(True)
         else:
@@ -147,23 +155,45 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
 
 
 def _level(pending: DataFrame, places: DataFrame, cols: list[str], lat: str, lon: str, c: float,
-           packed: bool) -> DataFrame:
-    """Best place per point among the 3x3 block of cells of edge ``c`` (one equi-join + one aggregate)."""
+           packed: bool, base: float | None = None, occupied: DataFrame | None = None) -> DataFrame:
+    """Best place per point among the places in the 3x3 block of cells of edge ``c``.
+
+    On the base grid (every cell holds a bounded number of places) the block's
+    places are joined directly.  On a coarser grid the block may hold a whole
+    dense cluster, so the point is first joined to the occupied base cells of
+    its block; a cell is kept only if a lower bound of its distance is within
+    the smallest distance to any cell's representative place (the best place
+    of the block lies in a kept cell), and only kept cells' places are joined.
+    """
     # explode_outer: a point without valid coordinates still reaches the output (with no place)
     cells = F.when(valid_coordinates(lat, lon), neighbour_cells(F.col(lat), F.col(lon), c))
     pts = pending.select(*cols, F.explode_outer(cells).alias("_cell"))
     pts = pts.select(*cols, F.col("_cell.gr").alias("gr"), F.col("_cell.gc").alias("gc"))
-    pl = places.select("*", grid_row(F.col("_plat"), c).alias("gr"), grid_col(F.col("_plon"), c).alias("gc"))
     dist = haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon"))
+    if base is None or occupied is None or c <= base:
+        pl = places.select("place_key", "_plat", "_plon", grid_row(F.col("_plat"), c).alias("gr"),
+                           grid_col(F.col("_plon"), c).alias("gc"))
+        cand = pts.join(pl, ["gr", "gc"], "left")
+    else:
+        ratio = int(round(c / base))
+        occ = occupied.select("*", F.floor(F.col("bgr") / ratio).cast("int").alias("gr"),
+                              F.floor(F.col("bgc") / ratio).cast("int").alias("gc"))
+        per_cell = pts.join(occ, ["gr", "gc"], "left")
+        rep = haversine_km(F.col(lat), F.col(lon), F.col("_rlat"), F.col("_rlon"))
+        upper = F.min(rep).over(Window.partitionBy(cols[0]))
+        lower = box_lower_bound_km(F.col(lat), F.col(lon), F.col("bgr"), F.col("bgc"), base)
+        kept = per_cell.withColumn("_ub", upper).filter(
+            F.col("bgr").isNull() | (lower <= F.col("_ub") + _PRUNE_MARGIN_KM)).select(*cols, "bgr", "bgc")
+        pl = places.select("place_key", "_plat", "_plon", grid_row(F.col("_plat"), base).alias("bgr"),
+                           grid_col(F.col("_plon"), base).alias("bgc"))
+        cand = kept.join(pl, ["bgr", "bgc"], "left")
     if packed:
-        cand = pts.join(pl.select("place_key", "_plat", "_plon", "gr", "gc"), ["gr", "gc"], "left")
         units = F.round(dist * 1e6).try_cast("long")
         order = F.when(F.col("place_key").isNotNull(), F.shiftleft(units, KEY_BITS) + F.col("place_key"))
         return cand.groupBy(*cols).agg(F.min(order).alias("_ord")).select(
             *cols,
             (F.col("_ord") % (2 ** KEY_BITS)).alias("place_key"),
             (F.shiftright("_ord", KEY_BITS) / 1e6).alias("distance_km"))
-    cand = pts.join(pl, ["gr", "gc"], "left")
     dist = F.round(dist, 6)
     order = F.when(F.col("place_key").isNotNull(), F.struct(dist.alias("_d"), "place_key"))
     return cand.groupBy(*cols).agg(

@@ -162,3 +162,32 @@ def test_sparse_gazetteer_keeps_density_grid(spark):
     pl = spark.createDataFrame(rnd_places(random.Random(5), 25), "place_key long, name string, cc string, lat double, lon double")
     pl = pl.select(F.col("lat").alias("_plat"), F.col("lon").alias("_plon"))
     assert base_cell_for_occupancy(pl, base_cell_for(25)) == base_cell_for(25) == 90.0
+
+
+def test_box_lower_bound_never_exceeds_distance_to_points_in_the_box(spark):
+    from pyspark.sql import functions as F
+
+    from meteocube.functions.geo import box_lower_bound_km, grid_shape
+
+    rng = random.Random(17)
+    rows = []
+    for _ in range(3000):
+        size = rng.choice([360.0 / 2 ** k for k in (2, 4, 6, 9)])
+        nrows, ncols = grid_shape(size)
+        r, c = rng.randrange(nrows), rng.randrange(ncols)
+        plat = rng.choice([rng.uniform(-90, 90), rng.uniform(80, 90), rng.uniform(-90, -80)])
+        plon = rng.choice([rng.uniform(-180, 180), rng.uniform(175, 180), rng.uniform(-180, -175)])
+        qlat = min(r * size - 90 + rng.random() * size, 90.0)
+        qlon = c * size - 180 + rng.random() * size
+        rows.append((plat, plon, r, c, size, qlat, qlon))
+    df = spark.createDataFrame(rows, "plat double, plon double, r int, c int, size double, qlat double, qlon double")
+    by_size = []
+    for size in sorted({x[4] for x in rows}):
+        part = df.filter(F.col("size") == size)
+        by_size.append(part.select(
+            box_lower_bound_km(F.col("plat"), F.col("plon"), F.col("r"), F.col("c"), size).alias("lb"),
+            "plat", "plon", "qlat", "qlon"))
+    got = [r for part in by_size for r in part.collect()]
+    assert len(got) == len(rows)
+    for x in got:
+        assert x.lb <= hav(x.plat, x.plon, x.qlat, x.qlon) + 1e-6, x
