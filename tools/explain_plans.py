@@ -30,6 +30,7 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from meteocube.operators.hourly import hourly_fact
+    from meteocube.functions.geo import grid_col, grid_row
     from meteocube.operators.locations import _level
     from meteocube.plans import catalog
     from meteocube.plans.build import hourly_order
@@ -46,6 +47,10 @@ def main() -> None:
     pl = F.broadcast(tt.nation_gazetteer(spark, sf)).select(
         "place_key", "name", "cc", F.col("lat").alias("_plat"), F.col("lon").alias("_plon"))
     level = _level(pts, pl, ["id", "LATITUDE", "LONGITUDE"], "LATITUDE", "LONGITUDE", 90.0, packed=True)
+    base = 360.0 / 64
+    occupied = F.broadcast(pl.groupBy(grid_row(F.col("_plat"), base).alias("bgr"), grid_col(F.col("_plon"), base).alias("bgc"))
+                           .agg(F.min_by("_plat", "place_key").alias("_rlat"), F.min_by("_plon", "place_key").alias("_rlon")))
+    coarse = _level(pts, pl, ["id", "LATITUDE", "LONGITUDE"], "LATITUDE", "LONGITUDE", 90.0, True, base, occupied)
     sections = [
         ("Build: hourly fact write (REBALANCE on year, month; sort by day, id, time)",
          _clustered(hourly_fact(raw), ("year", "month"), hourly_order())),
@@ -53,6 +58,7 @@ def main() -> None:
         ("A2 monthly rollup from daily (two levels, two exchanges, both pre-aggregated)", q["monthly_rollup"](spark, sf)),
         ("J1 reference join form (for comparison)", q["rollup_join_form"](spark, sf)),
         ("J3 one level of the nearest-place join (grid equi-join, broadcast gazetteer, packed arg-min)", level),
+        ("J3 a coarse level: occupied base cells first, pruned by distance bounds, then their places", coarse),
         ("Q2 snapshot daily over the stored cube", q["snapshot_daily"](spark, sf)),
         ("Q5 series hourly over the stored cube", q["series_hourly"](spark, sf)),
         ("Q3 snapshot monthly over the stored cube", q["snapshot_monthly"](spark, sf)),
