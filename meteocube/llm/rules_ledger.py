@@ -135,7 +135,7 @@ with d as (
   select row_number() over () as r, doc_id, coalesce(text, '') as text from documents
 ), w as (
   select r, doc_id, text, regexp_extract_all(text, {_WORD}) as ws,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, {_WORD})) as ls from d
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, {_WORD})) as ls from d
 ), g as (
   select r, len(ws) as n_words, unnest(range(1, len(ws) - 1)) as i, ws from w where len(ws) >= 3
 ), s as (
@@ -143,7 +143,7 @@ with d as (
 ), m as (
   select r, count(distinct p) as n from (select r, unnest([i, i + 1, i + 2]) as p from s where often >= 2) group by r
 ), b as (
-  select w.doc_id, len(ws)::bigint as n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::bigint as word_chars,
+  select w.doc_id, len(ws)::bigint as n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint as word_chars,
          len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols, (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines,
          coalesce(m.n, 0)::bigint as n_repeat_words, len(ls)::bigint as n_lines
   from w left join m using (r)
