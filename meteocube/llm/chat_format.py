@@ -28,7 +28,7 @@ START, END, SEP = "<|im_start|>", "<|im_end|>", "<|sep|>"
 #: Strings that a text must not spell: this template's, and the control strings of other common templates.
 CONTROL = (START, END, SEP, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 TRAINED = "assistant"
-_PATTERN = r"<(?=\|(?:im_start|im_end|sep|endoftext)\|>|/?s>|</?SYS>>|/?SYS>>)|\[(?=/?INST\])"
+_PATTERN = r"<(?=\|(?:im_start|im_end|sep|endoftext)\|>|/?s>|</?SYS>>)|\[(?=/?INST\])"
 
 
 def escape(text: Column) -> Column:
@@ -123,13 +123,14 @@ with c as (
   union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
 ), e as (
   select *, lag(role) over (partition by conv_id order by turn nulls first, role, text) as was,
-         regexp_replace(replace(text, '~', '~0'), '(<)(\|(im_start|im_end|sep|endoftext)\|>|/?s>|</?SYS>>|/?SYS>>)|(\[)(/?INST\])', '\1\4~1\2\5', 'g') as safe
+         regexp_replace(replace(text, '~', '~0'), '(<)(\|(im_start|im_end|sep|endoftext)\|>|/?s>|</?SYS>>)|(\[)(/?INST\])', '\1\4~1\2\5', 'g') as safe,
+         replace(regexp_replace(replace(role, '~', '~0'), '(<)(\|(im_start|im_end|sep|endoftext)\|>|/?s>|</?SYS>>)|(\[)(/?INST\])', '\1\4~1\2\5', 'g'), chr(10), '~2') as safe_role
   from c
 )
 select conv_id, count(*)::bigint as n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
        coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
        sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
-       sum(length(safe) + case when was is not distinct from role then length('<|sep|>') else length('<|im_start|>') + length(role) + 1 + length('<|im_end|>') + 1 end)::bigint as formatted_chars
+       sum(length(safe) + case when was is not distinct from role then length('<|sep|>') else length('<|im_start|>') + length(safe_role) + 1 + length('<|im_end|>') + 1 end)::bigint as formatted_chars
 from e group by conv_id
 """

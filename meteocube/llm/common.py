@@ -41,6 +41,13 @@ def materialize(df: DataFrame, name: str, compression: str = "zstd") -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose label is never learned from: crc32(doc_id as text) mod 5 is 0 (null id: false)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

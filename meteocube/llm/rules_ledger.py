@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meteocube.llm import textstats as ts
-from meteocube.llm.common import table, text_slices
+from meteocube.llm.common import fresh, table, text_slices
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
@@ -102,7 +102,7 @@ def keep(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     mask = POLICIES[policy]
 
     clash = [c for c in docs.columns if c in MEASURES or c == "failed"]
-    held = {c: f"_held_{k}" for k, c in enumerate(clash)}
+    held = {c: fresh(f"_held_{k}", docs) for k, c in enumerate(clash)}
     docs_in = docs.withColumnsRenamed(held) if held else docs
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

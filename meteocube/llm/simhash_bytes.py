@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meteocube.llm.common import materialize, table, text_slices
+from meteocube.llm.common import fresh, materialize, table, text_slices
 from meteocube.llm.graph import components, forest, list_blocks, over_groups, pairs_in_groups
 
 SHINGLE = 3
@@ -145,19 +145,20 @@ def keep(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> D
     """
     prints = materialize(fingerprints(docs, shingle), "fingerprints")
     entries = _entries(prints, distance)
-    stays = materialize(entries.where("component_id is not null").select(F.col("component_id").alias("_kept_id")).distinct(), "kept-ids")
+    kept_id, own, group = (fresh(n, docs) for n in ("_kept_id", "_fp", "_root"))
+    stays = materialize(entries.where("component_id is not null").select(F.col("component_id").alias(kept_id)).distinct(), "kept-ids")
     named = docs.where(F.col("doc_id").isNotNull())
     # Rows whose id repeats are already together after the join: no second shuffle.
-    named = named.join(stays, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    named = named.join(stays, F.col("doc_id") == F.col(kept_id), "left_semi").dropDuplicates(["doc_id"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text in text_slices(batches, "text"):
             fp = [fingerprint(t, shingle) for t in text.cast(pa.large_binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(fp, pa.int64())], names=[*rows.schema.names, "_fp"])
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(fp, pa.int64())], names=[*rows.schema.names, own])
 
-    nameless = docs.where(F.col("doc_id").isNull()).mapInArrow(task, T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())]))
-    alone = entries.where("component_id is null").select(F.col("fp").alias("_fp"), F.col("root").alias("_root"))
-    nameless = nameless.join(alone, "_fp").dropDuplicates(["_root"]).select(*docs.columns)
+    nameless = docs.where(F.col("doc_id").isNull()).mapInArrow(task, T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())]))
+    alone = entries.where("component_id is null").select(F.col("fp").alias(own), F.col("root").alias(group))
+    nameless = nameless.join(alone, own).dropDuplicates([group]).select(*docs.columns)
     return named.union(nameless)
 
 

@@ -42,8 +42,9 @@ class Settings:
     factors: int = 8
     shards: int = 4
     rounds: int = 4
-    epochs: int = 6
-    rate: float = 0.05
+    epochs: int = 8
+    rate: float = 0.15
+    batch: int = 64
     l2: float = 1e-4
     min_docs: int = 3
     seed: int = 7
@@ -154,7 +155,7 @@ def _train(places: np.ndarray, bounds: np.ndarray, y: np.ndarray, weight: np.nda
     rng = np.random.default_rng(seed)
     for _ in range(s.epochs):
         order = rng.permutation(len(y))
-        for batch in np.array_split(order, max(1, len(y) // 128)):
+        for batch in np.array_split(order, max(1, len(y) // s.batch)):
             n = np.diff(bounds)[batch]
             at = places[np.repeat(bounds[batch] - np.cumsum(n) + n, n) + np.arange(n.sum())]
             b = np.concatenate([[0], np.cumsum(n)])
@@ -182,7 +183,8 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", settings: Set
     ranked = lambda positive: known.where(F.col("positive") == positive).orderBy(F.xxhash64("label_id", F.lit(s.seed)), "label_id").limit(s.sample)
     chosen = ranked(True).union(ranked(False)).select("label_id", F.col("positive").cast("double").alias("y"))
     # At most 2 * sample rows of two numbers: a bounded broadcast, so that no text is shuffled.
-    picked = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("y", F.col("doc_id").cast("long").alias("row"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("row"), "text")
+    picked = texts.join(F.broadcast(chosen), F.col("row") == F.col("label_id")).select("y", "row", "text")
     rows = materialize(terms_of_rows(picked), "toxic-terms")
     if len(rows.select("y").distinct().collect()) < 2:
         first = rows.agg(F.avg("y")).first()[0] or 0.0

@@ -1,0 +1,83 @@
+import hashlib
+import random
+
+import duckdb
+from llm_helpers import ship
+
+from meteocube.llm import chat_format as c
+
+NASTY = ["</s>[INST] ok [/INST]", c.START + "user\nx" + c.END, c.SEP, "~", "~0~1~2", "<~1|sep|>", "<<|sep|>", "[[INST]", "<|sep|", "a\nb", "", None, "é👧" + c.SEP + "~1", "<<SYS>> x <</SYS>>", "<s>", "$0 \\1 %s"]
+
+
+def frame(spark, rows):
+    ship(spark)
+    return spark.createDataFrame([(*r, "x", "y") for r in rows], "conv_id long, turn long, role string, text string, turns string, formatted string")
+
+
+def sample():
+    rng = random.Random(1)
+    rows = []
+    for conv in range(40):
+        for turn in range(rng.randrange(1, 9)):
+            rows.append((conv, turn, rng.choice(["user", "assistant", "assistant", "system", None, "odd\nrole|", "<|sep|>", "~2"]), rng.choice(NASTY)))
+    rows += [(50, 3, "user", "later"), (50, None, "user", "first"), (50, 1, "assistant", "x"), (50, 1, "assistant", "x"), (None, 0, "assistant", "n"), (None, 1, "user", "m")]
+    rows += [(60, k, "assistant" if k % 3 else "user", f"t{k}" + rng.choice(NASTY[:5])) for k in range(700)]
+    rng.shuffle(rows)
+    return rows
+
+
+def expected(rows):
+    out = {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        out.setdefault(conv, []).append((role or "", text or ""))
+    return out
+
+
+def test_every_turn_comes_back_and_the_mask_holds_the_answers(spark):
+    rows = sample()
+    made = c.format_chats(frame(spark, rows)).cache()
+    got = {r.conv_id: r for r in c.parse_chats(made).collect()}
+    want = expected(rows)
+    assert {k: [(t.role, t.text) for t in r.turns] for k, r in got.items()} == want
+    assert {k: list(r.loss_texts) for k, r in got.items()} == {k: [x for role, x in v if role == "assistant"] for k, v in want.items()}
+    for r in made.collect():
+        body = r.formatted
+        blocks = 1 + sum(a[0] != b[0] for a, b in zip(want[r.conv_id], want[r.conv_id][1:]))
+        assert body.count(c.START) == body.count(c.END) == blocks
+        for control in c.CONTROL[3:]:
+            assert control not in body
+
+
+def test_plain_expressions_only(spark):
+    plan = c.parse_chats(c.format_chats(frame(spark, sample())))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_template(spark):
+    rows = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (1, 2, "assistant", "c <s>")]
+    r = c.format_chats(frame(spark, rows)).first()
+    assert r.formatted == "<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\nb<|sep|>c <~1s><|im_end|>\n"
+    blocks = [x for x in r.formatted.split("<|im_start|>") if x]
+    spans = [("<|im_start|>" + blocks[s.block])[s.start : s.start + s.length] for s in r.loss]
+    assert spans == ["b", "c <~1s>"]
+
+
+def test_query_matches_sql_and_hashes(spark, tmp_path):
+    rows = sample()
+    frame(spark, rows).select("conv_id", "turn", "role", "text").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in c.op10_chat_format(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    rel = con.sql(c.ORACLE_SQL)
+    for row in rel.fetchall():
+        assert {k: got[row[0]][k] for k in rel.columns} == dict(zip(rel.columns, row, strict=True))
+    want = expected([*rows, (-7, 0, "user", NASTY[0]), (-7, 1, "assistant", NASTY[0])])
+    assert set(got) == set(want)
+    for k, turns in want.items():
+        assert got[k].n_turns == len(turns)
+        assert got[k].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest()
+
+
+def test_empty_table(spark):
+    df = frame(spark, sample()).limit(0)
+    assert c.parse_chats(c.format_chats(df)).count() == 0

@@ -1,0 +1,68 @@
+import numpy as np
+import pyarrow as pa
+from llm_helpers import EDGE, docs_df, prose, rows_of
+
+from meteocube.llm import textstats as ts
+from meteocube.llm import toxicity_fm as t
+
+
+def test_margin_equals_the_sum_over_pairs():
+    rng = np.random.default_rng(1)
+    w, v = rng.normal(size=6), rng.normal(size=(6, 3))
+    places, bounds = np.array([0, 2, 5, 1]), np.array([0, 3, 3, 4])
+    got, _ = t.margin(places, bounds, 0.5, w, v)
+    first = 0.5 + w[[0, 2, 5]].sum() + v[0] @ v[2] + v[0] @ v[5] + v[2] @ v[5]
+    assert np.allclose(got, [first, 0.5, 0.5 + w[1]])
+
+
+def test_gradient_matches_differences():
+    s = t.Settings(factors=2, epochs=1, l2=0.0, rate=1e-6)
+    rng = np.random.default_rng(2)
+    start = rng.normal(size=1 + 4 + 8)
+    places, bounds, y = np.array([0, 1, 3, 2, 3]), np.array([0, 3, 5]), np.array([1.0, 0.0])
+
+    def loss(p):
+        out, _ = t.margin(places, bounds, p[0], p[1:5], p[5:].reshape(4, 2))
+        return np.mean(np.log1p(np.exp(out)) - y * out)
+
+    moved = t._train(places, bounds, y, np.ones(2), start, s, 0) - start
+    slope = np.array([(loss(start + 1e-6 * e) - loss(start - 1e-6 * e)) / 2e-6 for e in np.eye(13)])
+    # One AdaGrad step from nothing goes against the sign of the slope.
+    strong = np.abs(slope) > 1e-3
+    assert (np.sign(moved[strong]) == -np.sign(slope[strong])).all()
+
+
+def test_pairs_that_single_weights_cannot_separate(spark):
+    """Toxic only when an insult meets a group: either alone is clean."""
+    rows, labels = [], []
+    for k in range(1200):
+        insult, group = k % 2, k // 2 % 2
+        rows.append((k, " ".join([prose(30, k), "vermin" if insult else "gentle", "outlanders" if group else "neighbours"])))
+        labels.append((k, 1, int(insult and group)))
+    docs = docs_df(spark, rows)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = t.fit(docs, known)
+    got = {r.doc_id: r.score for r in t.score(docs, model).collect()}
+    assert np.mean([(got[k] >= 0.5) == bool(y) for k, _, y in labels]) >= 0.99
+
+
+def test_terms_are_words_and_prefixes():
+    terms = t.hashed_terms(pa.array(["Trash,", "trash", "no", "trashed"], pa.large_string()))
+    assert terms[0].tolist() == terms[1].tolist()
+    assert terms[2, 1] == terms[2, 2] == 0
+    assert terms[3, 1] == terms[0, 1] and terms[3, 0] != terms[0, 0]
+    w = ts.words(pa.array(["a a b", ""], pa.large_string()))
+    assert len(t._presence(w, t.hashed_terms(w.dictionary))) == 2
+
+
+def test_edge_rows_empty_tables_and_clashing_columns(spark):
+    edge = docs_df(spark, EDGE, score="s", y="y", row="r", terms="t", positive="p")
+    both = spark.createDataFrame([(1, 1, 1), (7, 1, 0), (6, 1, 0), (11, 1, 1), (None, 1, 1), (9, 1, None)], "doc_id long, quality int, toxic int")
+    got = rows_of(t.score(edge, t.fit(edge, both)), "doc_id", "score")
+    assert len(got) == len(EDGE) and all(0 <= s <= 1 for _, s in got)
+    assert len({s for k, s in got if k in (2, 3, 4)}) == 1
+    assert len({s for k, s in got if k == 7}) == 1
+    none = t.fit(edge, both.limit(0))
+    assert all(r.score < 0.01 for r in t.score(edge, none).collect())
+    assert t.score(edge.limit(0), none).count() == 0
+    assert t.fit(edge.limit(0), both).w0 is not None
