@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meteocube.llm.common import table, text_slices
-from meteocube.llm.tokens import BYTE_BPE, encode_apart, gather, ragged_binary, ragged_ids, specials, tokenizer, vocabulary
+from meteocube.llm.tokens import BYTE_BPE, gather, has_special, pieces_of, ragged, ragged_binary, ragged_ids, specials, tokenizer, vocabulary, whole_texts
 
 LONG = 16384
 LEAF = 4096
@@ -64,8 +64,7 @@ def encode_slice(path: str, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of every text of a slice, flat, and the texts' bounds."""
     t = tokenizer(path)
     odd = pc.match_substring_regex(text, r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}] ").to_numpy(zero_copy_only=False)
-    for s in specials(t).values():
-        odd = odd | pc.match_substring(text, s).to_numpy(zero_copy_only=False)
+    odd = odd | has_special(t, text)
     plain = pc.if_else(pa.array(odd), "", text)
     lists = pc.split_pattern(plain, " ")
     offsets = lists.offsets.to_numpy().astype(np.int64)
@@ -78,14 +77,8 @@ def encode_slice(path: str, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     idx = np.zeros(len(units), np.int64)
     idx[~first] = later.indices.to_numpy(zero_copy_only=False)
     idx[first] = head.indices.to_numpy(zero_copy_only=False) + len(later.dictionary)
-    out, bounds = gather(*encode_apart(t, pieces), idx)
-    bounds = bounds[offsets]
-    if not odd.any():
-        return out, bounds
-    parts = [out[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-    for k in np.flatnonzero(odd):
-        parts[k] = np.array(t.encode(text[int(k)].as_py(), add_special_tokens=False).ids, dtype=np.uint32)
-    return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    out, bounds = gather(*ragged(pieces_of(path).encode(pieces)), idx)
+    return whole_texts(t, text, out, bounds[offsets], odd)
 
 
 # --- long texts ---

@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meteocube.llm.common import materialize, scratch, table
-from meteocube.llm.tokens import END_ID, WORD_BPE, encode_documents, ragged_binary, ragged_ids, vocabulary
+from meteocube.llm.tokens import END_ID, WORD_BPE, encode_documents, narrow, ragged_binary, ragged_ids, vocabulary
 
 STEP = 128
 BLOCK_IDS = 1 << 18
@@ -118,13 +118,13 @@ class Code:
         return out.ravel()[:n]
 
 
-def count_ids(encoded: DataFrame) -> DataFrame:
+def count_ids(encoded: DataFrame, kind: str = "<u4") -> DataFrame:
     """(id, n) over all documents; every partition adds up its own first."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            ids, _ = ragged_ids(batch.column(0))
+            ids, _ = ragged_ids(batch.column(0), kind)
             if len(ids):
                 more = np.bincount(ids)
                 total = np.pad(total, (0, max(0, len(more) - len(total))))
@@ -135,10 +135,10 @@ def count_ids(encoded: DataFrame) -> DataFrame:
     return encoded.select("ids").mapInArrow(task, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def write(encoded: DataFrame, path: str, step_ids: int = BLOCK_IDS) -> None:
-    """Write (doc_id, ids) as files of the format in ascending doc_id order."""
+def write(encoded: DataFrame, path: str, step_ids: int = BLOCK_IDS, kind: str = "<u4") -> None:
+    """Write (doc_id, ids) as files of the format in ascending doc_id order; ``kind``: the integer type of the ids."""
     spark = encoded.sparkSession
-    counts = count_ids(encoded).orderBy("id").collect()  # as many rows as the vocabulary has ids
+    counts = count_ids(encoded, kind).orderBy("id").collect()  # as many rows as the vocabulary has ids
     ids = np.array([r.id for r in counts], np.int64)
     lengths = code_lengths(np.array([r.n for r in counts], np.int64))
     book = spark.createDataFrame(list(zip(ids.tolist(), lengths.tolist(), strict=True)), "id long, length long")
@@ -162,7 +162,7 @@ def write(encoded: DataFrame, path: str, step_ids: int = BLOCK_IDS) -> None:
             return pa.RecordBatch.from_arrays([pa.array([v], pa.binary() if isinstance(v, bytes) else pa.int64()) for v in row], names=names)
 
         for batch in batches:
-            flat, bounds = ragged_ids(batch.column(1))
+            flat, bounds = ragged_ids(batch.column(1), kind)
             key = batch.column(0).fill_null(NULL_ID).to_numpy()
             at = 0
             while at < len(key):
@@ -209,8 +209,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op5_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = materialize(encode_documents(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), END_ID), "token-ids")
+    words = vocabulary(WORD_BPE)
+    encoded = materialize(encode_documents(table(spark, sf_dir, "documents"), words, END_ID, narrow(words)), "token-ids")
     path = scratch(spark, "huffman")
-    write(encoded, path)
+    write(encoded, path, kind=narrow(words))
     out = read(spark, path)
     return out.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))

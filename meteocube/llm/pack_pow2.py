@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meteocube.llm.common import materialize, table, text_slices
-from meteocube.llm.tokens import END_ID, WORD_BPE, encode_slice, ragged_binary, tokenizer, vocabulary, with_end
+from meteocube.llm.tokens import END_ID, WORD_BPE, encode_slice, ragged_binary, vocabulary, with_end
 
 LONGEST = 4096
 
@@ -43,10 +43,10 @@ def pieces(docs: DataFrame, path: str, end_id: int = END_ID, longest: int = LONG
         raise ValueError("longest must be a power of two")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, part = tokenizer(path), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         seen = np.zeros(int(np.log2(longest)) + 1, np.int64)
         for rows, text in text_slices(batches, "text"):
-            ids, bounds = with_end(*encode_slice(t, text), end_id)
+            ids, bounds = with_end(*encode_slice(path, text), end_id)
             n = np.diff(bounds)
             doc, length = piece_lengths(n, longest)
             cuts = np.concatenate([[0], np.cumsum(length)])

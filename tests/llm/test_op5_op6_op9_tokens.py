@@ -38,13 +38,20 @@ def test_word_ids_equal_the_library(spark):
     assert got == sorted((str(i), [*library(WORD, t), tk.END_ID]) for i, t in rows)
 
 
+def test_memory_of_pieces_only_saves_time():
+    few, texts = tk.Pieces(WORD, keep=3), [prose(40, k).split() for k in range(5)]
+    for words in texts + texts[::-1]:
+        assert few.encode(words) == [np.array(library(WORD, x), "<u4").tobytes() for x in words]
+        assert len(few.new) <= 3 + len(words) and len(few.old) <= 3 + 40
+
+
 def test_random_texts_equal_the_library():
     rng = random.Random(10)
     alphabet = "abcdeXYZ éßΣσςÀ0129٣.,'’!?<|>-_~\n\t\r\x0b\x1c\x85  ​　́ͅﬁ漢👧"
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(3000)]
     texts += ["'s 'S it's", "a's'll", "İI ı ŉ ẞ", "ΑΣ ΑΣ. ΑΣΑ Σ", "<|endoftext|", "x<|endoftext|>y z", " <|endoftext|> "]
     arr = pa.array(texts, pa.large_string())
-    for path, encode in ((WORD, lambda a: tk.encode_slice(tk.tokenizer(WORD), a)), (BYTE, lambda a: b.encode_slice(BYTE, a))):
+    for path, encode in ((WORD, lambda a: tk.encode_slice(WORD, a)), (BYTE, lambda a: b.encode_slice(BYTE, a))):
         ids, bounds = encode(arr)
         for k, t in enumerate(texts):
             assert ids[bounds[k] : bounds[k + 1]].tolist() == library(path, t), (path, t)
@@ -89,7 +96,8 @@ def test_files_give_back_every_document_in_order(spark, block):
     rows = [*EDGE, *[(1000 - k, prose(k % 40, k)) for k in range(150)]]
     docs = docs_df(spark, rows, ids="i", part="p", start="s")
     path = scratch(spark, "huffman-test")
-    h.write(tk.encode_documents(docs, WORD), path, block)
+    kind = "<u4" if block == 64 else tk.narrow(WORD)
+    h.write(tk.encode_documents(docs, WORD, kind=kind), path, block, kind)
     got = h.read(spark, path).collect()
     want = [(i, [*library(WORD, t), tk.END_ID]) for i, t in rows]
     assert sorted((str(r.doc_id), ids_of(r.ids)) for r in got) == sorted((str(i), x) for i, x in want)
