@@ -191,6 +191,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     # One row per file of the format, however many documents it holds.
     sums = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = sums.select(F.col("part").alias("_part"), (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before"))
+    before = materialize(before, "part-starts")  # small files: the blocks are joined where they lie, not shuffled
     blocks = blocks.join(before, blocks.part == before._part).select("before", "start", "n_ids", "doc_ids", "doc_lengths", "checkpoints", "payload")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
