@@ -44,7 +44,7 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--out", default=None)
     args = p.parse_args(argv)
 
-    from .plans.build import Cube, build, ingest_csv
+    from .plans.build import build, ingest_csv, open_cube
     from .plans.dispatch import answer, query
 
     spark = _session()
@@ -54,7 +54,7 @@ def main(argv: list[str] | None = None) -> int:
         build(spark, spark.read.parquet(args.raw), spark.read.parquet(args.places), args.root,
               layout=args.layout, id_mode=args.id_mode)
     else:
-        cube = Cube(spark, args.root.rstrip("/"))
+        cube = open_cube(spark, args.root)
         if args.out:
             query(cube, args.level, args.metric, args.agg, args.start, args.end, args.id).write.mode(
                 "overwrite").parquet(args.out)

@@ -22,14 +22,6 @@ def parse_day(value: str | dt.date | dt.datetime) -> dt.date:
     return dt.datetime.strptime(str(value).strip(), "%Y-%m-%d").date()
 
 
-def year_of(c: Column | str) -> Column:
-    return F.year(F.col(c) if isinstance(c, str) else c)
-
-
-def month_of(c: Column | str) -> Column:
-    return F.month(F.col(c) if isinstance(c, str) else c)
-
-
 def year_month_code(year: str = "year", month: str = "month") -> Column:
     """year*100+month, e.g. 199701."""
     return F.col(year) * 100 + F.col(month)

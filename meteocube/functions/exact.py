@@ -1,11 +1,15 @@
-"""Exact two-decimal arithmetic for averages.
-
-A double ``round(avg(x), 2)`` depends on summation order, so two engines (or
-two partitionings) can disagree on halves.  Measures are carried as integer
-hundredths instead: sums and counts are exact longs, the quotient is rounded
-half away from zero with integer division, and only the final value becomes
-a double.  All aggregate buffers stay sum/count/min/max, so Spark still does
-partial (map-side) aggregation.
+"""Exact means of readings, rounded once.
+
+A double ``round(avg(x), 2)`` depends on summation order, so two engines (or two partitionings) can
+disagree on halves.  Here a reading is the decimal number that its shortest text spells (to 12
+places; from 2^53 on the whole number that it is), sums are exact, and only the finished mean is rounded: to 2 places, halves away from zero.
+
+Two exact accumulators share the work.  A reading with at most 2 decimals and below 1e9 is added as a
+long of hundredths, which costs no more than adding doubles; every other reading is added as a
+DECIMAL(38, 12).  Both are plain sums, so Spark still aggregates before the shuffle.
+
+NaN and infinities are missing values.  A finite reading of ``LARGEST`` or more fails the query with a
+message that names it: nothing is dropped or set to NULL silently.
 """
 
 from __future__ import annotations
@@ -13,32 +17,75 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+LARGEST = 1e21
+_HUNDREDTHS_BELOW = 1e9
+_WHOLE, _PART = 2.0**53, 2.0**40
+_DEC, _SUM = "decimal(38,12)", "decimal(35,12)"
 
-def to_cents(c: Column | str) -> Column:
-    """Value in hundredths as a long (HALF_UP beyond the second decimal).
 
-    Non-finite readings (NaN, +-Infinity, also accepted by the text parser) become
-    NULL, i.e. missing, instead of failing the job under ANSI casts.
-    """
+def finite(c: Column | str) -> Column:
+    """The reading, NULL when it is not a finite number."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c * 100).try_cast("long")
+    return F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
 
 
-def from_cents(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c / 100.0
+def parts(value: str, prefix: str) -> list[Column]:
+    """Columns ``{prefix}_c`` (hundredths as long) and ``{prefix}_d`` (decimal): one of them holds the finite ``value``."""
+    v = F.col(value)
+    small = F.abs(v) < _HUNDREDTHS_BELOW
+    cents = F.when(small, F.round(v * 100)).cast("long")
+    short = small & (cents / 100.0 == v)
+    too_large = F.raise_error(F.concat(F.lit("reading too large for exact sums: "), v.cast("string"))).cast(_DEC)
+    # From 2^53 on a double is a whole number, and its text may round it: taken exactly, in two parts.
+    high = F.floor(v / _PART).cast("long")
+    low = (v - high * _PART).cast("long")
+    whole = high.cast("decimal(12,0)") * F.lit(int(_PART)).cast("decimal(13,0)") + low.cast("decimal(13,0)")
+    decimal = F.when(F.abs(v) >= LARGEST, too_large).when(F.abs(v) >= _WHOLE, whole.cast(_DEC)).otherwise(v.cast(_DEC))
+    return [F.when(short, cents).alias(f"{prefix}_c"), F.when(v.isNotNull() & ~short, decimal).alias(f"{prefix}_d")]
+
+
+def buffers(prefix: str) -> list[Column]:
+    """Aggregates over ``parts``: the two sums and the number of readings."""
+    c, d = F.col(f"{prefix}_c"), F.col(f"{prefix}_d")
+    return [F.sum(c).alias(f"{prefix}_sc"), F.sum(d).alias(f"{prefix}_sd"),
+            F.count(F.when(c.isNotNull() | d.isNotNull(), 1)).alias(f"{prefix}_n"), F.count(d).alias(f"{prefix}_nd")]
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once (inlining it at each place would multiply the generated code)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _decimal_mean(total: Column, count: Column) -> Column:
+    """total / count to 2 places, half away from zero, for an exact decimal total."""
+    cent, half = F.lit("0.01").cast("decimal(3,2)"), F.lit("0.005").cast("decimal(4,3)")
+
+    def corrected(near: Column) -> Column:
+        # The quotient of two decimals is itself rounded (to its last place), so the hundredths it gives are
+        # checked against the exact remainder and corrected by one.
+        rest = F.abs(total) - (near * count).cast(_SUM)
+        return F.when(rest >= count * half, near + cent).when(rest < -(count * half), near - cent).otherwise(near)
+
+    size = _let(F.round(F.abs(total) / count, 2).cast("decimal(23,2)"), corrected).cast("double")
+    return F.when(total < 0, -size).otherwise(size)
+
 
+def mean(prefix: str) -> Column:
+    """The exact mean over ``buffers``, rounded to 2 places, as a double; NULL without readings."""
+    sc, sd, n, nd = (F.col(f"{prefix}_{x}") for x in ("sc", "sd", "n", "nd"))
+    whole = F.expr(f"(2 * abs(`{prefix}_sc`) + `{prefix}_n`) div (2 * `{prefix}_n`)")
+    short = F.when(sc < 0, -whole).otherwise(whole) / 100.0
 
-def half_up_quotient(sum_name: str, count_name: str) -> Column:
-    """round(sum / count) half away from zero, in integer arithmetic.
+    def long(x: Column) -> Column:
+        # Without ANSI mode an overflowing decimal sum is NULL; it must not pass for "no such readings".
+        safe = F.coalesce(x["sd"], F.raise_error(F.lit("sum of readings too large")).cast(_DEC)).cast(_SUM)
+        cents = F.coalesce(x["sc"], F.lit(0)).cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")
+        return _let((cents.cast(_SUM) + safe).cast(_SUM), lambda total: _decimal_mean(total, x["n"].cast("decimal(11,0)")))
 
-    Works on named (already aggregated) long columns; NULL when count is 0.
-    """
-    s, n = sum_name, count_name
-    q = F.expr(f"(2 * abs(`{s}`) + `{n}`) div (2 * `{n}`)")
-    return F.when(F.col(n) > 0, F.when(F.col(s) < 0, -q).otherwise(q))
+    exact = _let(F.struct(sc.alias("sc"), sd.alias("sd"), n.alias("n")), long)
+    return F.when(nd > 0, exact).when(n > 0, short)
 
 
-def half_up_mean_value(sum_name: str, count_name: str) -> Column:
-    """Exact mean of hundredths, rounded to 2 places, as a double."""
-    return from_cents(half_up_quotient(sum_name, count_name))
+def rounded(c: Column | str) -> Column:
+    """A reading to 2 places, halves away from zero, as its decimal text reads."""
+    return F.round(F.col(c) if isinstance(c, str) else c, 2)

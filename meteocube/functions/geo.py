@@ -34,65 +34,20 @@ def grid_col(lon: Column, cell_deg: float) -> Column:
     return F.pmod(F.floor((lon + 180) / cell_deg), F.lit(cols)).cast("int")
 
 
-def block_safe_radius_km(lat: Column, lon: Column, cell_deg: float) -> Column:
-    """Distance from a point to the outside of its 3x3 block of cells.
-
-    Any place outside the block is at least this far away, so a best match
-    inside the block that is closer than this is the global nearest.
-    Latitude edges: distance along the meridian.  Longitude edges: distance
-    to the bounding meridian, asin(cos(lat) * sin(dlon)), capped at the
-    pole distance once dlon reaches 90 degrees.
-    """
-    rows, cols = grid_shape(cell_deg)
-    r = grid_row(lat, cell_deg)
-    c = F.floor((lon + 180) / cell_deg)
-    big = F.lit(float("inf"))
-    lat_lo = (r - 1) * cell_deg - 90
-    lat_hi = (r + 2) * cell_deg - 90
-    d_lo = F.when(r - 1 < 0, big).otherwise(lat - lat_lo)
-    d_hi = F.when(r + 1 > rows - 1, big).otherwise(lat_hi - lat)
-    lat_deg = F.least(d_lo, d_hi)
-    lat_km = F.radians(lat_deg) * EARTH_RADIUS_KM
-    if 3 >= cols:
-        lon_km = big
-    else:
-        lon_lo = (c - 1) * cell_deg - 180
-        lon_hi = (c + 2) * cell_deg - 180
-        dlon = F.least(lon - lon_lo, lon_hi - lon, F.lit(90.0))
-        lon_km = F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(dlon))) * EARTH_RADIUS_KM
-    return F.least(lat_km, lon_km)
-
-
-def neighbour_cells(lat: Column, lon: Column, cell_deg: float) -> Column:
-    """Distinct (row, col) structs of the 3x3 block around a point (wraps in lon)."""
-    rows, cols = grid_shape(cell_deg)
-    r = grid_row(lat, cell_deg)
-    c = F.floor((lon + 180) / cell_deg)
-    cells = []
-    for dr in (-1, 0, 1):
-        for dc in (-1, 0, 1):
-            rr = r + dr
-            cells.append(
-                F.when((rr >= 0) & (rr <= rows - 1),
-                       F.struct(rr.cast("int").alias("gr"), F.pmod(c + dc, F.lit(cols)).cast("int").alias("gc")))
-            )
-    return F.array_distinct(F.filter(F.array(*cells), lambda x: x.isNotNull()))
-
-
 def box_lower_bound_km(lat: Column, lon: Column, row: Column, col: Column, cell_deg: float) -> Column:
-    """A lower bound of the distance from a point to any point of grid cell (row, col) of edge ``cell_deg``.
+    """The smallest distance from a point to grid cell (row, col) of edge ``cell_deg``; zero inside it.
 
-    The larger of the latitude gap (along a meridian) and the distance to the
-    nearer bounding meridian of the cell's longitude span (asin(cos(lat) *
-    sin(dlon)), dlon capped at 90 degrees); zero when the point is inside.
+    Within the cell's longitudes it is the gap along the meridian.  Elsewhere the nearest point lies on the
+    nearer bounding meridian: at one of its two corners, or at the foot of the perpendicular
+    (latitude atan2(sin lat, cos lat * cos dlon)) when that is between them.
     """
     lat_lo = row * cell_deg - 90
     lat_hi = lat_lo + cell_deg
     lon_lo = col * cell_deg - 180
     lon_hi = lon_lo + cell_deg
-    dlat = F.greatest(lat_lo - lat, lat - lat_hi, F.lit(0.0))
+    gap = F.radians(F.greatest(lat_lo - lat, lat - lat_hi, F.lit(0.0))) * EARTH_RADIUS_KM
     inside = (lon >= lon_lo) & (lon <= lon_hi)
-    dlon = F.when(inside, F.lit(0.0)).otherwise(
-        F.least(F.pmod(lon_lo - lon, F.lit(360.0)), F.pmod(lon - lon_hi, F.lit(360.0))))
-    lon_km = F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(F.least(dlon, F.lit(90.0))))) * EARTH_RADIUS_KM
-    return F.greatest(F.radians(dlat) * EARTH_RADIUS_KM, lon_km)
+    dlon = F.least(F.pmod(lon_lo - lon, F.lit(360.0)), F.pmod(lon - lon_hi, F.lit(360.0)))
+    foot = F.degrees(F.atan2(F.sin(F.radians(lat)), F.cos(F.radians(lat)) * F.cos(F.radians(dlon))))
+    to = lambda at: haversine_km(lat, F.lit(0.0), at, dlon)
+    return F.when(inside, gap).otherwise(F.least(to(lat_lo), to(lat_hi), F.when((foot >= lat_lo) & (foot <= lat_hi), to(foot))))

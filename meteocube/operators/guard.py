@@ -12,22 +12,22 @@ TOO_LARGE = "Too Large"
 OK = "ok"
 
 
-def capped_count(df: DataFrame, cap: int = ROW_LIMIT) -> int:
-    """Rows of ``df`` reported up to ``cap + 1``; a distributed count (partial counts per task)."""
-    return min(df.count(), cap + 1)
+def status_of(rows: int, cap: int | None = ROW_LIMIT) -> str:
+    """O4: 'No Data' for an empty answer, 'Too Large' beyond ``cap`` rows (None: never), else 'ok'."""
+    return NO_DATA if rows == 0 else TOO_LARGE if cap is not None and rows > cap else OK
 
 
-def check_result(df: DataFrame, cap: int = ROW_LIMIT) -> str:
-    """O4: 'No Data' for an empty answer, 'Too Large' beyond ``cap`` rows, else 'ok'."""
-    n = capped_count(df, cap)
-    return NO_DATA if n == 0 else TOO_LARGE if n > cap else OK
+def check_result(df: DataFrame, cap: int | None = ROW_LIMIT) -> str:
+    """The status of an answer, from its true row count (a distributed count)."""
+    return status_of(df.count(), cap)
 
 
-def guard_status(df: DataFrame, cap: int = ROW_LIMIT) -> DataFrame:
-    """O4 as a one-row DataFrame (n_rows reported up to cap+1, status), evaluated by Spark."""
-    n = df.agg(F.least(F.count(F.lit(1)), F.lit(cap + 1)).alias("n_rows"))
-    status = F.when(F.col("n_rows") == 0, F.lit(NO_DATA)).when(F.col("n_rows") > cap, F.lit(TOO_LARGE)).otherwise(F.lit(OK))
-    return n.select("n_rows", status.alias("status"))
+def guard_status(df: DataFrame, cap: int | None = ROW_LIMIT) -> DataFrame:
+    """O4 as a one-row DataFrame (n_rows: the true count, status), evaluated by Spark."""
+    n = F.col("n_rows")
+    too_large = F.lit(False) if cap is None else n > cap
+    status = F.when(n == 0, F.lit(NO_DATA)).when(too_large, F.lit(TOO_LARGE)).otherwise(F.lit(OK))
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", status.alias("status"))
 
 
 def value_range(df: DataFrame, column: str) -> DataFrame:
@@ -40,12 +40,12 @@ def preview(df: DataFrame, order: list[str | Column], n: int = 5) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def fetch(df: DataFrame, cap: int = ROW_LIMIT, count_df: DataFrame | None = None):
-    """(status, pandas frame) -- the answer reaches the driver only after the guard passes.
+def fetch(df: DataFrame, order: list[str], cap: int = ROW_LIMIT):
+    """(status, pandas frame or None) of an unsorted answer, evaluated once.
 
-    At most ``cap`` rows ever travel to the driver; otherwise the frame is None.
-    ``count_df`` is the same answer without its final sort, if the caller has it
-    (counting a sorted plan under a limit costs a top-k).
+    At most ``cap`` + 1 rows reach the driver; one row too many is the sign of a too large answer. Within
+    the cap the frame is sorted here, by ``order``.
     """
-    status = check_result(count_df if count_df is not None else df, cap)
-    return status, (df.toPandas() if status == OK else None)
+    frame = df.limit(cap + 1).toPandas()
+    status = status_of(len(frame), cap)
+    return status, (frame.sort_values(order, kind="stable", ignore_index=True) if status == OK else None)

@@ -1,27 +1,21 @@
 """Station cells, location dimension and nearest-place lookup.
 
-Nearest place, exactly, without a cross join
---------------------------------------------
-Places are bucketed on a lat/lon grid (the density-chosen grid, refined until
-its fullest cell holds at most MAX_PLACES_PER_CELL places); each point is
-exploded to the 3x3 block of cells around it and equi-joined to the places in
-those cells.  The
-best candidate in the block is provably the global nearest when it is closer
-than the distance from the point to the outside of the block
-(``functions.geo.block_safe_radius_km``).  Points that cannot be proven
-(empty block, or a candidate beyond the safe radius) move to the next,
-coarser grid; the last grid has one row of two cells, so its block is the
-whole globe and every point resolves.  Each level is one equi-join plus one
-aggregation; each level is written once as a parquet table in the cluster's
-shared folder and read back, which cuts lineage (a lost executor re-runs one
-level, not the chain) and computes the level only once.
-
-Ties: distance rounded to 1e-6 km, then the smaller ``place_key`` wins, so copies
-at identical coordinates are reduced to their smallest key before the join.  When
-place keys fit in 28 bits (checked in the same job that counts the places),
-(distance in 1e-6 km, place_key) is packed into one long, so the arg-min is a
-plain ``min`` that hash-aggregates with a fixed-width buffer; otherwise a
-``min_by`` over a struct ordering does the same (sort-based aggregation).
+Nearest place, exactly, by descending a hierarchy of cells
+----------------------------------------------------------
+Places are bucketed on a lat/lon grid of cells 360/2^k degrees (fine enough that no cell holds more than
+MAX_PLACES_PER_CELL places, down to 360/2^FINEST_K degrees), and every coarser grid of the hierarchy is the
+same table with rows and columns divided: an occupied cell with one of its places as representative.
+
+A point starts with the two cells of the coarsest grid.  At each level its cells are joined to their occupied
+child cells, the distances to the children's representatives give an upper bound of the distance to
+the nearest place, and a child stays only if the lower bound of its distance does not exceed that.  So a point
+carries a small frontier of cells from level to level, never the cells of a whole block, and on the finest grid only
+the places of the frontier's cells are joined.  The nearest place always lies in the frontier: the result is
+exact for any input.  Levels join cells, whose number on a grid is bounded by the grid itself (2^(2k-1)) and by
+the number of places; they are broadcast while that bound is small.
+
+Ties: distance rounded to 1e-6 km, then the smaller ``place_key`` wins, for keys of any type, so copies at identical
+coordinates are reduced to their smallest key before the join.
 """
 
 from __future__ import annotations
@@ -30,20 +24,17 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.geo import block_safe_radius_km, box_lower_bound_km, grid_col, grid_row, haversine_km, neighbour_cells
+from ..functions.geo import box_lower_bound_km, grid_col, grid_row, haversine_km
 from ..session import scratch_path
 from .hourly import split_rejects, valid_coordinates, with_station_key
 from .joins import MAX_BROADCAST_ROWS
 
 BASE_CELL_DEG = None              # None: pick from the gazetteer's density
 GROWTH = 4                        # cell edge multiplier between levels
-_TIE_MARGIN_KM = 2e-6             # > rounding step of the distance
 _PRUNE_MARGIN_KM = 1e-3           # slack on the cell bounds for floating-point error
-KEY_BITS = 28                     # place keys in [0, 2^28) pack beside a 35-bit distance
-MAX_PLACES_PER_CELL = 256         # base grid: no cell holds more places than this (if 360/2^16 allows)
-FINEST_K = 16                     # finest grid considered: 360/2^16 degrees (~600 m)
+MAX_PLACES_PER_CELL = 256         # base grid: no cell holds more places than this (if 360/2^FINEST_K allows)
+FINEST_K = 24                     # finest grid considered: 360/2^24 degrees (~2 m)
 
 
 def base_cell_for(n_places: int) -> float:
@@ -53,7 +44,7 @@ def base_cell_for(n_places: int) -> float:
     at ~0.7 degree, a handful of places at 90 degrees.
     """
     k = int((math.log2(max(n_places, 1)) + 1) // 2)
-    return 360.0 / 2 ** min(max(k, 1), 12)
+    return 360.0 / 2 ** min(max(k, 1), FINEST_K)
 
 
 def base_cell_for_occupancy(places: DataFrame, coarsest: float, cap: int = MAX_PLACES_PER_CELL) -> float:
@@ -76,12 +67,20 @@ def base_cell_for_occupancy(places: DataFrame, coarsest: float, cap: int = MAX_P
     return 360.0 / 2 ** ks[-1]
 
 
-def cell_sizes(base: float, growth: int = GROWTH) -> list[float]:
-    sizes, c = [], base
-    while c < 180.0:
-        sizes.append(c)
-        c *= growth
-    return sizes + [180.0]
+def cell_power(cell_deg: float) -> int:
+    """k of a cell edge 360/2^k; ValueError for an edge that does not divide the globe this way."""
+    k = round(math.log2(360.0 / cell_deg)) if cell_deg > 0 else 0
+    if not 1 <= k <= FINEST_K or 360.0 / 2 ** k != cell_deg:
+        raise ValueError(f"cell edges are 360/2^k degrees with k from 1 to {FINEST_K}, got {cell_deg!r}")
+    return k
+
+
+def level_powers(base_k: int, growth: int = GROWTH) -> list[int]:
+    """Grids of the hierarchy from the coarsest (k = 1: two cells) to the base, as powers k."""
+    step = int(growth).bit_length() - 1
+    if step < 1 or 2 ** step != growth:
+        raise ValueError(f"growth must be a power of two and at least 2, got {growth!r}")
+    return [1, *sorted(k for k in range(base_k, 1, -step))] if base_k > 1 else [1]
 
 
 def station_cells(raw: DataFrame, id_mode: str = "cell") -> DataFrame:
@@ -98,106 +97,83 @@ def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: st
     ``places`` has (place_key, name, cc, lat, lon).  Returns every column of
     ``points`` plus (place_key, name, cc, distance_km); one row per key.
     """
+    cand, cols = candidates(points, places, key, lat, lon, base_cell_deg, growth)
+    dist = F.round(haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon")), 6)
+    order = F.when(F.col("place_key").isNotNull(), F.struct(dist.alias("distance_km"), F.col("place_key")))
+    found = cand.groupBy(*cols).agg(F.min(order).alias("_best")).select(*cols, "_best.place_key", "_best.distance_km")
+    # Names of the winning keys only: as many rows as points at most, whatever the gazetteer holds.
+    won = found.select("place_key").distinct()
+    names = _valid(places).join(won, "place_key", "left_semi").groupBy("place_key").agg(F.min(F.struct("name", "cc")).alias("_nc"))
+    found = found.join(names.select("place_key", "_nc.name", "_nc.cc"), "place_key", "left")
+    return found.select(*cols, "place_key", "name", "cc", "distance_km")
+
+
+def _valid(places: DataFrame) -> DataFrame:
+    return places.filter(valid_coordinates("lat", "lon") & F.col("place_key").isNotNull())
+
+
+def candidates(points: DataFrame, places: DataFrame, key: str = "id", lat: str = "LATITUDE", lon: str = "LONGITUDE",
+               base_cell_deg: float | None = BASE_CELL_DEG, growth: int = GROWTH) -> tuple[DataFrame, list[str]]:
+    """(point columns, place_key, _plat, _plon) of the places left to compare, and the point columns.
+
+    A point without valid coordinates, or any point when there are no places, keeps one row without a place.
+    """
+    if base_cell_deg is not None:
+        cell_power(base_cell_deg)
+    level_powers(1, growth)
     spark = points.sparkSession
-    work = scratch_path(spark, "nearest")
-    place_cols = ["place_key", "name", "cc"]
-    places = places.filter(valid_coordinates("lat", "lon") & F.col("place_key").isNotNull())
-    # Copies at identical coordinates tie on every distance, and ties go to the smaller key: keep only that
-    # one (a fixed-width aggregate), so a pile of copies in one cell costs one candidate, not all of them.
-    pl_base = places.groupBy(F.col("lat").alias("_plat"), F.col("lon").alias("_plon")).agg(
-        F.min("place_key").alias("place_key"))
-    # One job: broadcast decision, grid size and whether keys pack into a long.
-    stats = pl_base.agg(F.count(F.lit(1)).alias("n"), F.min("place_key").alias("lo"),
-                        F.max("place_key").alias("hi")).first()
-    n_places = stats["n"]
-    packed = isinstance(places.schema["place_key"].dataType, (T.IntegerType, T.LongType, T.ShortType)) and (
-        n_places == 0 or (stats["lo"] >= 0 and stats["hi"] < 2 ** KEY_BITS))
-    small = n_places <= MAX_BROADCAST_ROWS
-    if small:
-        pl_base = F.broadcast(pl_base)
+    # Copies at identical coordinates tie on every distance, and ties go to the smaller key: keep only that one.
+    spots = _valid(places).groupBy(F.col("lat").alias("_plat"), F.col("lon").alias("_plon")).agg(F.min("place_key").alias("place_key"))
+    spots = _written(spots, "spots")
+    n_spots = spots.count()
+    cols = [key, lat, lon, *[c for c in points.columns if c not in (key, lat, lon)]]
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("place_key", places.schema["place_key"].dataType), ("_plat", "double"), ("_plon", "double"))]
+    if not n_spots:
+        return points.select(*cols, *nothing), cols
+    on_globe = F.coalesce(valid_coordinates(lat, lon), F.lit(False))
     if base_cell_deg is None:
-        base_cell_deg = base_cell_for_occupancy(pl_base, base_cell_for(n_places))
-    # Occupied base cells with one representative place each (its smallest key): the coarse levels join
-    # points to these cells first and prune them by distance bounds before touching their places.
-    occupied = pl_base.groupBy(grid_row(F.col("_plat"), base_cell_deg).alias("bgr"),
-                               grid_col(F.col("_plon"), base_cell_deg).alias("bgc")).agg(
-        F.min_by("_plat", "place_key").alias("_rlat"), F.min_by("_plon", "place_key").alias("_rlon"))
-    if small:
-        occupied = F.broadcast(occupied)
-    carry = [c for c in points.columns if c not in (key, lat, lon)]
-    cols = [key, lat, lon, *carry]
-    pending = points.select(*cols)
-    sizes = cell_sizes(base_cell_deg, growth)
-    for i, c in enumerate(sizes):
-        last = i == len(sizes) - 1
-        best = _level(pending, pl_base, cols, lat, lon, c, packed, base_cell_deg, occupied)
-        if last:
-            ok = F.lit(True)
-        else:
-            ok = F.col("distance_km").isNotNull() & (
-                F.col("distance_km") + _TIE_MARGIN_KM < block_safe_radius_km(F.col(lat), F.col(lon), c))
-        path = f"{work}/level={i}"
-        best = best.withColumn("_ok", ok)
-        best.write.mode("overwrite").parquet(path)
-        schema = best.schema
-        if last:
-            break
-        pending = spark.read.schema(schema).parquet(path).filter(~F.col("_ok")).select(*cols)
-        if pending.isEmpty():
-            break
-    levels = spark.read.schema(schema).option("basePath", work).parquet(*[f"{work}/level={j}" for j in range(i + 1)])
-    found = levels.filter("_ok")
-    # name and cc of the winning key (keys are unique in a gazetteer; the smallest copy won)
-    names = places.groupBy("place_key").agg(F.min_by(F.struct("name", "cc"), F.struct("name", "cc")).alias("_nc"))
-    names = names.select("place_key", "_nc.name", "_nc.cc")
-    found = found.join(F.broadcast(names) if small else names, "place_key", "left")
-    return found.select(*cols, *place_cols, "distance_km")
-
-
-def _level(pending: DataFrame, places: DataFrame, cols: list[str], lat: str, lon: str, c: float,
-           packed: bool, base: float | None = None, occupied: DataFrame | None = None) -> DataFrame:
-    """Best place per point among the places in the 3x3 block of cells of edge ``c``.
-
-    On the base grid (every cell holds a bounded number of places) the block's
-    places are joined directly.  On a coarser grid the block may hold a whole
-    dense cluster, so the point is first joined to the occupied base cells of
-    its block; a cell is kept only if a lower bound of its distance is within
-    the smallest distance to any cell's representative place (the best place
-    of the block lies in a kept cell), and only kept cells' places are joined.
-    """
-    # explode_outer: a point without valid coordinates still reaches the output (with no place)
-    cells = F.when(valid_coordinates(lat, lon), neighbour_cells(F.col(lat), F.col(lon), c))
-    pts = pending.select(*cols, F.explode_outer(cells).alias("_cell"))
-    pts = pts.select(*cols, F.col("_cell.gr").alias("gr"), F.col("_cell.gc").alias("gc"))
-    dist = haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon"))
-    if base is None or occupied is None or c <= base:
-        pl = places.select("place_key", "_plat", "_plon", grid_row(F.col("_plat"), c).alias("gr"),
-                           grid_col(F.col("_plon"), c).alias("gc"))
-        cand = pts.join(pl, ["gr", "gc"], "left")
-    else:
-        ratio = int(round(c / base))
-        occ = occupied.select("*", F.floor(F.col("bgr") / ratio).cast("int").alias("gr"),
-                              F.floor(F.col("bgc") / ratio).cast("int").alias("gc"))
-        per_cell = pts.join(occ, ["gr", "gc"], "left")
-        rep = haversine_km(F.col(lat), F.col(lon), F.col("_rlat"), F.col("_rlon"))
-        upper = F.min(rep).over(Window.partitionBy(cols[0]))
-        lower = box_lower_bound_km(F.col(lat), F.col(lon), F.col("bgr"), F.col("bgc"), base)
-        kept = per_cell.withColumn("_ub", upper).filter(
-            F.col("bgr").isNull() | (lower <= F.col("_ub") + _PRUNE_MARGIN_KM)).select(*cols, "bgr", "bgc")
-        pl = places.select("place_key", "_plat", "_plon", grid_row(F.col("_plat"), base).alias("bgr"),
-                           grid_col(F.col("_plon"), base).alias("bgc"))
-        cand = kept.join(pl, ["bgr", "bgc"], "left")
-    if packed:
-        units = F.round(dist * 1e6).try_cast("long")
-        order = F.when(F.col("place_key").isNotNull(), F.shiftleft(units, KEY_BITS) + F.col("place_key"))
-        return cand.groupBy(*cols).agg(F.min(order).alias("_ord")).select(
-            *cols,
-            (F.col("_ord") % (2 ** KEY_BITS)).alias("place_key"),
-            (F.shiftright("_ord", KEY_BITS) / 1e6).alias("distance_km"))
-    dist = F.round(dist, 6)
-    order = F.when(F.col("place_key").isNotNull(), F.struct(dist.alias("_d"), "place_key"))
-    return cand.groupBy(*cols).agg(
-        F.min_by("place_key", order).alias("place_key"), F.min(dist).alias("distance_km"))
+        base_cell_deg = base_cell_for_occupancy(spots, base_cell_for(n_spots))
+    base_k = cell_power(base_cell_deg)
+    powers = level_powers(base_k, growth)
+    spots = spots.withColumns({"gr": grid_row(F.col("_plat"), base_cell_deg), "gc": grid_col(F.col("_plon"), base_cell_deg)})
+    occupied = _written(spots.groupBy("gr", "gc").agg(F.min_by("_plat", "place_key").alias("_rlat"), F.min_by("_plon", "place_key").alias("_rlon")), "cells")
+
+    top = F.array(*[F.struct(F.lit(0).alias("gr"), F.lit(c).alias("gc")) for c in (0, 1)])
+    front = points.filter(on_globe).select(*cols, F.explode(top).alias("_c"))
+    front = front.select(*cols, F.col("_c.gr").alias("pr"), F.col("_c.gc").alias("pc"))
+    for i, k in enumerate(powers):
+        parent = powers[i - 1] if i else k
+        front = _descend(front, _level_cells(occupied, base_k, k, parent), cols, lat, lon, k, min(n_spots, 2 ** (2 * k - 1)))
+    spots = spots.withColumnsRenamed({"gr": "pr", "gc": "pc"})
+    if n_spots <= MAX_BROADCAST_ROWS:
+        spots = F.broadcast(spots)
+    found = front.join(spots, ["pr", "pc"]).select(*cols, "place_key", "_plat", "_plon")
+    return found.union(points.filter(~on_globe).select(*cols, *nothing)), cols
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, f"nearest-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _level_cells(occupied: DataFrame, base_k: int, k: int, parent: int) -> DataFrame:
+    """Occupied cells of grid k with their cell (pr, pc) on the grid ``parent`` and one representative place each."""
+    up, over = 2 ** (base_k - k), 2 ** (k - parent)
+    div = lambda c, n: F.floor(F.col(c) / n).cast("int")
+    cells = occupied.groupBy(div("gr", up).alias("gr"), div("gc", up).alias("gc")).agg(
+        F.min_by("_rlat", F.struct("_rlat", "_rlon")).alias("_rlat"), F.min_by("_rlon", F.struct("_rlat", "_rlon")).alias("_rlon"))
+    return cells.select(div("gr", over).alias("pr"), div("gc", over).alias("pc"), "gr", "gc", "_rlat", "_rlon")
+
+
+def _descend(front: DataFrame, cells: DataFrame, cols: list[str], lat: str, lon: str, k: int, most_cells: int) -> DataFrame:
+    """The frontier's occupied cells on grid k that may hold the nearest place, as (cols, pr, pc)."""
+    if most_cells <= MAX_BROADCAST_ROWS:
+        cells = F.broadcast(cells)
+    met = front.join(cells, ["pr", "pc"])
+    upper = F.min(haversine_km(F.col(lat), F.col(lon), F.col("_rlat"), F.col("_rlon"))).over(Window.partitionBy(cols[0]))
+    lower = box_lower_bound_km(F.col(lat), F.col(lon), F.col("gr"), F.col("gc"), 360.0 / 2 ** k)
+    return met.withColumn("_upper", upper).filter(lower <= F.col("_upper") + _PRUNE_MARGIN_KM).select(*cols, F.col("gr").alias("pr"), F.col("gc").alias("pc"))
 
 
 def place_label(name: str = "name", cc: str = "cc") -> F.Column:
@@ -205,25 +181,30 @@ def place_label(name: str = "name", cc: str = "cc") -> F.Column:
     return F.when(F.col(name).isNotNull(), F.concat_ws(", ", F.col(name), F.col(cc)))
 
 
-def location_dimension(raw: DataFrame, places: DataFrame, id_mode: str = "cell",
-                       base_cell_deg: float | None = BASE_CELL_DEG) -> DataFrame:
+def locate(cells: DataFrame, places: DataFrame, base_cell_deg: float | None = BASE_CELL_DEG) -> DataFrame:
+    """Every distinct coordinate (id, LONGITUDE, LATITUDE) with its nearest city: the per-point form of the dimension."""
+    pts = cells.withColumn("_pt", F.concat_ws("|", "LATITUDE", "LONGITUDE"))
+    near = nearest_place(pts, places, "_pt", "LATITUDE", "LONGITUDE", base_cell_deg)
+    return near.select("LATITUDE", "LONGITUDE", place_label().alias("city"), "id")
+
+
+def one_per_station(points: DataFrame) -> DataFrame:
     """One row per station key (D7): representative point, its city, point count.
 
     The representative point of a key is its smallest (LATITUDE, LONGITUDE);
-    ``n_points`` counts the distinct coordinates that share the key.  Only the
-    deduplicated dimension is geocoded, once.
+    ``n_points`` counts the distinct coordinates that share the key.
     """
-    cells = station_cells(raw, id_mode)
-    rep = cells.groupBy("id").agg(
-        F.min(F.struct("LATITUDE", "LONGITUDE")).alias("_p"), F.count(F.lit(1)).alias("n_points")
-    ).select("id", F.col("_p.LATITUDE").alias("LATITUDE"), F.col("_p.LONGITUDE").alias("LONGITUDE"), "n_points")
-    near = nearest_place(rep, places, "id", "LATITUDE", "LONGITUDE", base_cell_deg)
-    return near.select("LATITUDE", "LONGITUDE", place_label().alias("city"), "id", "n_points")
+    rep = points.groupBy("id").agg(F.min(F.struct("LATITUDE", "LONGITUDE", "city")).alias("_p"), F.count(F.lit(1)).alias("n_points"))
+    return rep.select("_p.LATITUDE", "_p.LONGITUDE", "_p.city", "id", "n_points")
+
+
+def location_dimension(raw: DataFrame, places: DataFrame, id_mode: str = "cell",
+                       base_cell_deg: float | None = BASE_CELL_DEG) -> DataFrame:
+    """One row per station key of the readings (see ``one_per_station``)."""
+    return one_per_station(located_points(raw, places, id_mode, base_cell_deg))
 
 
 def located_points(raw: DataFrame, places: DataFrame, id_mode: str = "cell",
                    base_cell_deg: float | None = BASE_CELL_DEG) -> DataFrame:
-    """Every distinct coordinate with its id and nearest city (the per-point form)."""
-    pts = station_cells(raw, id_mode).withColumn("_pt", F.concat_ws("|", "LATITUDE", "LONGITUDE"))
-    near = nearest_place(pts, places, "_pt", "LATITUDE", "LONGITUDE", base_cell_deg)
-    return near.select("LATITUDE", "LONGITUDE", place_label().alias("city"), "id")
+    """Every distinct coordinate of the readings with its id and nearest city."""
+    return locate(station_cells(raw, id_mode), places, base_cell_deg)

@@ -3,8 +3,8 @@
 Each level is ONE ``groupBy().agg()``: one scan, one exchange, and partial
 aggregation before the shuffle, so a station (or a day) that holds a large
 share of the rows costs one partial row per map task, not its raw rows.
-Measures travel as integer hundredths (see ``functions.exact``): the buffers
-are sum/count/min/max longs, exact under any partitioning.
+Means are exact and rounded once, at the end (see ``functions.exact``), so
+they do not depend on the partitioning.
 
 Re-aggregation rule: monthly and yearly both read the DAILY table.
 ``avg`` is the mean of the (rounded) daily means, so every day weighs the
@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exact import from_cents, half_up_mean_value, to_cents
+from ..functions.exact import buffers, finite, mean, parts, rounded
 from ..schema import METRICS
 
 DAILY_KEYS = ("id", "DATE", "year", "month")
@@ -28,29 +28,27 @@ MONTHLY_KEYS = ("id", "year", "month")
 YEARLY_KEYS = ("id", "year")
 
 
-def _daily_input(hourly: DataFrame, metrics=METRICS) -> DataFrame:
-    return hourly.select(
-        "id", F.to_date("DATE").alias("DATE"), "year", "month",
-        *[to_cents(m).alias(f"_c_{m}") for m in metrics],
-    )
+def _with_parts(df: DataFrame, keys: list, values: dict[str, str]) -> DataFrame:
+    """keys, the finite values and the exact parts of each; ``values``: name -> source column."""
+    plain = df.select(*keys, *[finite(source).alias(name) for name, source in values.items()])
+    return plain.select("*", *[p for name in values for p in parts(name, name)])
 
 
-def _daily_buffers(m: str) -> list:
-    c = F.col(f"_c_{m}")
-    return [F.sum(c).alias(f"_s_{m}"), F.count(c).alias(f"_n_{m}"),
-            F.min(c).alias(f"_lo_{m}"), F.max(c).alias(f"_hi_{m}")]
+def _daily(hourly: DataFrame, metrics: tuple[str, ...]) -> DataFrame:
+    keys = ["id", F.to_date("DATE").alias("DATE"), "year", "month"]
+    values = {f"_v_{m}": m for m in metrics}
+    aggregates = [a for v in values for a in (*buffers(v), F.min(v).alias(f"{v}_lo"), F.max(v).alias(f"{v}_hi"))]
+    return _with_parts(hourly, keys, values).groupBy(*DAILY_KEYS).agg(*aggregates)
 
 
 def _daily_outputs(m: str) -> list:
-    return [half_up_mean_value(f"_s_{m}", f"_n_{m}").alias(f"avg{m}"),
-            from_cents(f"_lo_{m}").alias(f"min{m}"),
-            from_cents(f"_hi_{m}").alias(f"max{m}")]
+    v = f"_v_{m}"
+    return [mean(v).alias(f"avg{m}"), rounded(f"{v}_lo").alias(f"min{m}"), rounded(f"{v}_hi").alias(f"max{m}")]
 
 
 def daily_rollup(hourly: DataFrame) -> DataFrame:
     """A1: (id, DATE, year, month) -> {avg,min,max} x {TMP,DEW,WIND,SLP}."""
-    agg = _daily_input(hourly).groupBy(*DAILY_KEYS).agg(*[b for m in METRICS for b in _daily_buffers(m)])
-    return agg.select("id", "DATE", *[o for m in METRICS for o in _daily_outputs(m)], "year", "month")
+    return _daily(hourly, METRICS).select("id", "DATE", *[o for m in METRICS for o in _daily_outputs(m)], "year", "month")
 
 
 def daily_rollup_join_form(hourly: DataFrame) -> DataFrame:
@@ -59,36 +57,22 @@ def daily_rollup_join_form(hourly: DataFrame) -> DataFrame:
     Kept for comparison with ``daily_rollup``: 4 scans, 4 aggregates and 3
     joins instead of one aggregate; equal rows when keys are never NULL.
     """
-    parts = []
-    for m in METRICS:
-        agg = _daily_input(hourly, [m]).groupBy(*DAILY_KEYS).agg(*_daily_buffers(m))
-        parts.append(agg.select(*DAILY_KEYS, *_daily_outputs(m)))
-    joined = reduce(lambda a, b: a.join(b, list(DAILY_KEYS)), parts)
+    tables = [_daily(hourly, (m,)).select(*DAILY_KEYS, *_daily_outputs(m)) for m in METRICS]
+    joined = reduce(lambda a, b: a.join(b, list(DAILY_KEYS)), tables)
     measures = [f"{a}{m}" for m in METRICS for a in ("avg", "min", "max")]
     return joined.select("id", "DATE", *measures, "year", "month")
 
 
 def _period_rollup(daily: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, list]:
     """Aggregate buffers per period and the expressions that finish them."""
-    cents = []
-    for m in METRICS:
-        cents += [to_cents(f"avg{m}").alias(f"_a_{m}"), to_cents(f"min{m}").alias(f"_lo_{m}"),
-                  to_cents(f"max{m}").alias(f"_hi_{m}")]
-    bufs = []
-    for m in METRICS:
-        a, lo, hi = F.col(f"_a_{m}"), F.col(f"_lo_{m}"), F.col(f"_hi_{m}")
-        bufs += [F.sum(a).alias(f"_sa_{m}"), F.count(a).alias(f"_na_{m}"),
-                 F.sum(lo).alias(f"_slo_{m}"), F.count(lo).alias(f"_nlo_{m}"), F.min(lo).alias(f"_mlo_{m}"),
-                 F.sum(hi).alias(f"_shi_{m}"), F.count(hi).alias(f"_nhi_{m}"), F.max(hi).alias(f"_mhi_{m}")]
-    agg = daily.select(*keys, *cents).groupBy(*keys).agg(*bufs)
+    values = {f"_{a}_{m}": f"{a}{m}" for m in METRICS for a in ("avg", "min", "max")}
+    aggregates = [a for v in values for a in buffers(v)]
+    aggregates += [F.min(f"_min_{m}").alias(f"_lo_{m}") for m in METRICS] + [F.max(f"_max_{m}").alias(f"_hi_{m}") for m in METRICS]
     outs = []
     for m in METRICS:
-        outs += [half_up_mean_value(f"_sa_{m}", f"_na_{m}").alias(f"avg{m}"),
-                 half_up_mean_value(f"_slo_{m}", f"_nlo_{m}").alias(f"avg_min{m}"),
-                 from_cents(f"_mlo_{m}").alias(f"min{m}"),
-                 half_up_mean_value(f"_shi_{m}", f"_nhi_{m}").alias(f"avg_max{m}"),
-                 from_cents(f"_mhi_{m}").alias(f"max{m}")]
-    return agg, outs
+        outs += [mean(f"_avg_{m}").alias(f"avg{m}"), mean(f"_min_{m}").alias(f"avg_min{m}"), F.col(f"_lo_{m}").alias(f"min{m}"),
+                 mean(f"_max_{m}").alias(f"avg_max{m}"), F.col(f"_hi_{m}").alias(f"max{m}")]
+    return _with_parts(daily, list(keys), values).groupBy(*keys).agg(*aggregates), outs
 
 
 def monthly_rollup(daily: DataFrame) -> DataFrame:

@@ -1,61 +1,80 @@
 """The whole build (Q11) and the handle on its stored tables.
 
-raw -> hourly fact (partitioned by year, month) and location dimension ->
-daily (read back from the written hourly table) -> monthly and yearly (both
-read back from the written daily table).  Every stage continues from what
-the previous stage wrote (K6), so a failure re-runs one stage, not the
-lineage from the raw scan, and each stage's plan starts from a parquet scan
-with pruning and pushdown.  Independent work is submitted as concurrent
-Spark jobs (the location dimension beside the rollup chain; monthly beside
-yearly), so the scheduler fills idle executor slots of one job with tasks of
-another.
+raw -> hourly (one pass: the fact partitioned by year and month, rejects in a
+partition of their own) -> daily -> monthly and yearly; and hourly -> distinct
+coordinates -> points (every coordinate with its city) -> locations (one row
+per station key).  Every stage continues from what an earlier stage wrote (K6),
+so a failure re-runs one stage, not the lineage from the raw scan, and each
+stage's plan starts from a parquet scan with pruning and pushdown.  Independent
+work is submitted as concurrent Spark jobs.
+
+A build writes to a new version folder below the root and appends a row to the
+root's ``_published`` table only when all its tables are complete: readers keep
+the version they opened, and a failed build leaves the published one as it was.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.hourly import hourly_fact, split_rejects
+from ..operators.hourly import cells_of, fact_of, rejects_of, stored_hourly
 from ..operators.joins import MAX_BROADCAST_ROWS, bounded_rows
-from ..operators.locations import BASE_CELL_DEG, location_dimension
+from ..operators.locations import BASE_CELL_DEG, locate, one_per_station
 from ..operators.rollup import daily_rollup, monthly_rollup, yearly_rollup
+from ..schema import STORED, TABLES, VIEW_NAMES
 from ..sinks.parquet import materialize, write_sorted, write_table
-from ..sources.raw import read_csv, register_views
+from ..sources.raw import bad_text_counts, read_csv, register_views
 
-TABLES = ("hourly", "daily", "monthly", "yearly", "locations")
+_PUBLISHED = "version string, at long"
 
 
 def hourly_order() -> tuple:
     """Order inside each hourly file: day, then station, then time (see sinks.parquet)."""
     return (F.to_date("DATE"), "id", "DATE")
-VIEW_NAMES = {"hourly": "hourly_view", "daily": "daily_view", "monthly": "monthly_view",
-              "yearly": "yearly_view", "locations": "location_table"}
+
+
+def hourly_spread() -> dict:
+    """Hourly files are dealt by day inside their month."""
+    return {"_day": F.to_date("DATE")}
 
 
 @dataclass(frozen=True)
 class Cube:
-    """Stored cube tables under one root folder.
+    """Stored cube tables of one version (``root`` is the version's folder).
 
     The tables are immutable once built, so each is opened once per handle
-    (one schema read), and the DataFrame is reused by every query.  Rebuilding
-    into the same root replaces the files: use the handle ``build`` returns.
+    (one schema read), and the DataFrame is reused by every query.
     """
 
     spark: SparkSession
     root: str
     _frames: dict = field(default_factory=dict, repr=False, compare=False)
 
+    def _stored(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            try:
+                df = self.spark.read.parquet(f"{self.root}/{name}")
+            except AnalysisException as e:  # a table without rows has no file to take the schema from
+                if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                    raise
+                df = self.spark.read.schema(STORED[name]).parquet(f"{self.root}/{name}")
+            if name == "hourly":  # with rejects alone, partition discovery finds no number to type the columns by
+                df = df.withColumns({c: F.col(c).cast("int") for c in ("year", "month") if df.schema[c].dataType.typeName() != "integer"})
+            self._frames[name] = df
+        return self._frames[name]
+
     def table(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise ValueError(f"unknown table {name!r}; one of {TABLES}")
-        if name not in self._frames:
-            self._frames[name] = self.spark.read.parquet(f"{self.root}/{name}")
-        return self._frames[name]
+        return fact_of(self._stored(name)) if name == "hourly" else self._stored(name)
 
     def hourly(self) -> DataFrame:
         return self.table("hourly")
@@ -70,11 +89,16 @@ class Cube:
         return self.table("yearly")
 
     def locations(self) -> DataFrame:
+        """One row per station key: the dimension that snapshots join."""
         return self.table("locations")
 
+    def points(self) -> DataFrame:
+        """Every distinct coordinate with its city and station key: the station listing."""
+        return self._stored("points")
+
     def rejects(self) -> DataFrame:
-        """Raw readings left out of the cube (no time or no coordinate), as read."""
-        return self.spark.read.parquet(f"{self.root}/rejects")
+        """Raw readings left out of the fact (no time or no valid coordinate), as read."""
+        return rejects_of(self._stored("hourly"))
 
     @cached_property
     def location_rows(self) -> int:
@@ -90,34 +114,47 @@ class Cube:
 def ingest_csv(spark: SparkSession, csv_dir: str, parquet_dir: str) -> DataFrame:
     """Stage 1: header CSV (read as text, typed with try_cast) -> parquet; returns the written table.
 
-    The rebalance lets AQE size the output files independently of how the
-    CSV files were cut.
+    The rebalance lets AQE size the output files independently of how the CSV files were cut.  Beside it,
+    ``<parquet_dir>_bad_text`` counts per column the texts that are not empty and did not parse.
     """
     write_table(read_csv(spark, csv_dir), parquet_dir, (), "clustered")
+    write_table(bad_text_counts(spark, csv_dir), f"{parquet_dir.rstrip('/')}_bad_text", (), "small_files")
     return spark.read.parquet(parquet_dir)
 
 
 def build(spark: SparkSession, raw: DataFrame, places: DataFrame, root: str, layout: str = "clustered",
           id_mode: str = "cell", base_cell_deg: float | None = BASE_CELL_DEG) -> Cube:
-    """Q11: write the five cube tables (and the rejects) under ``root``; return the handle."""
+    """Q11: write the cube tables as a new version under ``root``, publish it; return the handle."""
     root = root.rstrip("/")
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        # The location dimension depends on the raw table only: it runs beside the whole rollup chain.
-        locations = pool.submit(lambda: write_sorted(location_dimension(raw, places, id_mode, base_cell_deg),
-                                                     f"{root}/locations", ("id",)))
-        # IS NULL filters reach the parquet reader: row groups without nulls are skipped by their statistics.
-        rejects = pool.submit(write_table, split_rejects(raw)[1], f"{root}/rejects", (), layout)
-        write_table(hourly_fact(raw, id_mode), f"{root}/hourly", ("year", "month"), layout, hourly_order())
-        hourly = spark.read.parquet(f"{root}/hourly")
-        daily = materialize(spark, daily_rollup(hourly), f"{root}/daily", ("year", "month"), layout, ("id", "DATE"))
+    version = f"v-{uuid.uuid4().hex[:12]}"
+    to = f"{root}/{version}"
+    stored = materialize(spark, stored_hourly(raw, id_mode), f"{to}/hourly", ("year", "month"), layout, hourly_order(), hourly_spread())
+
+    def place_stations() -> None:
+        points = locate(cells_of(stored), places, base_cell_deg)
+        write_sorted(points, f"{to}/points", ("id", "LATITUDE", "LONGITUDE"))
+        points = spark.read.schema(points.schema).parquet(f"{to}/points")
+        write_sorted(one_per_station(points), f"{to}/locations", ("id",))
+
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        placed = pool.submit(place_stations)  # beside the rollup chain
+        daily = materialize(spark, daily_rollup(fact_of(stored)), f"{to}/daily", ("year", "month"), layout, ("id", "DATE"))
         _all(
-            pool.submit(write_table, monthly_rollup(daily), f"{root}/monthly", ("year", "month"), layout, ("id",)),
+            pool.submit(write_table, monthly_rollup(daily), f"{to}/monthly", ("year", "month"), layout, ("id",)),
             # Unpartitioned: the rebalance lets AQE size the files (one file while the table is small).
-            pool.submit(write_table, yearly_rollup(daily), f"{root}/yearly", (), layout, ("id", "year")),
-            locations,
-            rejects,
+            pool.submit(write_table, yearly_rollup(daily), f"{to}/yearly", (), layout, ("id", "year")),
+            placed,
         )
-    return Cube(spark, root)
+    row = spark.createDataFrame([(version, time.time_ns())], _PUBLISHED)
+    row.coalesce(1).write.mode("append").parquet(f"{root}/_published")
+    return Cube(spark, to)
+
+
+def open_cube(spark: SparkSession, root: str) -> Cube:
+    """The version under ``root`` that was published last."""
+    root = root.rstrip("/")
+    last = spark.read.schema(_PUBLISHED).parquet(f"{root}/_published").orderBy(F.desc("at")).first()
+    return Cube(spark, f"{root}/{last.version}")
 
 
 def _all(*futures) -> None:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators.guard import guard_status, preview, value_range
 from ..operators.hourly import hourly_fact
+from ..operators.hourly import fact_of
 from ..operators.locations import location_dimension, located_points, station_cells
 from ..operators.rollup import daily_rollup, daily_rollup_join_form, monthly_rollup, yearly_rollup
 from ..session import scratch_path
@@ -25,8 +26,8 @@ from ..sinks.parquet import materialize
 from ..sources import testtables as tt
 from ..streaming.ingest import run_hourly_ingest
 from . import oracle as O
-from .build import Cube, build, ingest_csv
-from .dispatch import query
+from .build import Cube, build, ingest_csv, open_cube
+from .dispatch import answer, query
 from .queries import series, snapshot, station_listing, value_column
 
 # --- fixed request parameters of the registered queries (see FIXTURES.md) ---
@@ -60,9 +61,11 @@ EXTRA_SNAPSHOTS = {
 EXTRA_SERIES = {
     "series_daily_min_month_edge": ("daily", "DEW", "min", ("1998-01-25", "1998-02-05")),
 }
+# Requests beyond the front's day limits, answered whole with limits=None.
+WIDE_SNAPSHOT = ("daily", "TMP", "avg", ("1996-01-01", "1998-12-31"))
 # --- end of fixed values ---
 
-_cubes: dict[tuple[str, str, str], Cube] = {}
+_cubes: dict[tuple, Cube] = {}
 _cube_lock = threading.Lock()
 
 
@@ -74,7 +77,7 @@ def cube(spark: SparkSession, sf_dir: str, layout: str = "clustered") -> Cube:
     """The cube of all test observations at ``sf_dir``, built once per shared folder and layout."""
     from ..session import shared_dir
 
-    key = (shared_dir(spark), sf_dir.rstrip("/"), layout)
+    key = (shared_dir(spark), sf_dir.rstrip("/"), layout, tt.state(spark, sf_dir))
     with _cube_lock:  # callers running queries from several threads share one build
         c = _cubes.get(key)
         if c is None:
@@ -126,8 +129,68 @@ def q_stream_hourly_ingest(spark, sf_dir):
     landing, target = scratch_path(spark, "landing"), scratch_path(spark, "hourly-stream")
     for obs in (tt.lineitem_observations(spark, sf_dir), tt.event_observations(spark, sf_dir)):
         obs.write.mode("append").parquet(landing)  # two drops of station files
-    run_hourly_ingest(spark, landing, target, files_per_batch=1)
-    return spark.read.parquet(target)
+    run_hourly_ingest(spark, landing, target)
+    return fact_of(spark.read.parquet(target))
+
+
+def _with_bad_cells(spark, sf_dir, path):
+    """The lineitem readings as CSV text in which some cells do not parse, some are blank, and some keys are missing."""
+    obs = tt.lineitem_observations(spark, sf_dir, extra=("l_linenumber", "l_orderkey"))
+    line = F.col("l_linenumber")
+    text = obs.select(
+        F.when(F.col("l_orderkey") % 50 == 7, "not a day").otherwise(F.date_format("DATE", "yyyy-MM-dd HH:mm:ss")).alias("DATE"),
+        F.when(F.col("l_orderkey") % 40 == 3, "north").otherwise(F.col("LATITUDE").cast("string")).alias("LATITUDE"),
+        F.col("LONGITUDE").cast("string").alias("LONGITUDE"),
+        F.when(line == 3, "n/a").when(line == 4, "").otherwise(F.col("TMP").cast("string")).alias("TMP"),
+        F.when(line == 2, "1,5").otherwise(F.col("DEW").cast("string")).alias("DEW"),
+        F.col("WND_RATE").cast("string").alias("WND_RATE"),
+        F.when(line == 1, " ").otherwise(F.col("SLP").cast("string")).alias("SLP"),
+    )
+    text.write.option("header", True).csv(path)
+
+
+def q_csv_bad_text(spark, sf_dir):
+    """Per column, the cells that did not parse."""
+    path, target = scratch_path(spark, "bad-csv"), scratch_path(spark, "bad-parquet")
+    _with_bad_cells(spark, sf_dir, path)
+    ingest_csv(spark, path, target)
+    return spark.read.parquet(f"{target}_bad_text")
+
+
+def q_build_rejects(spark, sf_dir):
+    """The readings that a build leaves out, kept as read."""
+    path, root = scratch_path(spark, "bad-csv"), scratch_path(spark, "build-rejects")
+    _with_bad_cells(spark, sf_dir, path)
+    raw = ingest_csv(spark, path, scratch_path(spark, "bad-parquet"))
+    build(spark, raw, tt.nation_gazetteer(spark, sf_dir), root)
+    return open_cube(spark, root).rejects()
+
+
+def q_station_mode_daily(spark, sf_dir):
+    """The daily rollup under collision-free station keys."""
+    return daily_rollup(hourly_fact(tt.lineitem_observations(spark, sf_dir), "station"))
+
+
+def q_snapshot_wide(spark, sf_dir):
+    """A request beyond every default limit, whole and distributed."""
+    level, metric, agg, (s, e) = WIDE_SNAPSHOT
+    return answer(cube(spark, sf_dir), level, metric, agg, s, e, cap=None, limits=None)[1]
+
+
+def q_fine_daily(spark, sf_dir):
+    """A1 on readings with many decimals: only the mean is rounded."""
+    return daily_rollup(hourly_fact(tt.event_observations(spark, sf_dir, value=lambda v: v / 7)))
+
+
+def q_large_daily(spark, sf_dir):
+    """A1 on readings above 1e17 of either sign."""
+    sign = F.when(F.col("event_id") % 3 == 0, -1.0).otherwise(1.0)
+    return daily_rollup(hourly_fact(tt.event_observations(spark, sf_dir, value=lambda v: v * 1e17 * sign)))
+
+
+def q_fine_join_form(spark, sf_dir):
+    """J1 on the same fine readings."""
+    return daily_rollup_join_form(hourly_fact(tt.event_observations(spark, sf_dir, value=lambda v: v / 7)))
 
 
 def _snap(name, ordered=True, layout="clustered"):
@@ -151,13 +214,11 @@ def _range(r):
     return run
 
 
+#: O5 over S4: a common table expression that filters one view, then a LEFT JOIN to another.
 SQL_VIEW_QUERY = """
-WITH filtered AS (
-  SELECT id, `DATE`, avgTMP FROM daily_view
-  WHERE year * 100 + month BETWEEN :ym_lo AND :ym_hi AND `DATE` BETWEEN :start AND :end)
-SELECT filtered.`DATE`, filtered.id, filtered.avgTMP, location_table.city,
-       location_table.LATITUDE, location_table.LONGITUDE
-FROM filtered LEFT JOIN location_table ON filtered.id = location_table.id
+WITH days AS (SELECT * FROM daily_view v WHERE v.`DATE` >= :start AND v.`DATE` <= :end AND v.year * 100 + v.month >= :ym_lo AND v.year * 100 + v.month <= :ym_hi)
+SELECT days.id, days.`DATE`, days.avgTMP, place.LONGITUDE, place.LATITUDE, place.city
+FROM days LEFT JOIN location_table AS place USING (id)
 """
 
 
@@ -225,7 +286,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "location_dim": lambda spark, d: location_dimension(all_observations(spark, d), tt.nation_gazetteer(spark, d)),
         "location_nearest_far": lambda spark, d: located_points(
             tt.lineitem_observations(spark, d), tt.nation_gazetteer(spark, d), base_cell_deg=360.0 / 2048),
-        "station_listing": lambda spark, d: station_listing(cube(spark, d).locations()),
+        "station_listing": lambda spark, d: station_listing(cube(spark, d).points()),
         "daily_rollup": _li_daily,
         "daily_rollup_events": lambda spark, d: daily_rollup(hourly_fact(tt.event_observations(spark, d))),
         "monthly_rollup": lambda spark, d: monthly_rollup(_li_daily(spark, d)),
@@ -236,6 +297,13 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "layout_single_file": q_layout_single_file,
         "full_build_monthly": q_full_build_monthly,
         "stream_hourly_ingest": q_stream_hourly_ingest,
+        "daily_rollup_fine": q_fine_daily,
+        "daily_rollup_large": q_large_daily,
+        "rollup_join_form_fine": q_fine_join_form,
+        "csv_bad_text": q_csv_bad_text,
+        "build_rejects": q_build_rejects,
+        "station_mode_daily": q_station_mode_daily,
+        "snapshot_daily_wide": q_snapshot_wide,
     }
     q.update({n: _snap(n) for n in SNAPSHOTS})
     q.update({n: _series(n) for n in SERIES})
@@ -297,7 +365,7 @@ def oracle_queries() -> dict[str, str]:
         "location_nearest_far": w(O.STATIONS, O.OBS_LINEITEM, O.PLACES, O.cells_cte("obs_li"),
                                   O.nearest_cte("cells", ["LATITUDE", "LONGITUDE"], "near"))
         + "SELECT LATITUDE, LONGITUDE, city, id FROM near",
-        "station_listing": w(*O.CUBE) + "SELECT city, id, LATITUDE, LONGITUDE FROM locations",
+        "station_listing": w(*O.CUBE) + "SELECT city, id, LATITUDE, LONGITUDE FROM points",
         "daily_rollup": w(*O.LI_DAILY) + "SELECT * FROM daily",
         "daily_rollup_events": w(O.STATIONS, O.OBS_EVENTS, O.hourly_cte("obs_ev"), O.daily_cte())
         + "SELECT * FROM daily",
@@ -309,6 +377,15 @@ def oracle_queries() -> dict[str, str]:
         "layout_single_file": w(*O.LI_DAILY, O.period_cte(["id", "year"], name="yearly")) + "SELECT * FROM yearly",
         "full_build_monthly": w(*O.LI_DAILY, O.period_cte(["id", "year", "month"])) + "SELECT * FROM monthly",
         "stream_hourly_ingest": w(*O.ALL_OBS, O.hourly_cte("obs")) + "SELECT * FROM hourly",
+        "daily_rollup_fine": w(O.STATIONS, O.obs_events("value / 7"), O.hourly_cte("obs_ev"), O.daily_cte()) + "SELECT * FROM daily",
+        "daily_rollup_large": w(O.STATIONS, O.obs_events("value * 1e17 * (CASE WHEN event_id % 3 = 0 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END)"),
+                                O.hourly_cte("obs_ev"), O.daily_cte()) + "SELECT * FROM daily",
+        "rollup_join_form_fine": w(O.STATIONS, O.obs_events("value / 7"), O.hourly_cte("obs_ev"), O.daily_cte())
+        + f"SELECT {daily_cols} FROM daily",
+        "csv_bad_text": O.BAD_TEXT,
+        "build_rejects": O.REJECTS,
+        "station_mode_daily": w(O.STATIONS, O.OBS_LINEITEM, O.hourly_cte("obs_li", station=True), O.daily_cte()) + "SELECT * FROM daily",
+        "snapshot_daily_wide": _snap_sql(*WIDE_SNAPSHOT),
     }
     sql.update({n: _snap_sql(*v) for n, v in SNAPSHOTS.items()})
     sql.update({n: _series_sql(*v) for n, v in SERIES.items()})

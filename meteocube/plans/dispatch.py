@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
 
-from ..operators.guard import OK, check_result
-from ..schema import ROW_LIMIT
+from pyspark.sql import DataFrame
 
 from ..functions.calendar import parse_day
-from ..schema import (LEVELS, MAX_DAYS_DAILY_SNAPSHOT, MAX_DAYS_HOURLY_SERIES, MAX_DAYS_HOURLY_SNAPSHOT)
+from ..operators.guard import OK, fetch
+from ..schema import LEVELS, LIMITS, ROW_LIMIT
 from .build import Cube
-from .queries import series, snapshot, value_column
+from .queries import TIME_COLUMNS, series, snapshot, value_column
+
 
+def check_request(level: str, metric: str, agg: str, start, end, station: str | None = None,
+                  limits: Mapping[str, int] | None = LIMITS) -> None:
+    """Argument rules of a request; raises ValueError with the reason.
 
-def check_request(level: str, metric: str, agg: str, start, end, station: str | None = None) -> None:
-    """Argument rules of a request; raises ValueError with the reason."""
+    ``limits`` bounds the days of a request, as the published front does; None accepts any range.
+    """
     s, e = parse_day(start), parse_day(end)
     if s > e:
         raise ValueError("invalid date: start after end")
@@ -23,20 +27,16 @@ def check_request(level: str, metric: str, agg: str, start, end, station: str |
     if level != "hourly" and not agg:
         raise ValueError("aggregation method can't be empty")
     value_column(level, agg, metric)
-    days = (e - s).days
-    station = (station or "").strip()
-    if level == "daily" and not station and days > MAX_DAYS_DAILY_SNAPSHOT:
-        raise ValueError(f"at most {MAX_DAYS_DAILY_SNAPSHOT} days of daily values for all stations")
-    if level == "hourly" and not station and days > MAX_DAYS_HOURLY_SNAPSHOT:
-        raise ValueError(f"at most {MAX_DAYS_HOURLY_SNAPSHOT} days of hourly data for all stations")
-    if level == "hourly" and station and days > MAX_DAYS_HOURLY_SERIES:
-        raise ValueError(f"at most {MAX_DAYS_HOURLY_SERIES} days of hourly data for one station")
+    kind = f"{level}_{'series' if (station or '').strip() else 'snapshot'}"
+    most = (limits or {}).get(kind)
+    if most is not None and (e - s).days > most:
+        raise ValueError(f"at most {most} days of a {kind.replace('_', ' ')}")
 
 
 def query(cube: Cube, level: str, metric: str, agg: str, start, end, station: str | None = None,
-          ordered: bool = True) -> DataFrame:
+          ordered: bool = True, limits: Mapping[str, int] | None = LIMITS) -> DataFrame:
     """Series for one station when ``station`` is given, else a snapshot of all."""
-    check_request(level, metric, agg, start, end, station)
+    check_request(level, metric, agg, start, end, station, limits)
     table = cube.table(level)
     station = (station or "").strip()
     if station:
@@ -45,13 +45,12 @@ def query(cube: Cube, level: str, metric: str, agg: str, start, end, station: st
 
 
 def answer(cube: Cube, level: str, metric: str, agg: str, start, end, station: str | None = None,
-           cap: int = ROW_LIMIT):
-    """The request's answer for a caller: (status, pandas frame or None).
+           cap: int | None = ROW_LIMIT, limits: Mapping[str, int] | None = LIMITS):
+    """The request's answer for a caller: (status, pandas frame or None), evaluated once.
 
-    The size check counts the unsorted plan (at most cap+1 rows); only an
-    answer within the cap is sorted and moved to the driver.
+    With ``cap=None`` the whole answer stays distributed: ('ok', ordered DataFrame).
     """
-    status = check_result(query(cube, level, metric, agg, start, end, station, ordered=False), cap)
-    if status != OK:
-        return status, None
-    return status, query(cube, level, metric, agg, start, end, station).toPandas()
+    if cap is None:
+        return OK, query(cube, level, metric, agg, start, end, station, limits=limits)
+    df = query(cube, level, metric, agg, start, end, station, ordered=False, limits=limits)
+    return fetch(df, [c for c in (*TIME_COLUMNS[level], "id") if c in df.columns], cap)

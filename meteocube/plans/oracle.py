@@ -2,28 +2,44 @@
 
 Plain SQL over the driver's tables, written independently of the Spark code:
 brute-force where Spark uses a smarter plan (e.g. the nearest place is a full
-cross product ranked per station here).  Numbers follow the same contract as
-the Spark side: hundredths as integers, means rounded half away from zero.
+cross product ranked per station here).  A reading is the decimal that its text
+spells; sums are exact decimals and a mean is rounded once, from the raw readings,
+half away from zero, in integers.
 """
 
 from __future__ import annotations
 
-from ..schema import METRICS, ROW_LIMIT
+from ..schema import LEVELS, METRICS, ROW_LIMIT
 
 R_KM = "12742.0::DOUBLE"  # 2 * earth radius
 
 
-def _cents(x: str) -> str:
-    return f"CAST(round({x} * 100) AS BIGINT)"
+def _dec(x: str) -> str:
+    """The decimal number that a finite reading's text spells."""
+    return (f"(CASE WHEN abs({x}) >= 9007199254740992 AND isfinite({x}) THEN CAST(CAST({x} AS HUGEINT) AS DECIMAL(38, 12)) "
+            f"WHEN isfinite({x}) THEN CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 12)) END)")
+
+
+def _two_places(units: str) -> str:
+    """A double from a whole number of hundredths (HUGEINT), by way of its text: correctly rounded at any size."""
+    size = f"abs({units})"
+    return (f"CAST((CASE WHEN {units} < 0 THEN '-' ELSE '' END) || CAST({size} // 100 AS VARCHAR) || '.' || "
+            f"lpad(CAST({size} % 100 AS VARCHAR), 2, '0') AS DOUBLE)")
+
+
+def _hundredths(total: str, n: str = "1") -> str:
+    """total / n in hundredths, half away from zero: integer division of the sum's digits (12 decimals)."""
+    digits = f"CAST(replace(CAST({total} AS VARCHAR), '.', '') AS HUGEINT)"
+    step = f"(CAST({n} AS HUGEINT) * 10000000000)"
+    return f"((CASE WHEN {total} < 0 THEN -1 ELSE 1 END) * ((2 * abs({digits}) + {step}) // (2 * {step})))"
 
 
 def _mean(s: str, n: str) -> str:
-    return (f"CASE WHEN {n} > 0 THEN CAST((CASE WHEN {s} < 0 THEN -1 ELSE 1 END) * "
-            f"((2 * abs({s}) + {n}) // (2 * {n})) AS DOUBLE) / 100 END")
+    return f"CASE WHEN {n} > 0 THEN {_two_places(_hundredths(s, n))} END"
 
 
 def _val(c: str) -> str:
-    return f"CAST({c} AS DOUBLE) / 100"
+    return f"CASE WHEN {c} IS NOT NULL THEN {_two_places(_hundredths(c))} END"
 
 
 STATIONS = """stations AS (
@@ -37,14 +53,20 @@ OBS_LINEITEM = """obs_li AS (
          l_discount AS WND_RATE, l_tax AS SLP
   FROM lineitem JOIN stations ON l_suppkey = station_key)"""
 
-OBS_EVENTS = """obs_ev AS (
+
+
+def obs_events(value: str = "value") -> str:
+    return f"""obs_ev AS (
   SELECT ts AS DATE, LATITUDE, LONGITUDE,
-    CASE WHEN event_type = 'click' THEN value END AS TMP,
-    CASE WHEN event_type = 'view' THEN value END AS DEW,
-    CASE WHEN event_type = 'purchase' THEN value END AS WND_RATE,
-    CASE WHEN event_type = 'error' THEN value END AS SLP
+    CASE WHEN event_type = 'click' THEN {value} END AS TMP,
+    CASE WHEN event_type = 'view' THEN {value} END AS DEW,
+    CASE WHEN event_type = 'purchase' THEN {value} END AS WND_RATE,
+    CASE WHEN event_type = 'error' THEN {value} END AS SLP
   FROM events JOIN stations ON user_id % (SELECT count(*) FROM supplier) = station_key)"""
 
+
+OBS_EVENTS = obs_events()
+
 PLACES = """places AS (
   SELECT CAST(n_nationkey AS BIGINT) AS place_key, n_name AS name, substr(n_name, 1, 2) AS cc,
     CAST((n_nationkey * 2311) % 16001 - 8000 AS DOUBLE) / 100 AS lat,
@@ -60,15 +82,21 @@ def _id(lat: str = "LATITUDE", lon: str = "LONGITUDE") -> str:
             f"CAST(CAST(trunc(({lon} + 180) * 100) AS INTEGER) AS VARCHAR))")
 
 
-def hourly_cte(obs: str, name: str = "hourly") -> str:
+def _station_id(lat: str, lon: str) -> str:
+    return (f"concat_ws('-', CAST(CAST(round(({lat} + 90) * 100) AS INTEGER) AS VARCHAR), "
+            f"CAST(CAST(round(({lon} + 180) * 100) AS INTEGER) AS VARCHAR))")
+
+
+def hourly_cte(obs: str, name: str = "hourly", station: bool = False) -> str:
+    key = (_station_id if station else _id)('round(LATITUDE, 2)', 'round(LONGITUDE, 2)')
     return f"""{name} AS (
-  SELECT DATE, TMP, DEW, WND_RATE AS WIND, SLP, {_id('round(LATITUDE, 2)', 'round(LONGITUDE, 2)')} AS id,
+  SELECT DATE, TMP, DEW, WND_RATE AS WIND, SLP, {key} AS id,
          CAST(year(DATE) AS INTEGER) AS year, CAST(month(DATE) AS INTEGER) AS month
   FROM {obs} WHERE {VALID})"""
 
 
 def daily_cte(hourly: str = "hourly", name: str = "daily") -> str:
-    cents = ", ".join(f"{_cents(m)} AS c_{m}" for m in METRICS)
+    cents = ", ".join(f"{_dec(m)} AS c_{m}" for m in METRICS)
     bufs = ", ".join(f"sum(c_{m}) AS s_{m}, count(c_{m}) AS n_{m}, min(c_{m}) AS lo_{m}, max(c_{m}) AS hi_{m}"
                      for m in METRICS)
     outs = ", ".join(f"{_mean(f's_{m}', f'n_{m}')} AS avg{m}, {_val(f'lo_{m}')} AS min{m}, "
@@ -82,7 +110,7 @@ def daily_cte(hourly: str = "hourly", name: str = "daily") -> str:
 
 def period_cte(keys: list[str], daily: str = "daily", name: str = "monthly") -> str:
     k = ", ".join(keys)
-    cents = ", ".join(f"{_cents('avg' + m)} AS a_{m}, {_cents('min' + m)} AS lo_{m}, {_cents('max' + m)} AS hi_{m}"
+    cents = ", ".join(f"{_dec('avg' + m)} AS a_{m}, {_dec('min' + m)} AS lo_{m}, {_dec('max' + m)} AS hi_{m}"
                       for m in METRICS)
     bufs = ", ".join(
         f"sum(a_{m}) AS sa_{m}, count(a_{m}) AS na_{m}, sum(lo_{m}) AS slo_{m}, count(lo_{m}) AS nlo_{m}, "
@@ -121,12 +149,12 @@ def nearest_cte(points: str, keys: list[str], name: str) -> str:
 
 
 def locations_cte(cells: str = "cells", name: str = "locations") -> str:
-    return f"""rep AS (
-  SELECT id, LATITUDE, LONGITUDE, n_points FROM (
+    return f"""{nearest_cte(cells, ['LATITUDE', 'LONGITUDE'], 'points')},
+{name} AS (
+  SELECT id, LATITUDE, LONGITUDE, city, n_points FROM (
     SELECT *, row_number() OVER (PARTITION BY id ORDER BY LATITUDE, LONGITUDE) AS rn,
            count(*) OVER (PARTITION BY id) AS n_points
-    FROM {cells}) WHERE rn = 1),
-{nearest_cte('rep', ['id'], name)}"""
+    FROM points) WHERE rn = 1)"""
 
 
 def with_(*ctes: str) -> str:
@@ -141,15 +169,15 @@ CUBE = [*ALL_OBS, hourly_cte("obs"), daily_cte(), period_cte(["id", "year", "mon
 
 
 def snapshot_sql(level: str, col: str, where: str, time_sel: str) -> str:
-    table = {"hourly": "hourly", "daily": "daily", "monthly": "monthly", "yearly": "yearly"}[level]
-    val = f"round({col}, 2) AS {col}" if level == "hourly" else col
+    assert level in LEVELS
+    table, val = level, f"round({col}, 2) AS {col}" if level == "hourly" else col
     return with_(*CUBE) + f"""SELECT {time_sel}, f.id, {val}, l.city, l.LATITUDE, l.LONGITUDE
 FROM (SELECT * FROM {table} WHERE {where}) f LEFT JOIN locations l ON f.id = l.id"""
 
 
 def series_sql(level: str, col: str, where: str, time_sel: str, station: str) -> str:
-    table = {"hourly": "hourly", "daily": "daily", "monthly": "monthly", "yearly": "yearly"}[level]
-    val = f"round({col}, 2) AS {col}" if level == "hourly" else col
+    assert level in LEVELS
+    table, val = level, f"round({col}, 2) AS {col}" if level == "hourly" else col
     return with_(*CUBE) + f"SELECT {time_sel}, {val} FROM {table} WHERE {where} AND id = '{station}'"
 
 
@@ -159,6 +187,23 @@ def month_sel(prefix: str = "") -> str:
 
 
 def guard_sql(name: str, inner: str) -> str:
-    return (f"SELECT '{name}' AS query, least(count(*), {ROW_LIMIT + 1}) AS n_rows, "
+    return (f"SELECT '{name}' AS query, count(*) AS n_rows, "
             f"CASE WHEN count(*) = 0 THEN 'No Data' WHEN count(*) > {ROW_LIMIT} THEN 'Too Large' ELSE 'ok' END "
             f"AS status FROM ({inner})")
+
+
+# Readings with cells that do not parse, some blank, and missing keys (see catalog._with_bad_cells).
+BAD_TEXT = """
+SELECT column_name, CAST(n AS BIGINT) AS n_bad FROM (VALUES
+  ('DATE', (SELECT count(*) FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_orderkey % 50 = 7)),
+  ('LATITUDE', (SELECT count(*) FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_orderkey % 40 = 3)),
+  ('LONGITUDE', 0),
+  ('TMP', (SELECT count(*) FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_linenumber = 3)),
+  ('DEW', (SELECT count(*) FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_linenumber = 2)),
+  ('WND_RATE', 0), ('SLP', 0)) t(column_name, n)"""
+
+REJECTS = with_(STATIONS) + """
+SELECT CASE WHEN l_orderkey % 50 <> 7 THEN l_shipdate END AS DATE, CASE WHEN l_orderkey % 40 <> 3 THEN LATITUDE END AS LATITUDE, LONGITUDE,
+       CASE WHEN l_linenumber NOT IN (3, 4) THEN l_extendedprice END AS TMP, CASE WHEN l_linenumber <> 2 THEN l_quantity END AS DEW,
+       l_discount AS WIND, CASE WHEN l_linenumber <> 1 THEN l_tax END AS SLP
+FROM lineitem JOIN stations ON l_suppkey = station_key WHERE l_orderkey % 50 = 7 OR l_orderkey % 40 = 3"""

@@ -23,6 +23,10 @@ from ..operators.joins import join_small
 from ..schema import ALLOWED_AGGS, LEVELS, METRICS
 
 
+#: Columns that order an answer in time, by level.
+TIME_COLUMNS = {"hourly": ("DATE",), "daily": ("DATE",), "monthly": ("year_month",), "yearly": ("year",)}
+
+
 def value_column(level: str, agg: str, metric: str) -> str:
     """The measure column a request names, checked against the fixed sets.
 
@@ -40,19 +44,16 @@ def value_column(level: str, agg: str, metric: str) -> str:
     return f"{agg}{metric}"
 
 
-def _facts(table: DataFrame, level: str, col: str, start, end) -> tuple[DataFrame, list[str]]:
+def _facts(table: DataFrame, level: str, col: str, start, end) -> DataFrame:
     """Range-filtered facts with the time columns of the level."""
     if level == "hourly":
-        df = table.filter(hour_range(start, end)).select("DATE", "id", F.round(col, 2).alias(col))
-        return df, ["DATE"]
+        return table.filter(hour_range(start, end)).select("DATE", "id", F.round(col, 2).alias(col))
     if level == "daily":
-        return table.filter(day_range(start, end)).select("DATE", "id", col), ["DATE"]
+        return table.filter(day_range(start, end)).select("DATE", "id", col)
     if level == "monthly":
-        df = table.filter(month_range(start, end)).select(
+        return table.filter(month_range(start, end)).select(
             year_month_code().alias("year_month"), period_label().alias("label"), "id", col)
-        return df, ["year_month"]
-    df = table.filter(year_range(start, end)).select("year", "id", col)
-    return df, ["year"]
+    return table.filter(year_range(start, end)).select("year", "id", col)
 
 
 def snapshot(table: DataFrame, locations: DataFrame, level: str, metric: str, agg: str,
@@ -64,11 +65,11 @@ def snapshot(table: DataFrame, locations: DataFrame, level: str, metric: str, ag
     is a measured row count of ``locations`` (skips the broadcast check's count).
     """
     col = value_column(level, agg, metric)
-    facts, time_cols = _facts(table, level, col, start, end)
+    facts = _facts(table, level, col, start, end)
     dim = locations.select("id", "city", "LATITUDE", "LONGITUDE")
     out = join_small(facts, dim, "id", "left", small_rows=location_rows).select(
         *facts.columns, "city", "LATITUDE", "LONGITUDE")
-    return out.orderBy(*time_cols, "id") if ordered else out
+    return out.orderBy(*TIME_COLUMNS[level], "id") if ordered else out
 
 
 def series(table: DataFrame, level: str, metric: str, agg: str, start, end, station: str,
@@ -77,11 +78,11 @@ def series(table: DataFrame, level: str, metric: str, agg: str, start, end, stat
     col = value_column(level, agg, metric)
     if not station:
         raise ValueError("series needs a station id")
-    facts, time_cols = _facts(table.filter(F.col("id") == F.lit(station)), level, col, start, end)
+    facts = _facts(table.filter(F.col("id") == F.lit(station)), level, col, start, end)
     out = facts.drop("id")
-    return out.orderBy(*time_cols) if ordered else out
+    return out.orderBy(*TIME_COLUMNS[level]) if ordered else out
 
 
-def station_listing(locations: DataFrame) -> DataFrame:
-    """Q9: the station list (city, id, coordinates), ordered by id."""
-    return locations.select("city", "id", "LATITUDE", "LONGITUDE").orderBy("id")
+def station_listing(points: DataFrame) -> DataFrame:
+    """Q9: the station list, every distinct coordinate with its city and id, ordered by id."""
+    return points.select("city", "id", "LATITUDE", "LONGITUDE").orderBy("id", "LATITUDE", "LONGITUDE")

@@ -1,7 +1,7 @@
 """Schemas, allowed request values and fixed constants of the cube.
 
 Everything here is data, not logic: the published grain and column names,
-the request vocabulary and the limits the query layer enforces.
+the request vocabulary and the default limits of the public front.
 """
 
 from __future__ import annotations
@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 METRICS = ("TMP", "DEW", "WIND", "SLP")
 RAW_WIND = "WND_RATE"  # raw name of the WIND measure
 LEVELS = ("hourly", "daily", "monthly", "yearly")
+TABLES = ("hourly", "daily", "monthly", "yearly", "locations")  # table folder names
+VIEW_NAMES = {"hourly": "hourly_view", "daily": "daily_view", "monthly": "monthly_view",
+              "yearly": "yearly_view", "locations": "location_table"}
 DAILY_AGGS = ("avg", "min", "max")
 PERIOD_AGGS = ("avg", "avg_min", "min", "avg_max", "max")
 ALLOWED_AGGS = {
@@ -20,11 +23,12 @@ ALLOWED_AGGS = {
     "monthly": PERIOD_AGGS,
     "yearly": PERIOD_AGGS,
 }
-ROW_LIMIT = 380_000          # largest answer a query may hand to a caller
-MAX_DAYS_DAILY_SNAPSHOT = 31
-MAX_DAYS_HOURLY_SNAPSHOT = 2
-MAX_DAYS_HOURLY_SERIES = 31
-DROPPED_RAW_COLUMNS = ("MASK", "TIME_DIFF")  # not carried into the daily table
+ROW_LIMIT = 380_000          # largest answer that the front hands to a caller, unless told otherwise
+LIMITS = {                   # most days between start and end that the front accepts, unless told otherwise
+    "daily_snapshot": 31,
+    "hourly_snapshot": 2,
+    "hourly_series": 31,
+}
 EARTH_RADIUS_KM = 6371.0
 # --- end of fixed values ---
 
@@ -42,20 +46,24 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
-GAZETTEER_SCHEMA = T.StructType(
-    [
-        T.StructField("place_key", T.LongType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("cc", T.StringType()),
-        T.StructField("lat", T.DoubleType()),
-        T.StructField("lon", T.DoubleType()),
-    ]
-)
 
+_TYPES = {"string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(), "long": T.LongType(),
+          "date": T.DateType(), "timestamp_ntz": T.TimestampNTZType()}
 
-def daily_measures() -> list[str]:
-    return [f"{a}{m}" for m in METRICS for a in DAILY_AGGS]
 
+def _ddl(*columns: str) -> T.StructType:
+    return T.StructType([T.StructField(c.split()[0], _TYPES[c.split()[1]]) for c in columns])
 
-def period_measures() -> list[str]:
-    return [f"{a}{m}" for m in METRICS for a in PERIOD_AGGS]
+
+_PERIOD = [f"{a}{m} double" for m in METRICS for a in PERIOD_AGGS]
+
+#: Stored tables as they are read when a build had no rows for them (their folders then hold no file).
+#: ``hourly`` keeps the coordinates beside the id, and holds the rejects under a null year and month.
+STORED = {
+    "hourly": _ddl("DATE timestamp_ntz", "LATITUDE double", "LONGITUDE double", *[f"{m} double" for m in METRICS], "id string", "year int", "month int"),
+    "points": _ddl("LATITUDE double", "LONGITUDE double", "city string", "id string"),
+    "locations": _ddl("LATITUDE double", "LONGITUDE double", "city string", "id string", "n_points long"),
+    "daily": _ddl("id string", "DATE date", *[f"{a}{m} double" for m in METRICS for a in DAILY_AGGS], "year int", "month int"),
+    "monthly": _ddl("id string", *_PERIOD, "year int", "month int"),
+    "yearly": _ddl("id string", "year int", *_PERIOD),
+}

@@ -8,34 +8,39 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CONF_KEY = "spark.checkpoint.dir"
-_fallback: dict[int, str] = {}  # chosen root per SparkContext when the setting is unset
+_local: dict[str, str] = {}  # root per application of a single-machine session without the setting
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) do we make one.
-    The same folder is installed as the RDD checkpoint directory so that
-    ``DataFrame.checkpoint()`` writes there too.
+    Without the setting (and without ``setCheckpointDir``) a session whose master is a cluster gets an
+    error: a folder of our own choice would be another disk on every executor.  Only a ``local``
+    master, whose tasks run inside the driver, gets a temporary folder.  The folder is also installed
+    as the RDD checkpoint directory, so that ``DataFrame.checkpoint()`` writes there too.
     """
     root = spark.conf.get(_CONF_KEY, None)
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no driver-side context; the server owns the setting
         sc = None
-    if not root and sc is not None:
-        root = sc.getConf().get(_CONF_KEY, None)
+    if sc is not None:
+        root = root or sc.getConf().get(_CONF_KEY, None) or sc.getCheckpointDir()
     if not root:
-        # Unset only in ad-hoc local sessions; a cluster always names one.  Chosen once per context
-        # (getCheckpointDir() would return a fresh sub-folder of it).
-        key = id(sc)
-        if key not in _fallback:
-            _fallback[key] = (sc.getCheckpointDir() if sc is not None else None) or tempfile.mkdtemp(
-                prefix="meteocube-ckpt-")
-        root = _fallback[key]
+        if sc is None or not _in_driver(sc.master):
+            raise RuntimeError(f"set {_CONF_KEY} to a folder that the driver and all executors share")
+        root = _local.setdefault(sc.applicationId, "") or tempfile.mkdtemp(prefix="meteocube-ckpt-")
+        _local[sc.applicationId] = root
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
-    return root.rstrip("/")
+        if sc.applicationId not in _local:
+            _local[sc.applicationId] = root
+    # getCheckpointDir() is a sub-folder of what was set; keep the first answer of the application.
+    return _local.setdefault(sc.applicationId, root).rstrip("/") if sc is not None else root.rstrip("/")
+
+
+def _in_driver(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -3,21 +3,20 @@
 Layouts
 -------
 ``clustered`` (default, K3)
-    ``REBALANCE`` on the partition columns: rows of one (year, month) meet in
-    one shuffle partition, and AQE splits any partition above the advisory
-    size and merges small ones.  Each directory gets a few files of bounded
-    size, so no task ever holds a whole month at scale.  Rows are sorted by
-    the partition columns and then ``sort_by`` inside each file, so parquet
-    min/max statistics let range and station lookups skip row groups (the
-    hourly table sorts by day, then station, then time: a 2-day snapshot
-    reads only its days, a station series about one row group per day).
+    ``REBALANCE`` on the partition columns and ``spread``: rows of one key meet
+    in one shuffle partition, and AQE splits any partition above the advisory
+    size and merges small ones.  Each directory gets files of bounded size, so
+    no task ever holds a whole month at scale.  With ``spread`` = the day, a day's
+    rows are in one file of their month (more only where AQE splits a hot day), so
+    a snapshot opens the files of its days and not the whole month.  Rows are
+    sorted by the partition columns and then ``sort_by`` inside each file, so
+    min/max statistics let range and station lookups skip row groups and pages.
 ``small_files`` (K5)
     No exchange before the write: every input task writes into every
     directory it touches (the small-file control case).
 ``single_file`` (K4)
-    One file when the table is provably small (at most ``SINGLE_FILE_ROWS``
-    rows, counted first); beyond that it falls back to ``clustered`` so a
-    large table never funnels through one task.
+    One file, written by one task: for tables that the caller knows to be
+    small (stations x years), never chosen by the library itself.
 
 All writes are ``overwrite`` to a path of their own; Spark's commit protocol
 makes a re-run after a lost executor or a failed attempt idempotent.
@@ -28,30 +27,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 
 LAYOUTS = ("clustered", "small_files", "single_file")
-SINGLE_FILE_ROWS = 5_000_000
 
 
-def _clustered(df: DataFrame, partition_by: tuple[str, ...], sort_by: tuple[str | Column, ...]) -> DataFrame:
-    out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+def _clustered(df: DataFrame, partition_by: tuple[str, ...], sort_by: tuple[str | Column, ...],
+               spread: dict[str, Column] | None = None) -> DataFrame:
+    spread = spread or {}
+    out = df.withColumns(spread).hint("rebalance", *partition_by, *spread) if partition_by else df.hint("rebalance")
     order = (*partition_by, *sort_by)
-    return out.sortWithinPartitions(*order) if order else out
+    out = out.sortWithinPartitions(*order) if order else out
+    return out.drop(*spread) if partition_by else out
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), layout: str = "clustered",
-                sort_by: tuple[str | Column, ...] = ()) -> str:
+                sort_by: tuple[str | Column, ...] = (), spread: dict[str, Column] | None = None) -> str:
     """K1/K2 (+K3/K4/K5 by ``layout``): overwrite ``path`` with ``df`` as parquet."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
     out = df
     if layout == "clustered":
-        out = _clustered(df, partition_by, sort_by)
+        out = _clustered(df, partition_by, sort_by, spread)
     elif layout == "single_file":
-        if df.count() <= SINGLE_FILE_ROWS:  # distributed count (evaluates the input once more)
-            out = df.repartition(1)
-            order = (*partition_by, *sort_by)
-            out = out.sortWithinPartitions(*order) if order else out
-        else:
-            out = _clustered(df, partition_by, sort_by)
+        order = (*partition_by, *sort_by)
+        out = df.repartition(1)
+        out = out.sortWithinPartitions(*order) if order else out
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -66,7 +64,11 @@ def write_sorted(df: DataFrame, path: str, order: tuple[str, ...]) -> str:
 
 
 def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
-                layout: str = "clustered", sort_by: tuple[str | Column, ...] = ()) -> DataFrame:
-    """K6: write, then continue from the written table (cuts lineage, survives restarts)."""
-    write_table(df, path, partition_by, layout, sort_by)
-    return spark.read.parquet(path)
+                layout: str = "clustered", sort_by: tuple[str | Column, ...] = (),
+                spread: dict[str, Column] | None = None) -> DataFrame:
+    """K6: write, then continue from the written table (cuts lineage, survives restarts).
+
+    The schema is the written one, so a table without rows, which leaves no file, is read back as well.
+    """
+    write_table(df, path, partition_by, layout, sort_by, spread)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,9 +2,9 @@
 
 CSV is read exactly as text (every column STRING, header on), like a raw
 drop of station files, and then typed with ``try_cast``: a bad number becomes
-NULL instead of failing the job (D11).  Rows whose key fields (time or a
-coordinate) are NULL after typing are rejects (D10, see
-``operators.hourly.split_rejects``).
+NULL instead of failing the job (D11), and ``bad_text_counts`` says how many
+did.  Rows whose key fields (time or a coordinate) are NULL after typing are
+rejects (D10, see ``operators.hourly.split_rejects``).
 """
 
 from __future__ import annotations
@@ -21,10 +21,13 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
+def _typed(text_df: DataFrame, schema: T.StructType) -> dict[str, F.Column]:
+    return {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields if f.name in text_df.columns}
+
+
 def type_raw(text_df: DataFrame, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """Cast the known raw columns to their types; other columns pass through as text."""
-    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields if f.name in text_df.columns}
-    return text_df.withColumns(typed)
+    return text_df.withColumns(_typed(text_df, schema))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
@@ -32,9 +35,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA)
     return type_raw(read_csv_text(spark, path), schema)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan; hive-style partition directories are discovered."""
-    return spark.read.parquet(path)
+def bad_text_counts(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+    """(column_name, n_bad) for every typed column: texts that are not blank and did not parse (one aggregate)."""
+    text = read_csv_text(spark, path)
+    bad = [F.struct(F.lit(c).alias("column_name"), F.count_if((F.trim(c) != "") & typed.isNull()).alias("n_bad"))
+           for c, typed in _typed(text, schema).items()]
+    return text.agg(F.array(*bad).alias("b")).select(F.explode("b").alias("b")).select("b.*")
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:

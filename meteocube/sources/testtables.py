@@ -16,7 +16,9 @@ size-checked broadcast with a shuffle join beyond the bound.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import join_small
@@ -35,17 +37,24 @@ SERIES_ID = "1700-1237"       # suppliers 2 and 3, present at every scale
 # --- end of fixed values ---
 
 
-_opened: dict[tuple[int, str], DataFrame] = {}
+TABLES = ("supplier", "lineitem", "events", "nation")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables; opened once per session (the files are read-only)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _opened.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _opened[key] = spark.read.parquet(path)
-    return df
+    """One of the driver's tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Files, sizes and times of the tables that a cube is built from: tells a changed input from the same one."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in TABLES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for f in path.getFileSystem(conf).listStatus(path):
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +68,8 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lineitem_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One reading per lineitem: DATE=l_shipdate, TMP=price, DEW=qty, WIND=discount, SLP=tax."""
+def lineitem_observations(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """One reading per lineitem: DATE=l_shipdate, TMP=price, DEW=qty, WIND=discount, SLP=tax (and ``extra`` columns)."""
     li = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("station_key"),
         F.col("l_shipdate").alias("DATE"),
@@ -68,19 +77,20 @@ def lineitem_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("DEW"),
         F.col("l_discount").alias(RAW_WIND),
         F.col("l_tax").alias("SLP"),
+        *extra,
     )
     st = stations(spark, sf_dir)
     obs = join_small(li, st, "station_key", "inner")
-    return obs.select("DATE", "LATITUDE", "LONGITUDE", "TMP", "DEW", RAW_WIND, "SLP")
+    return obs.select("DATE", "LATITUDE", "LONGITUDE", "TMP", "DEW", RAW_WIND, "SLP", *extra)
 
 
-def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sub-daily readings from events; the event type picks which measure is set."""
+def event_observations(spark: SparkSession, sf_dir: str, value: Callable[[Column], Column] = lambda v: v) -> DataFrame:
+    """Sub-daily readings from events; the event type picks which measure is set to ``value`` of the event's value."""
     sup = table(spark, sf_dir, "supplier")
     n_stations = sup.select(F.count(F.lit(1))).scalar()
     ev = table(spark, sf_dir, "events")
     measures = {
-        m: F.when(F.col("event_type") == t, F.col("value")).cast("double").alias(m)
+        m: F.when(F.col("event_type") == t, value(F.col("value"))).cast("double").alias(m)
         for t, m in EVENT_MEASURE.items()
     }
     readings = ev.select(

@@ -1,12 +1,14 @@
-"""Incremental ingest of raw readings into the hourly fact (S1/S2 -> P1-P6 -> K2).
+"""Incremental ingest of raw readings into the stored hourly table (S1/S2 -> P1-P6 -> K2).
 
 The batch build rewrites the hourly table from all raw files.  When station
 files keep arriving in a landing folder, the same transformation runs as a
-Structured Streaming query: the file source tracks which files were read,
-the hourly fact is appended to the (year, month)-partitioned table, and the
-checkpoint in the shared folder makes a restarted query (or a lost executor)
-resume without duplicates or gaps.  ``availableNow`` processes everything
-that has landed and stops, so it can run as a scheduled batch job too.
+Structured Streaming query: the file source tracks which files were read, every
+reading is appended to the (year, month)-partitioned table (rejects to their own
+partition, as in the batch table: ``rejects_of`` reads them), and the checkpoint
+in the shared folder makes a restarted query (or a lost executor) resume without
+duplicates or gaps.  ``availableNow`` processes everything that has landed and
+stops, so it can run as a scheduled batch job too.  The files of a micro-batch are
+as many as its tasks wrote; a build over the landing folder gives the clustered table.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.hourly import hourly_fact
+from ..operators.hourly import stored_hourly
 from ..schema import RAW_SCHEMA
 from ..session import scratch_path
 from ..sources.raw import type_raw
@@ -42,7 +44,7 @@ def start_hourly_ingest(spark: SparkSession, source_dir: str, target_dir: str, c
         raw = reader.schema(schema).parquet(source_dir)
     else:
         raise ValueError(f"fmt must be 'parquet' or 'csv', got {fmt!r}")
-    writer = (hourly_fact(raw, id_mode).writeStream.format("parquet").outputMode("append")
+    writer = (stored_hourly(raw, id_mode).writeStream.format("parquet").outputMode("append")
               .partitionBy("year", "month")
               .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-checkpoint")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -15,10 +15,9 @@ def spark():
 
     builder = (SparkSession.builder.master("local[*]").appName("meteocube-tests")
                .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="meteocube-test-ckpt-"))
                .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false"))
     spark = builder.getOrCreate()
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="meteocube-test-ckpt-"))
     spark.sparkContext.setLogLevel("ERROR")
     yield spark
     spark.stop()

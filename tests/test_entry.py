@@ -1,11 +1,13 @@
 import datetime as dt
 
 import __spark_entry__ as E
+from meteocube.plans import catalog
 
 
 def test_registry_has_oracle_for_every_query():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 30
+    core = catalog.spark_queries()
+    assert set(core) == set(catalog.oracle_queries()) and len(core) >= 46
+    assert set(core) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_runs_on_smallest_scale(spark):

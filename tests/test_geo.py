@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from meteocube.operators.locations import base_cell_for, cell_sizes, nearest_place
+from meteocube.operators.locations import base_cell_for, level_powers, nearest_place
 from meteocube.schema import EARTH_RADIUS_KM
 
 
@@ -43,7 +43,7 @@ def rnd_places(rng, n, clustered=False):
 @pytest.mark.parametrize("base,key_offset", [(360.0 / 2048, 0), (360.0 / 256, 0), (360.0 / 16, 0), (None, 0),
                                              (360.0 / 256, 2 ** 40), (None, -5)])
 def test_grid_matches_brute_force(spark, base, key_offset):
-    # key_offset outside [0, 2^28) exercises the struct-ordering path instead of the packed one
+    # keys of any size and sign order ties alike
     rng = random.Random(7)
     places = [(k + key_offset, *rest) for k, *rest in rnd_places(rng, 300, clustered=True)]
     points = [(f"p{i}", round(rng.uniform(-90, 90), 2), round(rng.uniform(-180, 180), 2)) for i in range(400)]
@@ -64,7 +64,7 @@ def test_edge_cases(spark):
 
 
 def test_grid_levels():
-    assert cell_sizes(360.0 / 256)[-1] == 180.0
+    assert level_powers(8) == [1, 2, 4, 6, 8] and level_powers(1) == [1] and level_powers(7, 2) == [1, 2, 3, 4, 5, 6, 7]
     assert base_cell_for(25) == 90.0
     assert base_cell_for(150_000) == 360.0 / 512
 

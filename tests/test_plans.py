@@ -2,10 +2,14 @@
 
 import pytest
 
-import __spark_entry__ as E
+import types
+
+from meteocube.plans import catalog
 
 from helpers import plan_text
 
+E = types.SimpleNamespace(queries=catalog.spark_queries)
+
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
@@ -43,17 +47,17 @@ def test_rollups_one_preaggregated_exchange_per_level(spark, name, exchanges):
     assert "SortAggregate" not in plan and "Join" not in plan.replace("BroadcastHashJoin", "")
 
 
-def test_nearest_place_level_is_broadcast_equi_join_with_hash_aggregate(spark):
-    from pyspark.sql import functions as F
-
-    from meteocube.operators.locations import _level
+def test_nearest_place_descends_with_broadcast_cells(spark):
+    from meteocube.operators.locations import candidates
 
     pts = spark.createDataFrame([("a", 10.0, 10.0)], "id string, LATITUDE double, LONGITUDE double")
-    pl = F.broadcast(spark.createDataFrame([(1, "X", "YY", 11.0, 11.0)],
-                                           "place_key long, name string, cc string, _plat double, _plon double"))
-    plan = plan_text(_level(pts, pl, ["id", "LATITUDE", "LONGITUDE"], "LATITUDE", "LONGITUDE", 5.625, True), "simple")
-    assert "BroadcastHashJoin" in plan
-    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    pl = spark.createDataFrame([(1, "X", "YY", 11.0, 11.0), (2, "Z", "YY", -30.0, 40.0)],
+                               "place_key long, name string, cc string, lat double, lon double")
+    df, _ = candidates(pts, pl, base_cell_deg=360.0 / 64)
+    plan = plan_text(df, "simple")
+    assert plan.count("BroadcastHashJoin") == 5 and "SortMergeJoin" not in plan  # k = 1, 2, 4, 6 and the places
+    assert plan.count("Exchange hashpartitioning(id") == 1  # every level's bound reuses one partitioning by point
+    assert [(r.id, r.place_key) for r in df.collect()] == [("a", 1)]
 
 
 def test_clustered_write_plan_rebalances_and_sorts(spark):
@@ -67,21 +71,3 @@ def test_clustered_write_plan_rebalances_and_sorts(spark):
                                 (F.col("id") % 3).cast("int").alias("year"), (F.col("id") % 12).cast("int").alias("month"))
     plan = plan_text(_clustered(df, ("year", "month"), hourly_order()), "simple")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan and "Sort [year" in plan
-
-
-def test_nearest_place_coarse_level_prunes_cells_before_joining_places(spark):
-    from pyspark.sql import functions as F
-
-    from meteocube.functions.geo import grid_col, grid_row
-    from meteocube.operators.locations import _level
-
-    pts = spark.createDataFrame([("a", 10.0, 10.0)], "id string, LATITUDE double, LONGITUDE double")
-    pl = spark.createDataFrame([(1, 11.0, 11.0), (2, -30.0, 40.0)], "place_key long, _plat double, _plon double")
-    base = 360.0 / 64
-    occupied = F.broadcast(pl.groupBy(grid_row(F.col("_plat"), base).alias("bgr"), grid_col(F.col("_plon"), base).alias("bgc"))
-                           .agg(F.min_by("_plat", "place_key").alias("_rlat"), F.min_by("_plon", "place_key").alias("_rlon")))
-    df = _level(pts, F.broadcast(pl), ["id", "LATITUDE", "LONGITUDE"], "LATITUDE", "LONGITUDE", 90.0, True, base, occupied)
-    plan = plan_text(df, "simple")
-    assert "Window" in plan and plan.count("BroadcastHashJoin") == 2
-    assert "HashAggregate" in plan and "SortAggregate" not in plan
-    assert [(r.id, r.place_key) for r in df.collect()] == [("a", 1)]

@@ -19,7 +19,7 @@ def test_rebuild_into_same_root_is_idempotent(spark, tmp_dir):
     tables = ("hourly", "daily", "monthly", "yearly", "locations")
     first = build(spark, raw_df(spark, rows), places, f"{tmp_dir}/cube")
     before = {t: sorted(map(tuple, first.table(t).collect())) for t in tables}
-    # e.g. a re-run after a failure; the earlier handle is stale now, build() returns a fresh one
+    # e.g. a re-run after a failure: a new version; the earlier handle keeps its own
     second = build(spark, raw_df(spark, rows), places, f"{tmp_dir}/cube")
     assert {t: sorted(map(tuple, second.table(t).collect())) for t in tables} == before
     assert second.hourly().count() == len(rows)

@@ -8,5 +8,3 @@ def test_shared_dir_is_stable_and_scratch_paths_unique(spark):
     assert p != q and p.startswith(a + "/meteocube/x-")
 
 
-def test_session_setting_wins(spark):
-    assert shared_dir(spark) == (spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark)).rstrip("/")
