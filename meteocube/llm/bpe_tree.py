@@ -187,7 +187,10 @@ def _encode_long(docs: DataFrame, path: str, leaf: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
         for rows, text in text_slices(batches, "text"):
-            ids = [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch_fast(text.to_pylist(), add_special_tokens=False)]
+            parts = text.to_pylist()
+            ids = []
+            for at in range(0, len(parts), 16):  # the library's own result takes far more memory than the ids
+                ids += [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch_fast(parts[at : at + 16], add_special_tokens=False)]
             yield pa.RecordBatch.from_arrays([*rows.columns[:4], pa.array(ids, pa.binary())], names=["uid", "doc_id", "leaf", "more", "ids"])
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
