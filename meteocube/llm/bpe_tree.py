@@ -172,7 +172,15 @@ def concatenate(path: str, parts: list[np.ndarray], goes_on: list[bool]) -> np.n
     return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
 
-def _encode_long(docs: DataFrame, path: str, leaf: int) -> DataFrame:
+def decoded(path: str, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The text of every run of ids: its bytes as UTF-8, what is not UTF-8 as U+FFFD."""
+    data, places = token_bytes(path)
+    raw, ends = gather(data, places, ids.astype(np.int64))
+    whole = raw.tobytes()
+    return pa.array([whole[a:b].decode("utf-8", "replace") for a, b in zip(ends[bounds[:-1]], ends[bounds[1:]], strict=True)], pa.string())
+
+
+def _encode_long(docs: DataFrame, path: str, leaf: int, texts: bool) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text in text_slices(batches, "text"):
             for k in range(len(text)):
@@ -196,45 +204,53 @@ def _encode_long(docs: DataFrame, path: str, leaf: int) -> DataFrame:
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("leaf")
         ids = concatenate(path, [np.frombuffer(b, "<u4") for b in group.ids], group.more.tolist())
-        return pd.DataFrame({"doc_id": group.doc_id.iloc[:1].to_numpy(), "ids": [ids.astype("<u4").tobytes()]})
+        out = pd.DataFrame({"doc_id": group.doc_id.iloc[:1].to_numpy(), "ids": [ids.astype("<u4").tobytes()]})
+        return out.assign(text=decoded(path, ids, np.array([0, len(ids)])).to_pylist()) if texts else out
 
     cuts = docs.mapInArrow(cut, "uid long, doc_id long, leaf long, more boolean, text string")
     done = cuts.repartition("uid", "leaf").mapInArrow(encode, "uid long, doc_id long, leaf long, more boolean, ids binary")
     # A group is one text's ids: no larger than a row of the input.
-    return done.groupBy("uid").applyInPandas(merge, "doc_id long, ids binary")
+    return done.groupBy("uid").applyInPandas(merge, _columns(texts))
+
+
+def _columns(texts: bool) -> str:
+    return "doc_id long, ids binary, text string" if texts else "doc_id long, ids binary"
+
 
+def encode(docs: DataFrame, path: str, long: int = LONG, leaf: int = LEAF, texts: bool = False) -> DataFrame:
+    """(doc_id, ids) for every row; ids as little-endian unsigned 32-bit integers.
 
-def encode(docs: DataFrame, path: str, long: int = LONG, leaf: int = LEAF) -> DataFrame:
-    """(doc_id, ids) for every row; ids as little-endian unsigned 32-bit integers."""
+    With ``texts`` also ``text``, decoded from the ids by the task that made them: the answer of ``decode`` without
+    a second worker beside the first.
+    """
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     is_long = F.length("text") > long
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, text in text_slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([part.column(0), ragged_binary(*encode_slice(path, text))], names=["doc_id", "ids"])
+            ids, bounds = encode_slice(path, text)
+            columns = [part.column(0), ragged_binary(ids, bounds)]
+            if texts:
+                columns.append(decoded(path, ids, bounds))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"][: len(columns)])
 
-    short = rows.where(~is_long).mapInArrow(task, "doc_id long, ids binary")
-    return short.union(_encode_long(rows.where(is_long).select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text"), path, leaf))
+    short = rows.where(~is_long).mapInArrow(task, _columns(texts))
+    return short.union(_encode_long(rows.where(is_long).select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text"), path, leaf, texts))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) of (doc_id, ids): the ids' bytes as UTF-8, what is not UTF-8 as U+FFFD."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, bounds = token_bytes(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids, cuts = ragged_ids(part.column(1))
-                raw, ends = gather(data, bounds, ids.astype(np.int64))
-                whole = raw.tobytes()
-                text = [whole[a:b].decode("utf-8", "replace") for a, b in zip(ends[cuts[:-1]], ends[cuts[1:]], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(text, pa.string())], names=["doc_id", "ids", "text"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), decoded(path, *ragged_ids(part.column(1)))], names=["doc_id", "ids", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(task, "doc_id long, ids binary, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(task, _columns(True))
 
 
 def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary(BYTE_BPE)
-    out = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    out = encode(table(spark, sf_dir, "documents"), path, texts=True)
     return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))

@@ -186,9 +186,12 @@ def test_joins_of_random_runs_equal_the_library():
 def test_encode_and_decode_equal_the_library(spark):
     rows = [*EDGE, *[(100 + k, t) for k, t in enumerate(LONG_TEXTS)], (107, LONG_TEXTS[0])]
     docs = docs_df(spark, rows, ids="i", uid="u", leaf="l", more="m")
-    got = b.decode(b.encode(docs, BYTE, long=2000, leaf=300), BYTE).collect()
-    assert sorted((str(r.doc_id), ids_of(r.ids), r.text) for r in got) == sorted((str(i), library(BYTE, t), t or "") for i, t in rows)
-    assert b.encode(docs.limit(0), BYTE).count() == 0
+    want = sorted((str(i), library(BYTE, t), t or "") for i, t in rows)
+    apart = b.decode(b.encode(docs, BYTE, long=2000, leaf=300), BYTE)
+    at_once = b.encode(docs, BYTE, long=2000, leaf=300, texts=True)
+    for got in (apart, at_once):
+        assert sorted((str(r.doc_id), ids_of(r.ids), r.text) for r in got.collect()) == want
+    assert b.encode(docs.limit(0), BYTE).count() == b.encode(docs.limit(0), BYTE, texts=True).count() == 0
 
 
 def test_decoding_of_any_ids_equals_the_library(spark):
