@@ -1,11 +1,12 @@
 """Embedding near-dedup: a pivot-permutation index.
 
-Every vector is described by its ``prefix`` nearest reference points (pivots) in order. An inverted list per
+Every vector is described by its nearest reference points (pivots) in order, more of them the more pivots there are. An inverted list per
 pivot holds the vectors that name it; two vectors that share at least ``shared`` pivots are candidates, and a
 candidate pair is a link when its cosine, in double precision, is ``threshold`` or more.
 
 Scale: equal vectors are one entry with a count. The number of pivots grows with the square root of the
-number of entries (up to ``MAX_PIVOTS``), so lists and assignment both cost about n ** 1.5. A list is met in blocks
+number of entries (up to ``MAX_PIVOTS``), so lists and assignment both cost about n ** 1.5; among more pivots two near
+vectors share fewer of their first few, so the prefix grows too (``prefix_length``). A list is met in blocks
 (``graph.list_blocks``), whatever its length: shared pivots are counted block against block, only candidates are
 verified, a pair counts in the list of its smallest shared pivot alone, and a block returns for each entry its
 number of links and one representative, not the pairs.
@@ -35,7 +36,7 @@ MAX_PIVOTS = 16384
 @dataclass(frozen=True)
 class Settings:
     threshold: float = 0.9
-    #: nearest pivots that describe a vector, and how many two vectors must share
+    #: nearest pivots that describe a vector at least (``prefix_length``), and how many two vectors must share
     prefix: int = 8
     shared: int = 3
     #: pivots = this * sqrt(entries), a power of two between 16 and MAX_PIVOTS
@@ -50,6 +51,11 @@ def pivot_count(entries: int, s: Settings) -> int:
     return int(min(MAX_PIVOTS, max(16, 2 ** round(np.log2(max(1.0, s.pivots_per_root * np.sqrt(entries)))))))
 
 
+def prefix_length(pivots: int, s: Settings) -> int:
+    """How many nearest of that many pivots describe a vector: one more for each doubling, so that recall holds."""
+    return max(s.prefix, int(np.ceil(np.log2(max(1, pivots)))) + 3)
+
+
 def choose_pivots(sample: np.ndarray, count: int, apart: float) -> np.ndarray:
     """The first ``count`` unit vectors of the sample that are not close to a chosen one."""
     chosen = np.zeros((0, sample.shape[1]))
@@ -115,12 +121,13 @@ def links(vectors: DataFrame, s: Settings = Settings()) -> tuple[DataFrame, Data
     sample = entries.orderBy(F.xxhash64("vec", F.lit(s.seed)), "vec").limit(2 * want).select("vec").collect()  # at most 2 * MAX_PIVOTS vectors
     pivots = choose_pivots(_matrix([bytes(r.vec) for r in sample], dim), want, s.apart)
     held = spark.sparkContext.broadcast(pivots.astype(np.float32))
+    prefix = prefix_length(len(pivots), s)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                perm = _permutations(_matrix(part.column(1).to_pylist(), dim).astype(np.float32), held.value, s.prefix)
+                perm = _permutations(_matrix(part.column(1).to_pylist(), dim).astype(np.float32), held.value, prefix)
                 n, k = perm.shape
                 row = pa.array(np.repeat(np.arange(n), k))
                 packed = pa.array([p.tobytes() for p in perm], pa.binary())

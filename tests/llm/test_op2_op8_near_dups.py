@@ -88,6 +88,31 @@ def test_pivots_keep_apart():
     assert e.pivot_count(10**12, e.Settings()) == e.MAX_PIVOTS
 
 
+def test_links_are_found_among_many_pivots(spark):
+    rng = np.random.default_rng(12)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(rng.normal(size=(2400, 64)))
+    off = rng.normal(size=(600, 64))
+    off = unit(off - (off * x[:600]).sum(1, keepdims=True) * x[:600])
+    m = np.concatenate([x, 0.905 * x[:600] + np.sqrt(1 - 0.905**2) * off])
+    rows = [(k, v) for k, v in enumerate(m.astype(np.float32).tolist())]
+    got = e.near_duplicates(frame(spark, rows), e.Settings(pivots_per_root=38)).collect()  # 2,048 pivots
+    links = cosine_links([v for _, v in rows])
+    assert len(links) >= 600 and sum(r.n_links for r in got) >= 0.97 * 2 * len(links)
+
+
+def test_prefix_holds_recall_at_every_number_of_pivots():
+    rng = np.random.default_rng(13)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x, off = unit(rng.normal(size=(400, 64))), rng.normal(size=(400, 64))
+    y = 0.9 * x + np.sqrt(1 - 0.9**2) * unit(off - (off * x).sum(1, keepdims=True) * x)
+    s = e.Settings()
+    for count in (16, 256, 1024, 4096, e.MAX_PIVOTS):
+        pivots = unit(rng.normal(size=(count, 64)))
+        a, b = (e._permutations(z, pivots, e.prefix_length(count, s)) for z in (x, y))
+        assert np.mean((a[:, :, None] == b[:, None, :]).sum((1, 2)) >= s.shared) >= 0.97, count
+
+
 # --- components ---
 
 
