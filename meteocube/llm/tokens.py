@@ -3,7 +3,7 @@
 The vocabulary's pre-tokenizer drops white space, so a text's ids are its words' ids one after another (words: runs of
 other characters than ASCII white space). A slice's words are dictionary-encoded, each word of its dictionary is encoded by
 the library unless its ids are still remembered, and the ids are gathered back by word.
-Texts that hold a special token's string go to the library whole. Tests compare every text with the library.
+Texts that hold a special token's string, in whatever case, go to the library whole. Tests compare every text with the library.
 """
 
 from __future__ import annotations
@@ -127,7 +127,8 @@ def encode_slice(path: str, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def has_special(t, text: pa.Array) -> np.ndarray:
-    found = [pc.match_substring(text, s).to_numpy(zero_copy_only=False) for s in specials(t).values()]
+    """Texts that hold a special token's string, as it is or once lower-cased (``_word_ids`` lower-cases words)."""
+    found = [pc.match_substring(x, s).to_numpy(zero_copy_only=False) for x in (text, pc.ascii_lower(text)) for s in specials(t).values()]
     return functools.reduce(np.logical_or, found) if found else np.zeros(len(text), bool)
 
 

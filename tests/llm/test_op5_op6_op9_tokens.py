@@ -57,6 +57,17 @@ def test_random_texts_equal_the_library():
             assert ids[bounds[k] : bounds[k + 1]].tolist() == library(path, t), (path, t)
 
 
+def test_special_tokens_in_other_cases_keep_their_ids(spark):
+    texts = ["see<|ENDOFTEXT|>now", "<|EndOfText|>", "a <|STARTofTEXT|>, b", "x<|endoftext|>y <|EndOfText|> z", "<|ENDOFTEXT|", "plain words"]
+    for path, encode in ((WORD, lambda a: tk.encode_slice(WORD, a)), (BYTE, lambda a: b.encode_slice(BYTE, a))):
+        ids, bounds = encode(pa.array(texts, pa.large_string()))
+        for k, t in enumerate(texts):
+            assert ids[bounds[k] : bounds[k + 1]].tolist() == library(path, t), (path, t)
+    assert len(library(WORD, texts[0])) == 8
+    got = {r.doc_id: ids_of(r.ids) for r in tk.encode_documents(docs_df(spark, list(enumerate(texts))), WORD).collect()}
+    assert got == {k: [*library(WORD, t), tk.END_ID] for k, t in enumerate(texts)}
+
+
 # --- Huffman files ---
 
 
