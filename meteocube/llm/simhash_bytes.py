@@ -114,13 +114,13 @@ def fingerprint_links(entries: DataFrame, distance: int = DISTANCE) -> DataFrame
 
 
 def _entries(prints: DataFrame, distance: int) -> DataFrame:
-    """(fp, root, component_id) for every different fingerprint of (doc_id, fp)."""
+    """(fp, root, low_id, component_id) for every different fingerprint of (doc_id, fp)."""
     entries = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("low_id")), "entries")
     root = components(fingerprint_links(entries.select("fp"), distance))
     known = entries.join(root, entries.fp == root.node, "left").select("fp", "low_id", F.coalesce("root", "fp").alias("root"))
     known = materialize(known, "entry-roots")
     low = materialize(known.groupBy("root").agg(F.min("low_id").alias("component_id")), "component-ids")
-    return materialize(known.join(low, "root").select("fp", "root", "component_id"), "entry-components")
+    return materialize(known.join(low, "root").select("fp", "root", "low_id", "component_id"), "entry-components")
 
 
 def classes(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
@@ -141,22 +141,28 @@ def op8_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row of ``docs`` (all its columns) for each group: that of its smallest doc_id.
 
-    Rows that repeat that doc_id are reduced to one; a group without any doc_id keeps one row.
+    Of a group's rows that repeat that doc_id one with the smallest fingerprint stays; rows of another group stay apart,
+    whether or not their doc_id is the same. A group without any doc_id keeps one row.
     """
     prints = materialize(fingerprints(docs, shingle), "fingerprints")
     entries = _entries(prints, distance)
     kept_id, own, group = (fresh(n, docs) for n in ("_kept_id", "_fp", "_root"))
-    stays = materialize(entries.where("component_id is not null").select(F.col("component_id").alias(kept_id)).distinct(), "kept-ids")
-    named = docs.where(F.col("doc_id").isNotNull())
-    # Rows whose id repeats are already together after the join: no second shuffle.
-    named = named.join(stays, F.col("doc_id") == F.col(kept_id), "left_semi").dropDuplicates(["doc_id"])
+    kept_fp = fresh("_kept_fp", docs)
+    # One (id, fingerprint) for each group: an id alone may name several groups.
+    stays = entries.where("low_id = component_id").groupBy("root").agg(F.min("component_id").alias(kept_id), F.min("fp").alias(kept_fp))
+    stays = materialize(stays.select(kept_id, kept_fp), "kept-rows")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text in text_slices(batches, "text"):
             fp = [fingerprint(t, shingle) for t in text.cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(fp, pa.int64())], names=[*rows.schema.names, own])
 
-    nameless = docs.where(F.col("doc_id").isNull()).mapInArrow(task, T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())]))
+    printed = T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())])
+    named = docs.where(F.col("doc_id").isNotNull()).mapInArrow(task, printed)
+    # Rows that repeat both are already together after the join: no second shuffle.
+    named = named.join(stays, (F.col("doc_id") == F.col(kept_id)) & (F.col(own) == F.col(kept_fp)), "left_semi")
+    named = named.dropDuplicates(["doc_id", own]).select(*docs.columns)
+    nameless = docs.where(F.col("doc_id").isNull()).mapInArrow(task, printed)
     alone = entries.where("component_id is null").select(F.col("fp").alias(own), F.col("root").alias(group))
     nameless = nameless.join(alone, own).dropDuplicates([group]).select(*docs.columns)
     return named.union(nameless)

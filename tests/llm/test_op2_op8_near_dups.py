@@ -233,3 +233,17 @@ def test_keep_leaves_one_row_of_each_group(spark, near):
         low[r] = min((x for x in (low.get(r), i) if x is not None), default=None)
     assert sorted(map(str, got)) == sorted(str(v) for v in low.values())
     assert s.keep(docs.limit(0)).count() == 0 and s.classes(docs.limit(0)).count() == 0
+
+
+def test_keep_tells_groups_apart_that_share_an_id(spark):
+    a, b = prose(120, 501), prose(120, 777)
+    near_a = a + " end"
+    c = prose(120, 333)
+    for rows in ([(5, a), (5, b)], [(5, a), (3, b), (5, b)], [(5, b), (3, b), (5, a)], [(5, a), (5, a), (5, b), (None, c), (5, b)], [(5, a), (5, near_a), (7, b), (7, a)]):
+        fp, root = classes_of(rows)
+        kept = [(r.doc_id, r.text) for r in s.keep(docs_df(spark, rows)).collect()]
+        of = {t: r for (_, t), r in zip(rows, root)}
+        assert sorted(of[t] for _, t in kept) == sorted(set(root))  # one row of each group
+        for i, t in kept:
+            ids = [x for (x, _), r in zip(rows, root) if r == of[t] and x is not None]
+            assert i == min(ids, default=None)
