@@ -5,7 +5,8 @@ Elements that are not prose by what they are or by their class or id (menus, pag
 notices, adverts, forms, scripts, styles, reader comments) are left out with all they hold. Every paragraph-like
 block passes points to its ancestors: 1, its commas, and up to 3 for length, whole to the parent, half to the
 grandparent and less further up; an ancestor's points are discounted by its link density. The best container is kept
-with those of its siblings that score near it or are long prose themselves.
+with those of its siblings that score near it or are long prose themselves; when it lies inside an article or main element, all of
+that element that is not mostly links is kept with it.
 
 Inside a block character references are decoded, white space becomes one space and its ends are trimmed; blocks are joined
 by two \n. Nothing else is dropped, whatever its length.
@@ -52,6 +53,8 @@ _NOT_PROSE_NAME = re.compile(
     re.I,
 )
 _GOOD = {"article": 25.0, "main": 20.0, "section": 3.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0}
+#: An article's part with at least this share of its characters in links is no prose of it.
+MOSTLY_LINKS = 0.5
 _PARAGRAPHS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 li td dd figcaption".split())
 
 
@@ -194,10 +197,29 @@ def extract(page: str) -> str:
             density = linked[e] / max(chars[e], 1.0)
             if chars[e] and (points[e] >= max(10.0, 0.2 * points[best]) or (t.tag[e] in _PARAGRAPHS and chars[e] > 80 and density < 0.25)):
                 kept.add(e)
-    inside = [False] * len(t.parent)
+    path = _path_to_home(t, best)
+    home = path[-1] if path else -1
+    above = set(path)
+    within, inside = [False] * len(t.parent), [False] * len(t.parent)
     for e, p in enumerate(t.parent):  # parents come first
-        inside[e] = e in kept or (p >= 0 and inside[p])
-    return "\n\n".join(text for e, text, _ in t.blocks if inside[e])
+        within[e] = e == home or (p >= 0 and within[p])
+        own = within[e] and e not in above and chars[e] > 0 and linked[e] < MOSTLY_LINKS * chars[e]
+        inside[e] = e in kept or own or (p >= 0 and inside[p])
+    return "\n\n".join(text for e, text, in_links in t.blocks if inside[e] or (e in above and in_links < MOSTLY_LINKS * len(text)))
+
+
+def _path_to_home(t: _Tree, best: int) -> list[int]:
+    """Elements above ``best``, up to its outermost article, or without one its outermost main (none: empty)."""
+    path = []
+    e = t.parent[best]
+    while e >= 0:
+        path.append(e)
+        e = t.parent[e]
+    articles = [k for k, e in enumerate(path) if t.tag[e] == "article"]
+    if not articles and t.tag[best] == "article":
+        return []  # all of it is kept already
+    homes = articles or [k for k, e in enumerate(path) if t.tag[e] == "main"]
+    return path[: homes[-1] + 1] if homes else []
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

@@ -31,6 +31,22 @@ def test_siblings_that_are_prose_are_kept():
     assert got.startswith(f"{P1}\n\n{P2}\n\n{P1}") and P2 + P1 in got
 
 
+def test_an_article_is_kept_whole_however_long_its_parts():
+    for n in (1, 3, 9, 40, 200):
+        long = "".join(f"<p>{P1} {k}</p>" for k in range(n))
+        want = "\n\n".join(["Title", *[f"{P1} {k}" for k in range(n)]])
+        for tag in ("article", "main"):
+            assert t.extract(page(f"<{tag}><h1>Title</h1><div class=content>{long}</div><p>short end</p></{tag}>")) == f"{want}\n\nshort end", (n, tag)
+        html = f"<article><h1>Title</h1><section>{long}</section><section><h2>Last</h2><p>{P2}</p></section><div>tail <a href=x>here</a>, read on</div></article>"
+        assert t.extract(page(html)) == f"{want}\n\nLast\n\n{P2}\n\ntail here, read on", n
+        links = f"<ul><li><a href=/a>{P1}</a></li><li><a href=/b>{P2}</a></li></ul>"
+        html = f"<article><h1>Title</h1><div><div>{long}</div>{links}<p>By hand</p></div>loose words</article><p>{P2}</p>"
+        got = t.extract(page(f"<div><article><h1>Title</h1><div><div>{long}</div></div><p>end</p></article></div><aside>{P1}</aside>"))
+        assert got == f"{want}\n\nend", n
+        if n >= 40:
+            assert t.extract(page(html)) == f"{want}\n\nBy hand\n\nloose words", n
+
+
 def test_open_and_cut_markup():
     assert t.extract(f"<article><h1>One</h1><p><b>One two.<br><p>{P1}</article><footer>x") == f"One\n\nOne two.\n\n{P1}"
     assert t.extract(f"<article><p>{P1}</p><p>{P2}<a href='") == f"{P1}\n\n{P2}"
