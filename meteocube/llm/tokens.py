@@ -1,8 +1,9 @@
 """Token ids of whole texts by a word-level BPE of the tokenizers library, each different word of a slice encoded once.
 
 The vocabulary's pre-tokenizer drops white space, so a text's ids are its words' ids one after another (words: runs of
-other characters than ASCII white space). A slice's words are dictionary-encoded, each word of its dictionary is encoded by
-the library unless its ids are still remembered, and the ids are gathered back by word.
+other characters than ASCII white space). A slice's words are dictionary-encoded, each word of its dictionary is encoded in
+numpy for all words at once (``bulk_bpe``) or, where its shape is unusual, by the library unless its ids are still
+remembered, and the ids are gathered back by word.
 Texts that hold a special token's string, in whatever case, go to the library whole. Tests compare every text with the library.
 """
 
@@ -102,21 +103,16 @@ def ragged(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _word_ids(path: str, dictionary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of each word of a dictionary, flat, and bounds.
+    """Ids of each word of a dictionary, flat, and bounds: runs of letters in bulk, words of other shapes by the library."""
+    from meteocube.llm.bulk_bpe import word_ids
 
-    The vocabulary is lower case and its pre-tokenizer ends a run of letters at a stop or comma, so
-    "Word," is the ids of "word" and those of ",": only the former are looked up.
-    """
-    t, memory = tokenizer(path), pieces_of(path)
-    lower = pc.ascii_lower(dictionary)
-    ends = [pc.match_substring_regex(lower, f"[a-z][{x}]$") for x in (".", ",")]
-    cut = pc.or_(*ends)
-    base = pc.if_else(cut, pc.utf8_slice_codeunits(lower, 0, -1), lower).to_pylist()
-    base = ["" if "<|" in x and any(s in x for s in specials(t).values()) else x for x in base]
-    stop, comma = memory.encode([".", ","])
-    tail = np.where(ends[0].to_numpy(zero_copy_only=False), 1, np.where(ends[1].to_numpy(zero_copy_only=False), 2, 0)).tolist()
-    tails = (b"", stop, comma)
-    return ragged([x + tails[k] for x, k in zip(memory.encode(base), tail, strict=True)])
+    names = [s.lower() for s in specials(tokenizer(path)).values()]
+
+    def rest(words: list[str]) -> list[bytes]:
+        # Texts that hold a special token's string are encoded whole afterwards: their words need no ids here.
+        return pieces_of(path).encode(["" if "<|" in x and any(s in x.lower() for s in names) else x for x in words])
+
+    return word_ids(path, dictionary, lower=True, rest=rest)
 
 
 def encode_slice(path: str, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
