@@ -18,6 +18,7 @@ from meteocube.llm.phrase_mining import op11_phrase_mining
 from meteocube.llm.quality_rff import op1_quality_rff
 from meteocube.llm.rules_ledger import op4_rules_ledger
 from meteocube.llm.simhash_bytes import op8_simhash_bytes
+from meteocube.llm.token_alignment import op13_token_alignment
 from meteocube.llm.toxicity_fm import op3_toxicity_fm
 
 
@@ -25,7 +26,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_quality_rff, op2_embed_pivots, op3_toxicity_fm, op4_rules_ledger, op5_huffman_ids,
         op6_pack_pow2, op7_html_tree, op8_simhash_bytes, op9_bpe_tree, op10_chat_format,
-        op11_phrase_mining, op12_best_two_fit,
+        op11_phrase_mining, op12_best_two_fit, op13_token_alignment,
     )
     return {f.__name__: f for f in found}
 
