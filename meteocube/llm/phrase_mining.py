@@ -137,9 +137,18 @@ class Slice:
 
     def phrases(self, frequent: np.ndarray, longest: int) -> Iterator[tuple[int, pa.Array, pa.Array, np.ndarray]]:
         """(n, languages, phrases, counts) of the n-grams with a ``frequent`` (sorted) fingerprint, told apart by their words."""
+        likely = np.ones(len(self.idx) + 1, bool)  # word places where a frequent phrase of n - 1 words starts
         for n, at, found in self.fingerprints(longest):
-            place = np.minimum(np.searchsorted(frequent, found), max(0, len(frequent) - 1))
-            at = at[frequent[place] == found] if len(frequent) else at[:0]
+            # Both parts of a frequent phrase that are one word shorter are frequent.
+            maybe = likely[at] & likely[at + 1] if n > 1 else np.ones(len(at), bool)
+            at, found = at[maybe], found[maybe]
+            if n == 1:  # looked up once for each word and language
+                _, one, word = np.unique(self.lang * len(self.dictionary) + self.idx, return_index=True, return_inverse=True)
+                at = at[_among(found[one], frequent)[word]]
+            else:
+                at = at[_among(found, frequent)]
+            likely = np.zeros(len(self.idx) + 1, bool)
+            likely[at] = True
             if not len(at):
                 continue
             width = len(self.dictionary)
@@ -153,6 +162,13 @@ class Slice:
             yield n, pa.array(self.langs, pa.string()).take(pa.array(self.lang[one])), text, counts
 
 
+def _among(found: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Which are in the sorted array ``frequent``."""
+    if not len(frequent):
+        return np.zeros(len(found), bool)
+    return frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] == found
+
+
 # --- fingerprints on the wire: differences and counts less one, by byte planes, so that the shuffle's compression drops the zeros ---
 
 
@@ -221,7 +237,8 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = M
 
     entries = rows.groupBy("slice").applyInArrow(count, "slice long, range long, steps binary, often binary")
     # A group is one range of fingerprints: entries of about RANGE_TEXT of text.
-    bits = materialize(entries.groupBy("range").applyInArrow(judge, "slice long, range long, bits binary"), "phrase-bits")
+    bits = entries.groupBy("range").applyInArrow(judge, "slice long, range long, bits binary")
+    # The same exchange of the texts by slice feeds both passes.
     told = rows.groupBy("slice").cogroup(bits.groupBy("slice")).applyInArrow(tell, "lang string, n int, phrase string, count long")
     total = told.groupBy("lang", "n", "phrase").agg(F.sum("count").alias("count"))
     return materialize(total.where((F.col("n") == 0) | (F.col("count") >= min_count)), "phrases")

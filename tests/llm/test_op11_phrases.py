@@ -1,0 +1,110 @@
+"""Phrase mining against a plain count of every n-gram."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_helpers import EDGE, ship
+from pyspark.sql import types as T
+
+from meteocube.llm import phrase_mining as pm
+
+COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def frame(spark, rows, **extra):
+    ship(spark)
+    fields = [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), *[T.StructField(k, T.StringType()) for k in extra]]
+    return spark.createDataFrame([(*r, *extra.values()) for r in rows], T.StructType(fields))
+
+
+def brute(rows, min_count, top, covered=80):
+    f, n = Counter(), Counter()
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for _, text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(lower)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for m in range(1, 5):
+                f.update((lang, tuple(w[i : i + m])) for i in range(len(w) - m + 1))
+    cand = {k: a for k, a in f.items() if len(k[1]) >= 2 and a >= min_count}
+    out = []
+    for (lang, w), a in cand.items():
+        score, k, left, right = min((2000000 * a // (f[lang, w[:k]] + f[lang, w[k:]]), k, f[lang, w[:k]], f[lang, w[k:]]) for k in range(1, len(w)))
+        inside = [b for (g, x), b in cand.items() if g == lang and len(x) > len(w) and any(x[i : i + len(w)] == w for i in range(len(x) - len(w) + 1))]
+        if not any(100 * b >= covered * a for b in inside):
+            out.append((lang, " ".join(w), a, left, right, n[lang], score))
+    out.sort(key=lambda r: (r[0], -r[6], -r[2], r[1].encode()))
+    seen, ranked = Counter(), []
+    for lang, phrase, a, left, right, size, score in out:
+        seen[lang] += 1
+        if seen[lang] <= top:
+            ranked.append((lang, seen[lang], phrase, a, left, right, size, score))
+    return ranked
+
+
+def texts(seed, docs, words=30):
+    rng = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(words)] + ["Éa", "x y", "\x1cz"]
+    out = []
+    for d in range(docs):
+        parts = []
+        for _ in range(rng.randint(0, 40)):
+            parts.append(rng.choice(["New York city hall", "new york", "of the", *rng.choices(vocabulary, k=6)]) + rng.choice([" ", " ", "  ", "\t", ", ", ".\n", "\x0b"]))
+        out.append((d, "".join(parts), rng.choice(["en", "en", "en", "de", None, "und"])))
+    return out
+
+
+def mined(df, min_count, top=pm.TOP):
+    return sorted(tuple(r) for r in pm.collocations(pm.frequent_phrases(df, min_count=min_count), top).select(*COLUMNS).collect())
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_matches_brute_force(spark, seed):
+    rows = texts(seed, 150)
+    rows += [(k, t, "en") for k, t in EDGE] + [(900, None, None), (901, "", "fr"), (902, " . ", "it")] + [rows[3]] * 40
+    got = mined(frame(spark, rows, phrase="p", n="n", slice="s").repartition(3), 5)
+    assert got == sorted(brute(rows, 5, pm.TOP)) and len(got) > 50
+
+
+def test_top_and_ties(spark):
+    rows = texts(3, 120, words=8)
+    got = mined(frame(spark, rows), 4, top=7)
+    assert got == sorted(brute(rows, 4, 7)) and max(r[1] for r in got) == 7
+
+
+def test_empty_table_and_no_words(spark):
+    assert mined(frame(spark, []), 2) == []
+    assert mined(frame(spark, [(1, None, None), (2, "", "en"), (3, " ,. \n", "en")]), 2) == []
+
+
+def test_only_text_and_lang_are_read(spark):
+    rows = texts(5, 60)
+    df = frame(spark, rows).drop("doc_id")
+    assert mined(df, 5) == sorted(brute(rows, 5, pm.TOP))
+
+
+def test_equal_fingerprints_of_different_phrases_are_told_apart(monkeypatch):
+    """With every hash equal, each phrase still gets its own exact count."""
+    monkeypatch.setattr(pm, "_mix", lambda x: np.zeros(len(x), np.uint64))
+    part = pm.Slice.of(pa.array(["a b a b c", "b a"]), pa.array(["en", "de"]))
+    found, counts = part.entries(2)
+    assert len(found) == 1 and counts.sum() == 7 + 5
+    told = {(lang, p): c for n, langs, phrases, often in part.phrases(found, 2) for lang, p, c in zip(langs.to_pylist(), phrases.to_pylist(), often, strict=True)}
+    assert told == {("en", "a"): 2, ("en", "b"): 2, ("en", "c"): 1, ("de", "b"): 1, ("de", "a"): 1, ("en", "a b"): 2, ("en", "b a"): 1, ("en", "b c"): 1, ("de", "b a"): 1}
+
+
+def test_products_beyond_64_bits(spark):
+    big = 3_000_000_000_000_000
+    rows = [("en", 0, "", big * 9), ("en", 1, "a", big + 1), ("en", 1, "b", big + 2), ("en", 2, "a b", big)]
+    df = spark.createDataFrame(rows, "lang string, n int, phrase string, count long")
+    assert [tuple(r) for r in pm.collocations(df).collect()] == [("en", 1, "a b", big, big + 1, big + 2, big * 9, 2000000 * big // (2 * big + 3))]
+
+
+def test_planes_round_trip():
+    x = np.array([0, 1, 2**63, 2**64 - 1], np.uint64)
+    assert (pm.unplaned(pm.planes(x), np.uint64) == x).all() and pm.unplaned(pm.planes(x[:0]), np.uint64).tolist() == []
