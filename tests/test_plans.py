@@ -73,3 +73,22 @@ def test_clustered_write_plan_rebalances_and_sorts(spark):
                                 (F.col("id") % 3).cast("int").alias("year"), (F.col("id") % 12).cast("int").alias("month"))
     plan = plan_text(_clustered(df, ("year", "month"), hourly_order()), "simple")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan and "Sort [year" in plan
+
+
+#: HotSpot interprets methods above this many bytes of code.
+HUGE_METHOD = 8000
+
+
+@pytest.mark.parametrize("name", ["daily_rollup", "rollup_join_form", "monthly_rollup", "yearly_rollup", "daily_rollup_fine",
+                                  "daily_rollup_large", "daily_rollup_events", "hourly_fact"])
+def test_generated_methods_are_small_enough_to_compile(spark, name):
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the whole plan at once
+    try:
+        plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        code = debug.codegenStringSeq(plan)
+        sizes = [code.apply(i)._3().maxMethodCodeSize() for i in range(code.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < HUGE_METHOD, sizes
