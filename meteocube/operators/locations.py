@@ -3,8 +3,8 @@
 Nearest place, exactly, by descending a hierarchy of cells
 ----------------------------------------------------------
 Places are bucketed on a lat/lon grid of cells 360/2^k degrees (fine enough that no cell holds more than
-MAX_PLACES_PER_CELL places, down to 360/2^FINEST_K degrees), and every coarser grid of the hierarchy is the
-same table with rows and columns divided: an occupied cell with one of its places as representative.
+MAX_PLACES_PER_CELL places, down to 360/2^FINEST_K degrees; one aggregate over all grids tells), and one table holds the
+occupied cells of every grid of the hierarchy, each with one of its places as representative.
 
 A point starts with the two cells of the coarsest grid.  At each level its cells are joined to their occupied
 child cells, the distances to the children's representatives give an upper bound of the distance to
@@ -47,24 +47,42 @@ def base_cell_for(n_places: int) -> float:
     return 360.0 / 2 ** min(max(k, 1), FINEST_K)
 
 
-def base_cell_for_occupancy(places: DataFrame, coarsest: float, cap: int = MAX_PLACES_PER_CELL) -> float:
+def grid_statistics(spots: DataFrame) -> tuple[int, dict[int, int]]:
+    """(number of places, places in the fullest cell of every grid k = 1 .. FINEST_K).
+
+    ``spots`` has (_plat, _plon).  One aggregate over the places exploded to all grids; FINEST_K rows reach the driver.
+    """
+    per_cell = _on_grids(spots, range(1, FINEST_K + 1)).groupBy("k", "gr", "gc").count()
+    rows = per_cell.groupBy("k").agg(F.max("count").alias("most"), F.sum("count").alias("all")).collect()
+    return (rows[0]["all"] if rows else 0), {r["k"]: r["most"] for r in rows}
+
+
+def _on_grids(spots: DataFrame, powers) -> DataFrame:
+    """(_plat, _plon, k, gr, gc): every place with its cell on each of the grids 360/2^k."""
+    ks = F.explode(F.array(*[F.lit(k) for k in powers])).alias("k")
+    size, row, col = "(360.0D / shiftleft(1L, k))", "floor((_plat + 90.0D) / {0})", "floor((_plon + 180.0D) / {0})"
+    return spots.select("_plat", "_plon", ks).select(
+        "_plat", "_plon", "k",
+        F.expr(f"cast(least(greatest({row.format(size)}, 0L), shiftleft(1L, k - 1) - 1) AS int)").alias("gr"),
+        F.expr(f"cast(pmod({col.format(size)}, shiftleft(1L, k)) AS int)").alias("gc"))
+
+
+def coarsest_within(fullest: dict[int, int], coarsest: float, cap: int = MAX_PLACES_PER_CELL) -> float:
     """Coarsest grid 360/2^k (not coarser than ``coarsest``) whose fullest cell holds at most ``cap`` places.
 
-    ``places`` has (_plat, _plon).  One aggregate over the places exploded to the candidate grids; at most
-    FINEST_K rows reach the driver.  A dense city then starts on a fine grid, so stations inside it see few
-    candidates, while a sparse gazetteer keeps the density-chosen grid.
+    A dense city then starts on a fine grid, so stations inside it see few candidates, while a sparse gazetteer
+    keeps the density-chosen grid.
     """
     ks = [k for k in range(1, FINEST_K + 1) if 360.0 / 2 ** k <= coarsest]
-    if not ks:
-        return coarsest
-    cells = F.array(*[F.struct(F.lit(k).alias("k"), grid_row(F.col("_plat"), 360.0 / 2 ** k).alias("gr"),
-                               grid_col(F.col("_plon"), 360.0 / 2 ** k).alias("gc")) for k in ks])
-    per_cell = places.select(F.explode(cells).alias("c")).groupBy("c.k", "c.gr", "c.gc").count()
-    fullest = {r["k"]: r["m"] for r in per_cell.groupBy("k").agg(F.max("count").alias("m")).collect()}
     for k in ks:  # coarse to fine
         if fullest.get(k, 0) <= cap:
             return 360.0 / 2 ** k
-    return 360.0 / 2 ** ks[-1]
+    return 360.0 / 2 ** ks[-1] if ks else coarsest
+
+
+def base_cell_for_occupancy(places: DataFrame, coarsest: float, cap: int = MAX_PLACES_PER_CELL) -> float:
+    """``coarsest_within`` for places with (_plat, _plon)."""
+    return coarsest_within(grid_statistics(places)[1], coarsest, cap)
 
 
 def cell_power(cell_deg: float) -> int:
@@ -91,19 +109,18 @@ def station_cells(raw: DataFrame, id_mode: str = "cell") -> DataFrame:
 
 def nearest_place(points: DataFrame, places: DataFrame, key: str = "id", lat: str = "LATITUDE",
                   lon: str = "LONGITUDE", base_cell_deg: float | None = BASE_CELL_DEG,
-                  growth: int = GROWTH) -> DataFrame:
+                  growth: int = GROWTH, on_globe: bool = False) -> DataFrame:
     """For each point (unique ``key``), the nearest place of ``places``.
 
     ``places`` has (place_key, name, cc, lat, lon).  Returns every column of
     ``points`` plus (place_key, name, cc, distance_km); one row per key.
+    ``on_globe``: the caller has checked that every point has valid coordinates.
     """
-    cand, cols = candidates(points, places, key, lat, lon, base_cell_deg, growth)
+    cand, cols = candidates(points, places, key, lat, lon, base_cell_deg, growth, on_globe)
     dist = F.round(haversine_km(F.col(lat), F.col(lon), F.col("_plat"), F.col("_plon")), 6)
     order = F.when(F.col("place_key").isNotNull(), F.struct(dist.alias("distance_km"), F.col("place_key")))
     found = cand.groupBy(*cols).agg(F.min(order).alias("_best")).select(*cols, "_best.place_key", "_best.distance_km")
-    # Names of the winning keys only: as many rows as points at most, whatever the gazetteer holds.
-    won = found.select("place_key").distinct()
-    names = _valid(places).join(won, "place_key", "left_semi").groupBy("place_key").agg(F.min(F.struct("name", "cc")).alias("_nc"))
+    names = _valid(places).groupBy("place_key").agg(F.min(F.struct("name", "cc")).alias("_nc"))
     found = found.join(names.select("place_key", "_nc.name", "_nc.cc"), "place_key", "left")
     return found.select(*cols, "place_key", "name", "cc", "distance_km")
 
@@ -113,7 +130,7 @@ def _valid(places: DataFrame) -> DataFrame:
 
 
 def candidates(points: DataFrame, places: DataFrame, key: str = "id", lat: str = "LATITUDE", lon: str = "LONGITUDE",
-               base_cell_deg: float | None = BASE_CELL_DEG, growth: int = GROWTH) -> tuple[DataFrame, list[str]]:
+               base_cell_deg: float | None = BASE_CELL_DEG, growth: int = GROWTH, on_globe: bool = False) -> tuple[DataFrame, list[str]]:
     """(point columns, place_key, _plat, _plon) of the places left to compare, and the point columns.
 
     A point without valid coordinates, or any point when there are no places, keeps one row without a place.
@@ -121,34 +138,33 @@ def candidates(points: DataFrame, places: DataFrame, key: str = "id", lat: str =
     if base_cell_deg is not None:
         cell_power(base_cell_deg)
     level_powers(1, growth)
-    spark = points.sparkSession
     # Copies at identical coordinates tie on every distance, and ties go to the smaller key: keep only that one.
     spots = _valid(places).groupBy(F.col("lat").alias("_plat"), F.col("lon").alias("_plon")).agg(F.min("place_key").alias("place_key"))
     spots = _written(spots, "spots")
-    n_spots = spots.count()
+    n_spots, fullest = grid_statistics(spots)
     cols = [key, lat, lon, *[c for c in points.columns if c not in (key, lat, lon)]]
     nothing = [F.lit(None).cast(t).alias(n) for n, t in (("place_key", places.schema["place_key"].dataType), ("_plat", "double"), ("_plon", "double"))]
     if not n_spots:
         return points.select(*cols, *nothing), cols
-    on_globe = F.coalesce(valid_coordinates(lat, lon), F.lit(False))
+    ok = F.lit(True) if on_globe else F.coalesce(valid_coordinates(lat, lon), F.lit(False))
     if base_cell_deg is None:
-        base_cell_deg = base_cell_for_occupancy(spots, base_cell_for(n_spots))
-    base_k = cell_power(base_cell_deg)
-    powers = level_powers(base_k, growth)
-    spots = spots.withColumns({"gr": grid_row(F.col("_plat"), base_cell_deg), "gc": grid_col(F.col("_plon"), base_cell_deg)})
-    occupied = _written(spots.groupBy("gr", "gc").agg(F.min_by("_plat", "place_key").alias("_rlat"), F.min_by("_plon", "place_key").alias("_rlon")), "cells")
+        base_cell_deg = coarsest_within(fullest, base_cell_for(n_spots))
+    powers = level_powers(cell_power(base_cell_deg), growth)
+    # Every level's occupied cells in one table, each with one of its places as representative.
+    cells = _on_grids(spots, powers).groupBy("k", "gr", "gc").agg(F.min(F.struct("_plat", "_plon")).alias("_r"))
+    cells = _written(cells.select("k", "gr", "gc", F.col("_r._plat").alias("_rlat"), F.col("_r._plon").alias("_rlon")), "cells")
 
     top = F.array(*[F.struct(F.lit(0).alias("gr"), F.lit(c).alias("gc")) for c in (0, 1)])
-    front = points.filter(on_globe).select(*cols, F.explode(top).alias("_c"))
+    front = points.filter(ok).select(*cols, F.explode(top).alias("_c"))
     front = front.select(*cols, F.col("_c.gr").alias("pr"), F.col("_c.gc").alias("pc"))
     for i, k in enumerate(powers):
-        parent = powers[i - 1] if i else k
-        front = _descend(front, _level_cells(occupied, base_k, k, parent), cols, lat, lon, k, min(n_spots, 2 ** (2 * k - 1)))
+        front = _descend(front, _level_cells(cells, k, powers[i - 1] if i else k), cols, lat, lon, k, min(n_spots, 2 ** (2 * k - 1)))
+    spots = spots.withColumns({"gr": grid_row(F.col("_plat"), base_cell_deg), "gc": grid_col(F.col("_plon"), base_cell_deg)})
     spots = spots.withColumnsRenamed({"gr": "pr", "gc": "pc"})
     if n_spots <= MAX_BROADCAST_ROWS:
         spots = F.broadcast(spots)
     found = front.join(spots, ["pr", "pc"]).select(*cols, "place_key", "_plat", "_plon")
-    return found.union(points.filter(~on_globe).select(*cols, *nothing)), cols
+    return (found if on_globe else found.union(points.filter(~ok).select(*cols, *nothing))), cols
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -157,13 +173,11 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _level_cells(occupied: DataFrame, base_k: int, k: int, parent: int) -> DataFrame:
+def _level_cells(cells: DataFrame, k: int, parent: int) -> DataFrame:
     """Occupied cells of grid k with their cell (pr, pc) on the grid ``parent`` and one representative place each."""
-    up, over = 2 ** (base_k - k), 2 ** (k - parent)
-    div = lambda c, n: F.floor(F.col(c) / n).cast("int")
-    cells = occupied.groupBy(div("gr", up).alias("gr"), div("gc", up).alias("gc")).agg(
-        F.min_by("_rlat", F.struct("_rlat", "_rlon")).alias("_rlat"), F.min_by("_rlon", F.struct("_rlat", "_rlon")).alias("_rlon"))
-    return cells.select(div("gr", over).alias("pr"), div("gc", over).alias("pc"), "gr", "gc", "_rlat", "_rlon")
+    over = 2 ** (k - parent)
+    div = lambda c: F.floor(F.col(c) / over).cast("int")
+    return cells.filter(F.col("k") == k).select(div("gr").alias("pr"), div("gc").alias("pc"), "gr", "gc", "_rlat", "_rlon")
 
 
 def _descend(front: DataFrame, cells: DataFrame, cols: list[str], lat: str, lon: str, k: int, most_cells: int) -> DataFrame:
@@ -182,9 +196,9 @@ def place_label(name: str = "name", cc: str = "cc") -> F.Column:
 
 
 def locate(cells: DataFrame, places: DataFrame, base_cell_deg: float | None = BASE_CELL_DEG) -> DataFrame:
-    """Every distinct coordinate (id, LONGITUDE, LATITUDE) with its nearest city: the per-point form of the dimension."""
+    """Every distinct valid coordinate (id, LONGITUDE, LATITUDE) with its nearest city: the per-point form of the dimension."""
     pts = cells.withColumn("_pt", F.concat_ws("|", "LATITUDE", "LONGITUDE"))
-    near = nearest_place(pts, places, "_pt", "LATITUDE", "LONGITUDE", base_cell_deg)
+    near = nearest_place(pts, places, "_pt", "LATITUDE", "LONGITUDE", base_cell_deg, on_globe=True)
     return near.select("LATITUDE", "LONGITUDE", place_label().alias("city"), "id")
 
 
