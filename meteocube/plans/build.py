@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.hourly import cells_of, fact_of, rejects_of, stored_hourly
@@ -31,7 +31,7 @@ from ..operators.locations import BASE_CELL_DEG, locate, one_per_station
 from ..operators.rollup import daily_rollup, monthly_rollup, yearly_rollup
 from ..schema import STORED, TABLES, VIEW_NAMES
 from ..sinks.parquet import materialize, write_sorted, write_table
-from ..sources.raw import bad_text_counts, read_csv, register_views
+from ..sources.raw import read_csv_text, register_views, typed_with_bad_text
 
 _PUBLISHED = "version string, at long"
 
@@ -115,13 +115,26 @@ def ingest_csv(spark: SparkSession, csv_dir: str, parquet_dir: str) -> DataFrame
     """Stage 1: header CSV (read as text, typed with try_cast) -> parquet; returns the written table.
 
     The rebalance lets AQE size the output files independently of how the CSV files were cut.  Beside it,
-    ``<parquet_dir>_bad_text`` counts per column the texts that are not empty and did not parse.
+    ``<parquet_dir>_bad_text`` counts per column the texts that are not empty and did not parse.  The text is read once:
+    the counts are observed in the stage that writes, whose tasks count once each however often a scan is repeated.
     """
-    write_table(read_csv(spark, csv_dir), parquet_dir, (), "clustered")
-    write_table(bad_text_counts(spark, csv_dir), f"{parquet_dir.rstrip('/')}_bad_text", (), "small_files")
+    rows, columns, seen = observed_csv(spark, csv_dir)
+    write_table(rows, parquet_dir, (), "small_files")
+    found = seen.get if columns else {}
+    bad = spark.createDataFrame([(c, int(found.get(f"n{k}") or 0)) for k, c in enumerate(columns)], "column_name string, n_bad long")
+    write_table(bad.coalesce(1), f"{parquet_dir.rstrip('/')}_bad_text", (), "small_files")
     return spark.read.parquet(parquet_dir)
 
 
+def observed_csv(spark: SparkSession, csv_dir: str) -> tuple[DataFrame, list[str], Observation]:
+    """Typed rows of a header CSV, rebalanced for a write; the typed columns; their counts of bad texts (``n0``, ``n1``, ...) once written."""
+    typed, masks, counts = typed_with_bad_text(read_csv_text(spark, csv_dir))
+    rows, seen = typed.hint("rebalance"), Observation()
+    if counts:
+        rows = rows.observe(seen, *[n.alias(f"n{k}") for k, n in enumerate(counts.values())])
+    return rows.drop(*masks), list(counts), seen
+
+
 def build(spark: SparkSession, raw: DataFrame, places: DataFrame, root: str, layout: str = "clustered",
           id_mode: str = "cell", base_cell_deg: float | None = BASE_CELL_DEG) -> Cube:
     """Q11: write the cube tables as a new version under ``root``, publish it; return the handle."""

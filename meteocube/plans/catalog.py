@@ -62,6 +62,7 @@ EXTRA_SERIES = {
     "series_daily_min_month_edge": ("daily", "DEW", "min", ("1998-01-25", "1998-02-05")),
 }
 # Requests beyond the front's day limits, answered whole with limits=None.
+NO_DATA_RANGE = ("1890-01-01", "1890-01-05")
 WIDE_SNAPSHOT = ("daily", "TMP", "avg", ("1996-01-01", "1998-12-31"))
 # --- end of fixed values ---
 
@@ -217,7 +218,7 @@ def _range(r):
 #: O5 over S4: a common table expression that filters one view, then a LEFT JOIN to another.
 SQL_VIEW_QUERY = """
 WITH days AS (SELECT * FROM daily_view v WHERE v.`DATE` >= :start AND v.`DATE` <= :end AND v.year * 100 + v.month >= :ym_lo AND v.year * 100 + v.month <= :ym_hi)
-SELECT days.id, days.`DATE`, days.avgTMP, place.LONGITUDE, place.LATITUDE, place.city
+SELECT days.`DATE`, days.id, days.avgTMP, place.city, place.LATITUDE, place.LONGITUDE
 FROM days LEFT JOIN location_table AS place USING (id)
 """
 
@@ -242,6 +243,21 @@ def q_result_guard(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def q_guarded_answer(spark, sf_dir):
+    """What the front hands out when the cap is above, at and below the answer's rows, and for a request without data."""
+    c = cube(spark, sf_dir)
+    level, metric, agg, (s, e) = SNAPSHOTS["snapshot_daily"]
+    n = query(c, level, metric, agg, s, e, ordered=False).count()
+    schema = "cap_case string, status string, place int, DATE date, id string, avgTMP double"
+    parts = []
+    for case, request, cap in (("above", (s, e), n + 1), ("at", (s, e), n), ("below", (s, e), n - 1), ("empty", NO_DATA_RANGE, n)):
+        status, pdf = answer(c, level, metric, agg, *request, cap=cap)
+        rows = [] if pdf is None else pdf[["DATE", "id", "avgTMP"]].itertuples(index=False, name=None)
+        got = [(case, status, k, *r) for k, r in enumerate(rows, 1)] or [(case, status, None, None, None, None)]
+        parts.append(spark.createDataFrame(got, schema))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def q_preview(spark, sf_dir):
     return preview(cube(spark, sf_dir).yearly(), ["id", "year"], 5)
 
@@ -313,6 +329,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sql_view_query": q_sql_view_query,
         "value_range": q_value_range,
         "result_guard": q_result_guard,
+        "guarded_answer": q_guarded_answer,
         "preview": q_preview,
         "table_counts": q_table_counts,
         "query_dispatch": q_query_dispatch,
@@ -395,6 +412,11 @@ def oracle_queries() -> dict[str, str]:
     sql["value_range"] = (f"SELECT min(avgTMP) AS range_min, max(avgTMP) AS range_max FROM ("
                           f"{_snap_sql('daily', 'TMP', 'avg', DAILY_RANGE)})")
     sql["result_guard"] = "\nUNION ALL\n".join(O.guard_sql(n, _snap_sql(*v)) for n, v in SNAPSHOTS.items())
+    whole = (f"SELECT DATE, id, avgTMP, row_number() OVER (ORDER BY DATE, id)::INTEGER AS place "
+             f"FROM ({_snap_sql('daily', 'TMP', 'avg', DAILY_RANGE)})")
+    sql["guarded_answer"] = f"""WITH whole AS ({whole})
+SELECT c AS cap_case, 'ok' AS status, place, DATE, id, avgTMP FROM whole, (VALUES ('above'), ('at')) AS v(c)
+UNION ALL SELECT c, s, NULL, NULL, NULL, NULL FROM (VALUES ('below', 'Too Large'), ('empty', 'No Data')) AS v(c, s)"""
     sql["preview"] = w(*O.CUBE) + "SELECT * FROM yearly ORDER BY id, year LIMIT 5"
     sql["table_counts"] = w(*O.CUBE) + "\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}"

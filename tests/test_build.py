@@ -230,3 +230,36 @@ def test_a_cluster_without_the_setting_gets_an_error():
 
 def test_the_session_setting_is_the_folder(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_csv_is_read_once_and_bad_text_counted_behind_the_exchange(spark, tmp_dir):
+    import os
+
+    from meteocube import ingest_csv
+    from meteocube.plans.build import observed_csv
+
+    from helpers import plan_text
+
+    os.makedirs(f"{tmp_dir}/csv")
+    for k in range(3):
+        with open(f"{tmp_dir}/csv/{k}.csv", "w") as f:
+            f.write("DATE,LATITUDE,LONGITUDE,TMP,X,_bad_text_0\n2020-01-01 00:00:00,1,2,x, ,9\nq,1,2,3,4,5\n2020-01-02 00:00:00,n,2, ,,\n")
+    rows, columns, _ = observed_csv(spark, f"{tmp_dir}/csv")
+    plan = plan_text(rows, "simple")
+    assert plan.count("FileScan csv") == 1 and plan.index("CollectMetrics") < plan.index("Exchange")
+    back = ingest_csv(spark, f"{tmp_dir}/csv", f"{tmp_dir}/raw")
+    assert back.columns == ["DATE", "LATITUDE", "LONGITUDE", "TMP", "X", "_bad_text_0"] and back.count() == 9
+    counts = {r.column_name: r.n_bad for r in spark.read.parquet(f"{tmp_dir}/raw_bad_text").collect()}
+    assert counts == {"DATE": 3, "LATITUDE": 3, "LONGITUDE": 0, "TMP": 3}
+
+
+def test_csv_without_rows(spark, tmp_dir):
+    import os
+
+    from meteocube import ingest_csv
+
+    os.makedirs(f"{tmp_dir}/csv")
+    with open(f"{tmp_dir}/csv/0.csv", "w") as f:
+        f.write("DATE,TMP\n")
+    assert ingest_csv(spark, f"{tmp_dir}/csv", f"{tmp_dir}/raw").collect() == []
+    assert {r.column_name: r.n_bad for r in spark.read.parquet(f"{tmp_dir}/raw_bad_text").collect()} == {"DATE": 0, "TMP": 0}

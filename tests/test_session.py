@@ -8,3 +8,20 @@ def test_shared_dir_is_stable_and_scratch_paths_unique(spark):
     assert p != q and p.startswith(a + "/meteocube/x-")
 
 
+
+
+def test_a_cluster_master_needs_a_shared_folder():
+    """A folder of our own choice would be another disk on every executor."""
+    from types import SimpleNamespace
+
+    import pytest
+
+    def session(master, **conf):
+        context = SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: conf.get("dir"), setCheckpointDir=lambda _: None, master=master, applicationId=f"app-{master}-{len(conf)}")
+        return SimpleNamespace(conf=SimpleNamespace(get=conf.get), sparkContext=context)
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(session(master))
+        assert shared_dir(session(master, **{"spark.checkpoint.dir": "/shared/x/"})) == "/shared/x"
+    assert shared_dir(session("local[2]"))
