@@ -12,7 +12,7 @@ A block is decoded by itself with one table of 2 ** longest code entries; the ch
 one table step for all of them at a time.
 
 Defined results: a null text is an empty text (the end id alone); rows that repeat a doc_id each keep their ids, one after the
-other; a null doc_id sorts first; an empty table gives a folder without blocks; only ``doc_id`` and ``text`` are read.
+other in the order of a hash of their ids (the same in every run); a null doc_id sorts first; an empty table gives a folder without blocks; only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -178,7 +178,10 @@ def write(encoded: DataFrame, path: str, step_ids: int = BLOCK_IDS, kind: str =
             yield flush()
 
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = encoded.select("doc_id", "ids").repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    # Rows that repeat an id go by their ids, so that starts do not depend on the run, and over as many ranges as they need.
+    order = [F.col("doc_id").asc_nulls_first(), "_ids_hash"]
+    ordered = encoded.select("doc_id", "ids", F.xxhash64("ids").alias("_ids_hash"), F.monotonically_increasing_id().alias("_row"))
+    ordered = ordered.repartitionByRange(parts, *order, "_row").sortWithinPartitions(*order, "ids").select("doc_id", "ids")
     # Payloads are at their entropy already.
     ordered.mapInArrow(task, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
 

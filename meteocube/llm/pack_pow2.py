@@ -69,10 +69,15 @@ def pack(docs: DataFrame, path: str, end_id: int = END_ID, longest: int = LONGES
     """doc_id, start, length, doc_tokens, ids, sequence_id, offset of every piece."""
     made = materialize(pieces(docs, path, end_id, longest), "pieces")
     # A bucket's pieces of each input partition are numbered in the task; only the counts, one row for each
-    # partition and bucket, are added up here.
+    # partition and bucket, are added up: inside a bucket by a window, and over the buckets (one for each bit) on the driver.
     counts = made.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
-    first = F.sum("n").over(W.orderBy(F.desc("length"), "part")) - F.col("n")
-    first = materialize(counts.select(F.col("length").alias("_length"), F.col("part").alias("_part"), first.alias("first")), "bucket-starts")
+    within = F.sum("n").over(W.partitionBy("length").orderBy("part")) - F.col("n")
+    first = materialize(counts.select(F.col("length").alias("_length"), F.col("part").alias("_part"), "n", within.alias("within")), "bucket-starts")
+    bucket_start, total = F.lit(0).cast("long"), 0
+    for r in sorted(first.groupBy("_length").agg(F.sum("n").alias("n")).collect(), key=lambda r: -r._length):
+        bucket_start = F.when(F.col("_length") == r._length, F.lit(total).cast("long")).otherwise(bucket_start)
+        total += r.n
+    first = first.select("_length", "_part", (bucket_start + F.col("within")).alias("first"))
     out = made.join(first, (F.col("length") == F.col("_length")) & (F.col("part") == F.col("_part")))
     return out.select("doc_id", "start", "length", "doc_tokens", "ids", (F.col("first") + F.col("slot")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 

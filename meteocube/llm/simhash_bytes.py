@@ -144,28 +144,24 @@ def keep(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> D
     Of a group's rows that repeat that doc_id one with the smallest fingerprint stays; rows of another group stay apart,
     whether or not their doc_id is the same. A group without any doc_id keeps one row.
     """
-    prints = materialize(fingerprints(docs, shingle), "fingerprints")
-    entries = _entries(prints, distance)
-    kept_id, own, group = (fresh(n, docs) for n in ("_kept_id", "_fp", "_root"))
-    kept_fp = fresh("_kept_fp", docs)
-    # One (id, fingerprint) for each group: an id alone may name several groups.
-    stays = entries.where("low_id = component_id").groupBy("root").agg(F.min("component_id").alias(kept_id), F.min("fp").alias(kept_fp))
-    stays = materialize(stays.select(kept_id, kept_fp), "kept-rows")
+    own, row = fresh("_fp", docs), fresh("_row", docs)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text in text_slices(batches, "text"):
             fp = [fingerprint(t, shingle) for t in text.cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(fp, pa.int64())], names=[*rows.schema.names, own])
 
-    printed = T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())])
-    named = docs.where(F.col("doc_id").isNotNull()).mapInArrow(task, printed)
-    # Rows that repeat both are already together after the join: no second shuffle.
-    named = named.join(stays, (F.col("doc_id") == F.col(kept_id)) & (F.col(own) == F.col(kept_fp)), "left_semi")
-    named = named.dropDuplicates(["doc_id", own]).select(*docs.columns)
-    nameless = docs.where(F.col("doc_id").isNull()).mapInArrow(task, printed)
-    alone = entries.where("component_id is null").select(F.col("fp").alias(own), F.col("root").alias(group))
-    nameless = nameless.join(alone, own).dropDuplicates([group]).select(*docs.columns)
-    return named.union(nameless)
+    # The texts are fingerprinted once; what follows knows a row by its number.
+    printed = docs.mapInArrow(task, T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())]))
+    printed = materialize(printed.withColumn(row, F.monotonically_increasing_id()), "printed")
+    prints = printed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(own).alias("fp"), F.col(row).alias("row"))
+    entries = _entries(prints.select("doc_id", "fp"), distance)
+    # First the best row of each fingerprint, then of each group: a large group of copies is one row for each task.
+    nameless = F.col("doc_id").isNull().alias("nameless")
+    best = prints.groupBy("fp").agg(F.min(F.struct(nameless, "doc_id", "row")).alias("b")).join(entries.select("fp", "root"), "fp")
+    best = best.groupBy("root").agg(F.min(F.struct("b.nameless", "b.doc_id", "fp", "b.row")).alias("b")).select(F.col("b.row").alias("row"))
+    dropped = materialize(prints.select("row").join(best, "row", "left_anti").withColumnRenamed("row", "_dropped"), "dropped-rows")
+    return printed.join(dropped, F.col(row) == F.col("_dropped"), "left_anti").select(*docs.columns)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
