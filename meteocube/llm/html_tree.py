@@ -2,11 +2,12 @@ r"""HTML extraction by tree scoring.
 
 A page becomes a tree of elements and a list of text blocks in page order (text between the bounds of block elements).
 Elements that are not prose by what they are or by their class or id (menus, page headers, footers, sidebars,
-notices, adverts, forms, scripts, styles, reader comments) are left out with all they hold. Every paragraph-like
+notices, adverts, forms, scripts, styles, reader comments) are left out with all they hold;
+what a name says does not count around an article or main element, nor when it is part of another word (``has-sidebar``, ``related-work``). Every paragraph-like
 block passes points to its ancestors: 1, its commas, and up to 3 for length, whole to the parent, half to the
-grandparent and less further up; an ancestor's points are discounted by its link density. The best container is kept
-with those of its siblings that score near it or are long prose themselves; when it lies inside an article or main element, all of
-that element that is not mostly links is kept with it.
+grandparent and less further up; an ancestor's points are discounted by its link density. The best container decides: when it lies inside an article or
+main element, all of that element is kept; otherwise the container with those siblings that are headings, paragraphs or containers that
+score near it. Lists of links are left out. No part is judged by its length or by that of its neighbours.
 
 Inside a block character references are decoded, white space becomes one space and its ends are trimmed; blocks are joined
 by two \n. Nothing else is dropped, whatever its length.
@@ -46,42 +47,76 @@ _BLOCK = frozenset(
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _STOP = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 _NOT_PROSE = frozenset("nav footer aside form button input label fieldset dialog menu object embed audio video canvas head".split())
-_NOT_PROSE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|comment\w*|respond|disqus|consent|cookies?|gdpr|notices?|popup|modal|overlay|footer|"
-    r"masthead|menu|nav|navbar|navigation|navigationbar|promo\w*|related|recommend\w*|share|sharing|social|sidebar|side|skip|sponsor\w*|subscribe|newsletter|"
-    r"toolbar|widget|contentinfo|complementary|search|login|signup|pagination|pager|tags|alert|header|site-header|page-header)(?:$|[\s_-])",
-    re.I,
+#: Words of a class, id or role that say what an element is.
+_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentary commentlist respond disqus consent cookie cookies "
+    "gdpr notice notices popup modal overlay footer masthead menu nav navbar navigation promo promos promotion related recommended recommendations "
+    "recommends share sharing social sidebar side skip sponsor sponsored sponsors subscribe subscription newsletter toolbar widget widgets contentinfo "
+    "complementary search login signup pagination pager tags alert header".split()
+)
+#: Words that only say where such an element is, or which part of it.
+_PLACES = frozenset(
+    "site page global main primary secondary left right top bottom upper lower inner outer fixed sticky mobile desktop user reader box block bar area wrap "
+    "wrapper container section list item items links link buttons button unit slot panel holder group row col column thread form form1 us this to content "
+    "text body head title label policy policies js".split()
 )
 _GOOD = {"article": 25.0, "main": 20.0, "section": 3.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0}
 #: An article's part with at least this share of its characters in links is no prose of it.
 MOSTLY_LINKS = 0.5
+_WORD_BOUND = re.compile(r"[-_:\d]+")
+HARD, SOFT = 2, 1
+_LISTS = frozenset("ul ol menu dl table".split())
+_HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PARAGRAPHS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 li td dd figcaption".split())
 
 
 class _Tree:
-    """Parallel lists: parent, tag and whether the element is prose; blocks as (element, text, characters in links)."""
+    """Parallel lists: parent, tag and veto of every element; blocks as (element, text, characters in links)."""
 
     def __init__(self) -> None:
-        self.parent, self.tag, self.prose = [-1], ["#"], [True]
+        self.parent, self.tag, self.veto = [-1], ["#"], [0]
         self.blocks: list[tuple[int, str, int]] = []
 
-
-def _prose(tag: str, attrs: str, inside_article: bool) -> bool:
+    def prose_blocks(self) -> list[tuple[int, str, int]]:
+        """The blocks outside vetoed elements; a soft veto does not hold around an article or main element."""
+        n = len(self.parent)
+        holds = [x in ("article", "main") for x in self.tag]
+        for e in range(n - 1, 0, -1):
+            if holds[e] and self.veto[e] != HARD:
+                holds[self.parent[e]] = True
+        out = [False] * n
+        for e in range(1, n):  # parents come first
+            out[e] = out[self.parent[e]] or self.veto[e] == HARD or (self.veto[e] == SOFT and not holds[e])
+        return [b for b in self.blocks if not out[b[0]]]
+
+
+def _named(attrs: str) -> bool:
+    """Whether a class, id or role names an element that is no prose: ``sidebar`` and ``left-sidebar``, not ``has-sidebar``.
+
+    A name counts when one of its words (parted by hyphens, underscores or digits) says what the element is and the others only
+    where: ``related`` and ``related-links``, not ``related-work``.
+    """
+    for _, a, b, c in _ATTR.findall(attrs):
+        for name in (a or b or c).lower().split():
+            words = [w for w in _WORD_BOUND.split(name) if w]
+            if any(w in _NAMES for w in words) and all(w in _NAMES or w in _PLACES for w in words):
+                return True
+    return False
+
+
+def _veto(tag: str, attrs: str, inside_article: bool) -> int:
+    """HARD: no prose whatever it holds; SOFT: no prose unless it holds an article or main element; 0: prose."""
     if tag in _NOT_PROSE or (tag == "header" and not inside_article):
-        return False
-    if "=" in attrs and tag not in ("html", "body", "article", "main"):
-        for _, a, b, c in _ATTR.findall(attrs):
-            if _NOT_PROSE_NAME.search(a or b or c):
-                return False
-    return True
+        return SOFT if tag in ("form", "header", "fieldset") else HARD
+    return SOFT if "=" in attrs and tag not in ("html", "body", "article", "main") and _named(attrs) else 0
 
 
 def parse(page: str) -> _Tree:
     t = _Tree()
-    parent, tags, prose = t.parent, t.tag, t.prose
+    parent, tags, veto = t.parent, t.tag, t.veto
     stack = [0]
     run: list[str] = []
-    links = linked = articles = 0
+    links = linked = articles = hard = 0
 
     def flush() -> None:
         nonlocal linked
@@ -96,15 +131,16 @@ def parse(page: str) -> _Tree:
         return next((e for e in reversed(stack) if tags[e] in _BLOCK), 0)
 
     def close(depth: int) -> None:
-        nonlocal links, articles
+        nonlocal links, articles, hard
         for e in stack[depth:]:
+            hard -= veto[e] == HARD
             links -= tags[e] == "a"
             articles -= tags[e] in ("article", "main")
         del stack[depth:]
 
     def say(text: str) -> None:
         nonlocal linked
-        if text and prose[stack[-1]]:
+        if text and not hard:
             text = entities.unescape(text)
             run.append(text)
             if links:
@@ -136,13 +172,16 @@ def parse(page: str) -> _Tree:
         e = len(parent)
         parent.append(stack[-1])
         tags.append(tag)
-        prose.append(prose[stack[-1]] and _prose(tag, m["attrs"] or "", articles > 0))
+        veto.append(_veto(tag, m["attrs"] or "", articles > 0))
+        hard += veto[e] == HARD
         articles += tag in ("article", "main")
         links += tag == "a"
         if not (m["attrs"] or "").endswith("/") or block:
             stack.append(e)
         else:
             links -= tag == "a"
+            hard -= veto[e] == HARD
+            articles -= tag in ("article", "main")
     say(page[at:])
     flush()
     return t
@@ -187,39 +226,55 @@ def scores(t: _Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def extract(page: str) -> str:
     """Main text of one page."""
     t = parse(page)
+    t.blocks = t.prose_blocks()
     if not t.blocks:
         return ""
     points, chars, linked = scores(t)
     best = int(np.argmax(points))
+    inside = _below(t, {_home(t, best)} if _home(t, best) else _with_siblings(t, best, points, chars, linked))
+    lists = _below(t, _link_lists(t, chars, linked))
+    return "\n\n".join(text for e, text, _ in t.blocks if inside[e] and not lists[e])
+
+
+def _below(t: _Tree, tops: set[int]) -> list[bool]:
+    """Which elements are among ``tops`` or below one of them."""
+    out = [e in tops for e in range(len(t.parent))]
+    for e in range(1, len(out)):
+        out[e] = out[e] or out[t.parent[e]]
+    return out
+
+
+def _link_lists(t: _Tree, chars: np.ndarray, linked: np.ndarray) -> set[int]:
+    """Lists and tables of at least two items that are mostly links: navigation, wherever it stands."""
+    items = np.bincount([t.parent[e] for e in range(1, len(t.parent)) if t.tag[e] in ("li", "dd", "dt", "tr", "tbody") and chars[e]], minlength=len(t.parent))
+    return {e for e, x in enumerate(t.tag) if x in _LISTS and items[e] >= 2 and linked[e] >= MOSTLY_LINKS * chars[e] > 0}
+
+
+def _with_siblings(t: _Tree, best: int, points: np.ndarray, chars: np.ndarray, linked: np.ndarray) -> set[int]:
+    """The best container and what beside it is prose by its kind: headings, paragraphs, containers that score or hold a title."""
     kept = {best}
-    if best:
-        for e in (k for k, p in enumerate(t.parent) if p == t.parent[best] and k != best):
-            density = linked[e] / max(chars[e], 1.0)
-            if chars[e] and (points[e] >= max(10.0, 0.2 * points[best]) or (t.tag[e] in _PARAGRAPHS and chars[e] > 80 and density < 0.25)):
+    for e in range(1, len(t.parent)):
+        if best and t.parent[e] == t.parent[best] and chars[e]:
+            density = linked[e] / chars[e]
+            if t.tag[e] in _HEADS or (density < MOSTLY_LINKS and (t.tag[e] in _PARAGRAPHS or points[e] >= max(10.0, 0.2 * points[best]))):
                 kept.add(e)
-    path = _path_to_home(t, best)
-    home = path[-1] if path else -1
-    above = set(path)
-    within, inside = [False] * len(t.parent), [False] * len(t.parent)
-    for e, p in enumerate(t.parent):  # parents come first
-        within[e] = e == home or (p >= 0 and within[p])
-        own = within[e] and e not in above and chars[e] > 0 and linked[e] < MOSTLY_LINKS * chars[e]
-        inside[e] = e in kept or own or (p >= 0 and inside[p])
-    return "\n\n".join(text for e, text, in_links in t.blocks if inside[e] or (e in above and in_links < MOSTLY_LINKS * len(text)))
-
-
-def _path_to_home(t: _Tree, best: int) -> list[int]:
-    """Elements above ``best``, up to its outermost article, or without one its outermost main (none: empty)."""
+    titles = {t.parent[e] for e in range(1, len(t.parent)) if t.tag[e] == "h1" and chars[e]}
+    kept |= {e for e in titles if best and e and t.parent[e] == t.parent[best] and linked[e] < MOSTLY_LINKS * chars[e]}
+    if best:  # words of the parent itself
+        up = t.parent[best]
+        t.blocks = [(best if e == up and in_links < MOSTLY_LINKS * len(text) else e, text, in_links) for e, text, in_links in t.blocks]
+    return kept
+
+
+def _home(t: _Tree, best: int) -> int:
+    """The outermost article around ``best`` or itself, without one the outermost main (0: neither)."""
     path = []
-    e = t.parent[best]
-    while e >= 0:
+    e = best
+    while e > 0:
         path.append(e)
         e = t.parent[e]
-    articles = [k for k, e in enumerate(path) if t.tag[e] == "article"]
-    if not articles and t.tag[best] == "article":
-        return []  # all of it is kept already
-    homes = articles or [k for k, e in enumerate(path) if t.tag[e] == "main"]
-    return path[: homes[-1] + 1] if homes else []
+    articles = [e for e in path if t.tag[e] == "article"] or [e for e in path if t.tag[e] == "main"]
+    return articles[-1] if articles else 0
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
