@@ -5,8 +5,8 @@ characters, hashed to 32 bits. score = sigmoid(w0 + sum_i w_i x_i + sum_{i<j} <v
 when the term occurs: the pair part learns combinations (an insult together with a group) that no sum of single
 weights can tell apart.
 
-Fitting reads at most ``Settings.sample`` labelled rows of each class (the smallest hashes of their ids; rows of
-held-out ids never). The ``Settings.terms`` terms with the strongest association to the label stay in the model;
+Fitting reads at most ``Settings.sample`` labelled ids of each class (the smallest hashes of their ids; those of
+held-out ids never), each with at most ``Settings.texts`` different term sets (an id that repeats, however often). The ``Settings.terms`` terms with the strongest association to the label stay in the model;
 the others have weight 0. Training runs in ``Settings.shards`` tasks, each over its shard, whose parameters are averaged
 after every round; parameters are a table of fixed size.
 
@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meteocube.llm import textstats as ts
@@ -37,6 +38,8 @@ THRESHOLD = 0.5
 class Settings:
     #: rows of each class that fitting reads at most
     sample: int = 12_000
+    #: different texts of one labelled id that fitting reads at most
+    texts: int = 4
     #: terms with a weight
     terms: int = 4096
     factors: int = 8
@@ -185,7 +188,12 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", settings: Set
     # At most 2 * sample rows of two numbers: a bounded broadcast, so that no text is shuffled.
     texts = docs.select(F.col("doc_id").cast("long").alias("row"), "text")
     picked = texts.join(F.broadcast(chosen), F.col("row") == F.col("label_id")).select("y", "row", "text")
-    rows = materialize(terms_of_rows(picked), "toxic-terms")
+    made = terms_of_rows(picked)
+    packed = made.columns[2]
+    # An id that repeats counts once for each different term set, up to a bound: its copies neither fill a shard nor outweigh others.
+    place = F.row_number().over(W.partitionBy("row").orderBy(F.xxhash64(packed), packed))
+    rows = made.dropDuplicates(["row", packed]).withColumn("place", place).where(F.col("place") <= s.texts).select(*made.columns)
+    rows = materialize(rows, "toxic-terms")
     if len(rows.select("y").distinct().collect()) < 2:
         first = rows.agg(F.avg("y")).first()[0] or 0.0
         p = min(max(first, 1e-6), 1 - 1e-6)
@@ -201,7 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", settings: Set
     params = np.concatenate([[0.0], np.zeros(m), rng.normal(scale=0.01, size=m * s.factors)])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]  # a shard: at most 2 * sample / shards rows of hashes
+        held = [b for b in batches if b.num_rows]  # a shard: about 2 * sample * texts / shards rows of hashes at most
         if held:
             y = np.concatenate([b.column(0).to_numpy() for b in held])
             row = np.concatenate([b.column(1).to_numpy() for b in held])

@@ -66,3 +66,27 @@ def test_edge_rows_empty_tables_and_clashing_columns(spark):
     assert all(r.score < 0.01 for r in t.score(edge, none).collect())
     assert t.score(edge.limit(0), none).count() == 0
     assert t.fit(edge.limit(0), both).w0 is not None
+
+
+def test_one_labelled_id_with_a_third_of_all_rows(spark):
+    """Copies of one labelled id change nothing, and its different texts are bounded."""
+    rows = [(k, f"word{k % 7} {'vile crowd' if k % 3 == 0 else 'calm people'} here") for k in range(1, 90)]
+    labels = spark.createDataFrame([(k, 1, int(k % 3 == 0)) for k in range(1, 90)], "doc_id long, quality int, toxic int")
+    settings = t.Settings(rounds=1, epochs=2)
+    once = t.fit(docs_df(spark, rows), labels, settings=settings)
+    hot = t.fit(docs_df(spark, rows + [rows[2]] * 45), labels, settings=settings)
+    assert (once.terms == hot.terms).all() and np.allclose(once.w, hot.w) and np.allclose(once.v, hot.v)
+    made = []
+    real = t.materialize
+
+    def spy(df, name):
+        out = real(df, name)
+        made.append(out)
+        return out
+
+    t.materialize = spy
+    try:
+        t.fit(docs_df(spark, rows + [(3, f"text number t{k}") for k in range(300)]), labels, settings=settings)
+    finally:
+        t.materialize = real
+    assert made[0].where("row = 3").count() == settings.texts
