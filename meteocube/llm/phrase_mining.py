@@ -237,8 +237,8 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = M
 
     entries = rows.groupBy("slice").applyInArrow(count, "slice long, range long, steps binary, often binary")
     # A group is one range of fingerprints: entries of about RANGE_TEXT of text.
-    bits = entries.groupBy("range").applyInArrow(judge, "slice long, range long, bits binary")
-    # The same exchange of the texts by slice feeds both passes.
+    # Written, so that the fingerprints' shuffle files can go before the texts are dealt again.
+    bits = materialize(entries.groupBy("range").applyInArrow(judge, "slice long, range long, bits binary"), "phrase-bits")
     told = rows.groupBy("slice").cogroup(bits.groupBy("slice")).applyInArrow(tell, "lang string, n int, phrase string, count long")
     total = told.groupBy("lang", "n", "phrase").agg(F.sum("count").alias("count"))
     return materialize(total.where((F.col("n") == 0) | (F.col("count") >= min_count)), "phrases")
