@@ -101,6 +101,35 @@ def test_links_are_found_among_many_pivots(spark):
     assert len(links) >= 600 and sum(r.n_links for r in got) >= 0.97 * 2 * len(links)
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_pairs_around_the_threshold_are_decided_by_whole_vectors_and_counted_once(spark, kind):
+    rng = np.random.default_rng(14)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    centre = unit(rng.normal(size=(1, 48)))
+    off = rng.normal(size=(220, 48))
+    m = math.sqrt(0.9) * centre + math.sqrt(0.1) * unit(off - (off @ centre.T) * centre)  # cosines spread about 0.9
+    rows = [(k, v, "x", 1) for k, v in enumerate(m.astype(np.float32 if kind == "float" else np.float64).tolist())]
+    ship(spark)
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, n string, rid int")
+    settings = e.Settings(block=32, prefix=16, shared=1)  # as many pivots as there are: every pair meets
+    got = {r.vec_id: r for r in e.near_duplicates(df, settings).collect()}
+    links = cosine_links([r[1] for r in rows])
+    root = union(len(rows), links)
+    assert len(links) > 5000 and sum(0.89 < m[i] @ m[j] < 0.91 for i, j in links) > 1000
+    assert [got[k].n_links for k in got] == [sum(k in p for p in links) for k in got]
+    assert all(got[k].component_id == root[k] for k in got)
+
+
+def test_bytes_bound_the_error_of_a_cosine():
+    rng = np.random.default_rng(15)
+    x = rng.standard_t(2, size=(300, 40))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    code, scale, lost = e._codes(x)
+    back = code * scale[:, None].astype(np.float64)
+    slack = lost[:, None] + lost[None] + lost[:, None] * lost[None]
+    assert (np.abs(back @ back.T - x @ x.T) <= slack + 1e-6).all()
+
+
 def test_prefix_holds_recall_at_every_number_of_pivots():
     rng = np.random.default_rng(13)
     unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
