@@ -136,12 +136,15 @@ def observed_csv(spark: SparkSession, csv_dir: str) -> tuple[DataFrame, list[str
 
 
 def build(spark: SparkSession, raw: DataFrame, places: DataFrame, root: str, layout: str = "clustered",
-          id_mode: str = "cell", base_cell_deg: float | None = BASE_CELL_DEG) -> Cube:
-    """Q11: write the cube tables as a new version under ``root``, publish it; return the handle."""
+          id_mode: str = "cell", base_cell_deg: float | None = BASE_CELL_DEG, row_group_bytes: int | None = None) -> Cube:
+    """Q11: write the cube tables as a new version under ``root``, publish it; return the handle.
+
+    ``row_group_bytes``: size of the row groups of the hourly table (smaller: a series reads less beside its station).
+    """
     root = root.rstrip("/")
     version = f"v-{uuid.uuid4().hex[:12]}"
     to = f"{root}/{version}"
-    stored = materialize(spark, stored_hourly(raw, id_mode), f"{to}/hourly", ("year", "month"), layout, hourly_order(), hourly_spread())
+    stored = materialize(spark, stored_hourly(raw, id_mode), f"{to}/hourly", ("year", "month"), layout, hourly_order(), hourly_spread(), row_group_bytes)
 
     def place_stations() -> None:
         points = locate(cells_of(stored), places, base_cell_deg)

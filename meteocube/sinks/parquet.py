@@ -18,6 +18,12 @@ Layouts
     One file, written by one task: for tables that the caller knows to be
     small (stations x years), never chosen by the library itself.
 
+``row_group_bytes`` bounds the row groups of the files it is given for (default: parquet's 128 MB).  Inside an hourly
+file a station's rows of a day are one range, so with a day cut into several row groups a series opens the groups
+whose id range holds the station and skips the others by their statistics; in ``small_files`` every group holds
+about every station.  Where ids of a group repeat, parquet keeps their dictionary, which it reads as an exact filter,
+and writes no bloom filter beside it; so there is no switch for one.
+
 All writes are ``overwrite`` to a path of their own; Spark's commit protocol
 makes a re-run after a lost executor or a failed attempt idempotent.
 """
@@ -39,7 +45,8 @@ def _clustered(df: DataFrame, partition_by: tuple[str, ...], sort_by: tuple[str
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), layout: str = "clustered",
-                sort_by: tuple[str | Column, ...] = (), spread: dict[str, Column] | None = None) -> str:
+                sort_by: tuple[str | Column, ...] = (), spread: dict[str, Column] | None = None,
+                row_group_bytes: int | None = None) -> str:
     """K1/K2 (+K3/K4/K5 by ``layout``): overwrite ``path`` with ``df`` as parquet."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, got {layout!r}")
@@ -53,6 +60,8 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), la
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if row_group_bytes is not None:
+        writer = writer.option("parquet.block.size", str(row_group_bytes))
     writer.parquet(path)
     return path
 
@@ -65,10 +74,10 @@ def write_sorted(df: DataFrame, path: str, order: tuple[str, ...]) -> str:
 
 def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
                 layout: str = "clustered", sort_by: tuple[str | Column, ...] = (),
-                spread: dict[str, Column] | None = None) -> DataFrame:
+                spread: dict[str, Column] | None = None, row_group_bytes: int | None = None) -> DataFrame:
     """K6: write, then continue from the written table (cuts lineage, survives restarts).
 
     The schema is the written one, so a table without rows, which leaves no file, is read back as well.
     """
-    write_table(df, path, partition_by, layout, sort_by, spread)
+    write_table(df, path, partition_by, layout, sort_by, spread, row_group_bytes)
     return spark.read.schema(df.schema).parquet(path)

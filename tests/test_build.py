@@ -110,6 +110,44 @@ def test_hourly_files_hold_disjoint_days_and_queries_open_few(spark, tmp_dir):
     assert snapshot(c.hourly(), c.locations(), "hourly", "TMP", "", "2020-01-05", "2020-01-05").count() == 80
 
 
+def scanned_rows(df):
+    """Rows that the parquet scan of a query handed on: those of the row groups and pages it opened."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if plan.nodeName().startswith("AdaptiveSparkPlan") else plan
+    found, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if hasattr(node, "plan") and "QueryStage" in node.getClass().getSimpleName():
+            todo.append(node.plan())
+        if node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().apply("numOutputRows").value()
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+    return found
+
+
+def test_a_series_skips_row_groups_of_other_stations(spark, tmp_dir):
+    rows = [(f"2020-01-{d:02d} {h:02d}:00", 10.0 + s, 20.0, float(s), 1.0, 1.0, 1.0) for h in range(24) for s in range(40) for d in range(1, 8)]
+    raw, read_rows, groups, answers = raw_df(spark, rows).repartition(3), {}, {}, []
+    for layout in ("clustered", "small_files"):
+        c = build(spark, raw, places_df(spark), f"{tmp_dir}/{layout}", layout, row_group_bytes=4096)
+        files = glob.glob(f"{c.root}/hourly/year=2020/month=1/*.parquet")
+        ranges = []
+        for f in files:
+            meta = pq.ParquetFile(f).metadata
+            at = meta.schema.names.index("id")
+            ranges += [meta.row_group(k).column(at).statistics for k in range(meta.num_row_groups)]
+        groups[layout] = (sum(s.min <= "12500-20000" <= s.max for s in ranges), len(ranges))
+        df = series(c.hourly(), "hourly", "TMP", "", "2020-01-01", "2020-01-07", "12500-20000")
+        read_rows[layout] = scanned_rows(df)
+        answers.append(df.collect())
+    assert answers[0] == answers[1] and len(answers[0]) == 7 * 24
+    hit, total = groups["clustered"]
+    assert total >= 20 and hit <= total / 2, groups
+    assert groups["small_files"][0] == groups["small_files"][1]  # every group may hold the station
+    assert hit < groups["small_files"][0] and 7 * 24 <= read_rows["clustered"] < read_rows["small_files"], (groups, read_rows)
+
+
 def test_answers_are_sorted_in_all_eight_forms(spark, tmp_dir):
     c = many_files(spark, tmp_dir)
     for level, agg, time in (("hourly", "", "DATE"), ("daily", "avg", "DATE"), ("monthly", "avg", "year_month"), ("yearly", "avg", "year")):
