@@ -5,7 +5,8 @@
    subtraction and one multiplication modulo 2^64, and the language is mixed in. Equal fingerprints of a slice are counted there.
 2. The shuffle deals the slices' sorted fingerprints with their counts to ranges of fingerprints. An occurrence pointer is an
    entry's place: (slice, range, position). A range adds up the counts and answers each slice with one bit for each entry: is the
-   fingerprint frequent in the whole corpus. Collisions can only add to a count, so no frequent phrase is missed.
+   fingerprint frequent in the whole corpus. Collisions can only add to a count, so no frequent phrase is missed; so fingerprints need
+   only be as wide as keeps collisions rare, 8 bits more than the text's bytes take to number (``width``), which keeps the shuffle small.
 3. Each slice follows its frequent pointers back to its text: the occurrences are grouped by their words, not by fingerprint, and only
    these phrases are written out as text. Adding the counts up by text gives exact frequencies: collisions part here.
 
@@ -116,8 +117,8 @@ class Slice:
         raw = np.frombuffer(words.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
         return _mix(Polynomial(raw.astype(_U) + _U(1), _BYTE_BASE).runs(bounds[:-1] - bounds[0], bounds[1:] - bounds[0]))
 
-    def fingerprints(self, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(n, starts, fingerprints) of the n-grams of every length."""
+    def fingerprints(self, longest: int, shift: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(n, starts, fingerprints) of the n-grams of every length; the lowest ``shift`` bits are dropped (zero)."""
         hashes = self.word_hashes()
         line = Polynomial(hashes[self.idx] if len(self.idx) else hashes, _WORD_BASE)
         codes = pa.array(self.langs, pa.large_string())
@@ -125,20 +126,20 @@ class Slice:
         for n in range(1, longest + 1):
             at = np.arange(max(0, len(self.idx) - n + 1))
             at = at[self.piece[at] == self.piece[at + n - 1]] if len(at) else at
-            yield n, at, _mix(line.runs(at, at + n) ^ of_lang[self.lang[at]] if len(at) else np.zeros(0, _U))
+            yield n, at, _mix(line.runs(at, at + n) ^ of_lang[self.lang[at]] if len(at) else np.zeros(0, _U)) >> _U(shift) << _U(shift)
 
-    def entries(self, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    def entries(self, longest: int, shift: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Different fingerprints in ascending order, and their counts."""
-        found = np.sort(np.concatenate([x for _, _, x in self.fingerprints(longest)]))
+        found = np.sort(np.concatenate([x for _, _, x in self.fingerprints(longest, shift)]))
         new = np.ones(len(found), bool)
         new[1:] = found[1:] != found[:-1]
         at = np.flatnonzero(new)
         return found[at], np.diff(np.append(at, len(found)))
 
-    def phrases(self, frequent: np.ndarray, longest: int) -> Iterator[tuple[int, pa.Array, pa.Array, np.ndarray]]:
+    def phrases(self, frequent: np.ndarray, longest: int, shift: int = 0) -> Iterator[tuple[int, pa.Array, pa.Array, np.ndarray]]:
         """(n, languages, phrases, counts) of the n-grams with a ``frequent`` (sorted) fingerprint, told apart by their words."""
         likely = np.ones(len(self.idx) + 1, bool)  # word places where a frequent phrase of n - 1 words starts
-        for n, at, found in self.fingerprints(longest):
+        for n, at, found in self.fingerprints(longest, shift):
             # Both parts of a frequent phrase that are one word shorter are frequent.
             maybe = likely[at] & likely[at + 1] if n > 1 else np.ones(len(at), bool)
             at, found = at[maybe], found[maybe]
@@ -181,6 +182,11 @@ def unplaned(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
+def width(size: int) -> int:
+    """Bits of a fingerprint for so many bytes of text: a phrase meets another one by chance in about 1 of 256 cases at most."""
+    return min(64, max(32, int(max(1, size) - 1).bit_length() + 8))
+
+
 def range_bounds(found: np.ndarray, ranges: int) -> np.ndarray:
     """Bounds of the ``ranges`` equal ranges of fingerprints in a sorted array."""
     return np.searchsorted((found >> _U(40)) * _U(ranges) >> _U(24), np.arange(ranges + 1).astype(_U))
@@ -201,17 +207,18 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = M
     """
     rows, size = _slices(docs)
     ranges = int(min(1 << 24, max(LEAST, size // RANGE_TEXT)))
+    shift = 64 - width(size)
 
     def count(t: pa.Table) -> pa.Table:
-        found, counts = Slice.of(t["text"], t["lang"]).entries(longest)
+        found, counts = Slice.of(t["text"], t["lang"]).entries(longest, shift)
         cuts = range_bounds(found, ranges)
         some = np.flatnonzero(np.diff(cuts))
-        steps = [planes(np.diff(found[cuts[r] : cuts[r + 1]], prepend=_U(0))) for r in some]
+        steps = [planes(np.diff(found[cuts[r] : cuts[r + 1]], prepend=_U(0)) >> _U(shift)) for r in some]
         often = [planes((counts[cuts[r] : cuts[r + 1]] - 1).astype(np.uint32)) for r in some]
         return pa.table({"slice": pa.array(np.full(len(some), t["slice"][0].as_py())), "range": pa.array(some), "steps": pa.array(steps, pa.binary()), "often": pa.array(often, pa.binary())})
 
     def judge(t: pa.Table) -> pa.Table:
-        parts = [np.cumsum(unplaned(x.as_py(), _U), dtype=_U) for x in t["steps"]]
+        parts = [np.cumsum(unplaned(x.as_py(), _U), dtype=_U) << _U(shift) for x in t["steps"]]
         found = np.concatenate(parts)
         counts = np.concatenate([unplaned(x.as_py(), np.uint32) for x in t["often"]]).astype(np.int64) + 1
         order = np.argsort(found, kind="stable")
@@ -226,13 +233,13 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = M
 
     def tell(texts: pa.Table, bits: pa.Table) -> pa.Table:
         part = Slice.of(texts["text"], texts["lang"])
-        found, _ = part.entries(longest)
+        found, _ = part.entries(longest, shift)
         cuts = range_bounds(found, ranges)
         flag = np.zeros(len(found), bool)
         for r, b in zip(bits["range"].to_pylist(), bits["bits"].to_pylist(), strict=True):
             flag[cuts[r] : cuts[r + 1]] = np.unpackbits(np.frombuffer(b, np.uint8), count=cuts[r + 1] - cuts[r]).astype(bool)
         words = np.bincount(part.lang, minlength=len(part.langs))
-        out = [(0, pa.array(part.langs, pa.string()), pa.array([""] * len(part.langs), pa.string()), words), *part.phrases(found[flag], longest)]
+        out = [(0, pa.array(part.langs, pa.string()), pa.array([""] * len(part.langs), pa.string()), words), *part.phrases(found[flag], longest, shift)]
         return pa.concat_tables([pa.table({"lang": lang, "n": pa.array(np.full(len(counts), n, np.int32)), "phrase": text.cast(pa.string()), "count": pa.array(counts.astype(np.int64))}) for n, lang, text, counts in out])
 
     entries = rows.groupBy("slice").applyInArrow(count, "slice long, range long, steps binary, often binary")

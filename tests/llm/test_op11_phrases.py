@@ -98,6 +98,18 @@ def test_equal_fingerprints_of_different_phrases_are_told_apart(monkeypatch):
     assert told == {("en", "a"): 2, ("en", "b"): 2, ("en", "c"): 1, ("de", "b"): 1, ("de", "a"): 1, ("en", "a b"): 2, ("en", "b a"): 1, ("en", "b c"): 1, ("de", "b a"): 1}
 
 
+@pytest.mark.parametrize("bits", [8, 33, 64])
+def test_the_width_of_fingerprints_changes_no_count(spark, monkeypatch, bits):
+    """With 8 bits about every phrase shares its fingerprint with others."""
+    rows = texts(6, 100)
+    monkeypatch.setattr(pm, "width", lambda size: bits)
+    assert mined(frame(spark, rows), 5) == sorted(brute(rows, 5, pm.TOP))
+
+
+def test_width_grows_with_the_text():
+    assert [pm.width(n) for n in (0, 1, 1 << 24, (1 << 24) + 1, 1 << 29, 10**14, 1 << 62)] == [32, 32, 32, 33, 37, 55, 64]
+
+
 def test_products_beyond_64_bits(spark):
     big = 3_000_000_000_000_000
     rows = [("en", 0, "", big * 9), ("en", 1, "a", big + 1), ("en", 1, "b", big + 2), ("en", 2, "a b", big)]
