@@ -1,14 +1,15 @@
 """Toxicity: a factorization machine over hashed terms.
 
 Terms of a text are its words (lower case, without punctuation around them) and their first four and five
-characters, hashed to 32 bits. score = sigmoid(w0 + sum_i w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j) with x_i = 1
-when the term occurs: the pair part learns combinations (an insult together with a group) that no sum of single
-weights can tell apart.
+characters, hashed to 2^``Settings.bits`` buckets. score = sigmoid(w0 + sum_i w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j) over
+the buckets that occur: the pair part learns combinations (an insult together with a group) that no sum of single
+weights can tell apart. x_i, the value of a bucket, is g / (g + ``Settings.prior``) with g its log-likelihood ratio against the
+label, but at least ``Settings.least``: no term is left out, and chance ones of a long text do not add up to a verdict.
 
 Fitting reads at most ``Settings.sample`` labelled ids of each class (the smallest hashes of their ids; those of
-held-out ids never), each with at most ``Settings.texts`` different term sets (an id that repeats, however often). The ``Settings.terms`` terms with the strongest association to the label stay in the model;
-the others have weight 0. Training runs in ``Settings.shards`` tasks, each over its shard, whose parameters are averaged
-after every round; parameters are a table of fixed size.
+held-out ids never), each with at most ``Settings.texts`` different term sets (an id that repeats, however often). Buckets that
+no such text holds have no parameters. Training runs in ``Settings.shards`` tasks, each over its shard, whose parameters are averaged
+after every round; parameters are a table of at most 2^bits rows.
 
 Defined results: a null text is an empty text and gets sigmoid(w0); equal texts get equal scores; without labels
 of both classes every score is the mean label (0 without labels); empty tables give an empty result; repeated rows
@@ -40,41 +41,45 @@ class Settings:
     sample: int = 12_000
     #: different texts of one labelled id that fitting reads at most
     texts: int = 4
-    #: terms with a weight
-    terms: int = 4096
+    #: terms are hashed to 2^bits buckets
+    bits: int = 18
+    #: log-likelihood ratio at which a bucket has half its full value, and the smallest value
+    prior: float = 30.0
+    least: float = 0.05
     factors: int = 8
     shards: int = 4
     rounds: int = 4
-    epochs: int = 8
+    epochs: int = 4
     rate: float = 0.15
     batch: int = 64
     l2: float = 1e-4
-    min_docs: int = 3
     seed: int = 7
 
 
 @dataclass
 class Model:
-    terms: np.ndarray  # sorted hashes
+    terms: np.ndarray  # sorted buckets
     w0: float
-    w: np.ndarray
+    w: np.ndarray  # weights and factors times the bucket's value
     v: np.ndarray
+    bits: int = Settings.bits
 
 
-def hashed_terms(dictionary: pa.Array) -> np.ndarray:
-    """For each word three hashes: the word, its first four and its first five characters (0: none)."""
+def hashed_terms(dictionary: pa.Array, bits: int = Settings.bits) -> np.ndarray:
+    """For each word three buckets from 1 to 2^bits: of the word, its first four and its first five characters (0: none)."""
     word = pc.ascii_trim(pc.utf8_lower(dictionary), "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
     out = np.zeros((len(dictionary), 3), np.uint32)
-    out[:, 0] = [xxhash.xxh32_intdigest(b, 1) if b else 0 for b in word.cast(pa.large_binary()).to_pylist()]
+    bucket = lambda b, seed: 1 + (xxhash.xxh32_intdigest(b, seed) >> 32 - bits)
+    out[:, 0] = [bucket(b, 1) if b else 0 for b in word.cast(pa.large_binary()).to_pylist()]
     for k, size in ((1, 4), (2, 5)):
         long = pc.greater(pc.utf8_length(word), size).to_numpy(zero_copy_only=False)
         cut = pc.utf8_slice_codeunits(word, 0, size).cast(pa.large_binary()).to_pylist()
-        out[:, k] = [xxhash.xxh32_intdigest(b, 2 + k) if has else 0 for b, has in zip(cut, long, strict=True)]
+        out[:, k] = [bucket(b, 2 + k) if has else 0 for b, has in zip(cut, long, strict=True)]
     return out
 
 
 def _presence(w: ts.Words, terms: np.ndarray) -> np.ndarray:
-    """Different (text, term) pairs as text << 32 | term hash."""
+    """Different (text, bucket) pairs as text << 32 | bucket."""
     pairs = np.unique(w.doc * max(1, len(w.dictionary)) + w.idx)
     doc, word = pairs // max(1, len(w.dictionary)), pairs % max(1, len(w.dictionary))
     found = terms[word]
@@ -84,13 +89,13 @@ def _presence(w: ts.Words, terms: np.ndarray) -> np.ndarray:
     return np.unique((doc[keep].astype(np.uint64) << np.uint64(32)) | found[keep].astype(np.uint64))
 
 
-def terms_of_rows(docs: DataFrame) -> DataFrame:
-    """(y, row, terms): the different term hashes of every text, packed."""
+def terms_of_rows(docs: DataFrame, bits: int = Settings.bits) -> DataFrame:
+    """(y, row, terms): the different buckets of every text, packed."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text in text_slices(batches, "text"):
             w = ts.words(text)
-            pairs = _presence(w, hashed_terms(w.dictionary))
+            pairs = _presence(w, hashed_terms(w.dictionary, bits))
             bounds = np.searchsorted(pairs, np.arange(len(text) + 1).astype(np.uint64) << np.uint64(32))
             low = (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             packed = [low[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
@@ -99,8 +104,8 @@ def terms_of_rows(docs: DataFrame) -> DataFrame:
     return docs.select("y", "row", "text").mapInArrow(task, "y double, row long, terms binary")
 
 
-def _strongest(rows: DataFrame, settings: Settings) -> np.ndarray:
-    """Terms with the largest log-likelihood ratio against the label."""
+def _values(rows: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of the rows, sorted, and their values, from 0 to 1 by association with the label."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,12 +122,11 @@ def _strongest(rows: DataFrame, settings: Settings) -> np.ndarray:
 
     counts = rows.select("y", "terms").mapInArrow(count, "term long, a double, n double").groupBy("term").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
     all_n, all_a = rows.agg(F.count("y"), F.sum("y")).first()
-    n, a = F.col("n"), F.col("a")
-    expect = n * (all_a / all_n)
-    part = lambda seen, due: F.when(seen > 0, seen * F.log(seen / due)).otherwise(0.0)
-    counts = counts.where(n >= settings.min_docs).withColumn("g", part(a, expect) + part(n - a, n - expect))
-    best = counts.orderBy(F.desc("g"), "term").limit(settings.terms).select("term").collect()  # fixed size
-    return np.sort(np.array([r.term for r in best], dtype=np.int64).astype(np.uint32))
+    found = counts.toArrow().sort_by("term")  # at most 2^bits rows
+    term, positive, n = (found[c].to_numpy() for c in ("term", "a", "n"))
+    part = lambda seen, due: np.where(seen > 0, seen * np.log(np.maximum(seen, 0.5) / due), 0.0)
+    g = np.maximum(part(positive, n * (all_a / all_n)) + part(n - positive, n * (1 - all_a / all_n)), 0.0)
+    return term.astype(np.uint32), np.maximum(g / (g + settings.prior), settings.least)
 
 
 def _known(packed: list[bytes], terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,12 +153,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
-def _train(places: np.ndarray, bounds: np.ndarray, y: np.ndarray, weight: np.ndarray, start: np.ndarray, s: Settings, seed: int) -> np.ndarray:
-    """AdaGrad over one shard from the given parameters (w0, w, v in one row)."""
+def _train(places: np.ndarray, bounds: np.ndarray, y: np.ndarray, weight: np.ndarray, start: np.ndarray, s: Settings, seed: int, value: np.ndarray | None = None) -> np.ndarray:
+    """AdaGrad over one shard from the given parameters (w0, w, v in one row), where a term counts with its ``value`` (1)."""
     m = (len(start) - 1) // (1 + s.factors)
-    p = start.copy()
+    p = start.astype(np.float64)
     w, v = p[1 : 1 + m], p[1 + m :].reshape(m, s.factors)
     seen = np.full(len(p), 1e-3)
+    seen_w, seen_v = seen[1 : 1 + m], seen[1 + m :].reshape(m, s.factors)
+    value = np.ones(m) if value is None else value
     rng = np.random.default_rng(seed)
     for _ in range(s.epochs):
         order = rng.permutation(len(y))
@@ -162,17 +168,22 @@ def _train(places: np.ndarray, bounds: np.ndarray, y: np.ndarray, weight: np.nda
             n = np.diff(bounds)[batch]
             at = places[np.repeat(bounds[batch] - np.cumsum(n) + n, n) + np.arange(n.sum())]
             b = np.concatenate([[0], np.cumsum(n)])
-            out, total = margin(at, b, p[0], w, v)
+            # Only the terms of the batch move.
+            used, at = np.unique(at, return_inverse=True)
+            x = value[used]
+            scaled = v[used] * x[:, None]
+            out, total = margin(at, b, p[0], w[used] * x, scaled)
             g = (_sigmoid(out) - y[batch]) * weight[batch] / len(batch)
             row = np.repeat(np.arange(len(batch)), n)
-            grad = np.zeros(len(p))
-            grad[0] = g.sum()
-            grad[1 : 1 + m] = np.bincount(at, weights=g[row], minlength=m) + s.l2 * w
-            pull = g[row][:, None] * (total[row] - v[at])
-            gv = np.column_stack([np.bincount(at, weights=pull[:, k], minlength=m) for k in range(s.factors)])
-            grad[1 + m :] = (gv + s.l2 * v).ravel()
-            seen += grad**2
-            p -= s.rate * grad / np.sqrt(seen)
+            pull = g[row][:, None] * (total[row] - scaled[at])
+            step_w = np.bincount(at, weights=g[row], minlength=len(used)) * x + s.l2 * w[used]
+            step_v = np.column_stack([np.bincount(at, weights=pull[:, k], minlength=len(used)) for k in range(s.factors)]) * x[:, None] + s.l2 * v[used]
+            seen[0] += g.sum() ** 2
+            seen_w[used] += step_w**2
+            seen_v[used] += step_v**2
+            p[0] -= s.rate * g.sum() / np.sqrt(seen[0])
+            w[used] -= s.rate * step_w / np.sqrt(seen_w[used])
+            v[used] -= s.rate * step_v / np.sqrt(seen_v[used])
     return p
 
 
@@ -188,7 +199,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", settings: Set
     # At most 2 * sample rows of two numbers: a bounded broadcast, so that no text is shuffled.
     texts = docs.select(F.col("doc_id").cast("long").alias("row"), "text")
     picked = texts.join(F.broadcast(chosen), F.col("row") == F.col("label_id")).select("y", "row", "text")
-    made = terms_of_rows(picked)
+    made = terms_of_rows(picked, s.bits)
     packed = made.columns[2]
     # An id that repeats counts once for each different term set, up to a bound: its copies neither fill a shard nor outweigh others.
     place = F.row_number().over(W.partitionBy("row").orderBy(F.xxhash64(packed), packed))
@@ -198,15 +209,15 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", settings: Set
         first = rows.agg(F.avg("y")).first()[0] or 0.0
         p = min(max(first, 1e-6), 1 - 1e-6)
         return Model(np.zeros(1, np.uint32), float(np.log(p / (1 - p))), np.zeros(1), np.zeros((1, s.factors)))
-    terms = _strongest(rows, s)
+    terms, value = _values(rows, s)
     if not len(terms):
-        terms = np.zeros(1, np.uint32)
+        terms, value = np.zeros(1, np.uint32), np.ones(1)
     m = len(terms)
     share = {k: min(n, s.sample) for k, n in totals.items()}
     weights = np.array([totals[False] / share[False], totals[True] / share[True]])
     weights /= weights.min()
     rng = np.random.default_rng(s.seed)
-    params = np.concatenate([[0.0], np.zeros(m), rng.normal(scale=0.01, size=m * s.factors)])
+    params = np.concatenate([[0.0], np.zeros(m), rng.normal(scale=0.01, size=m * s.factors)]).astype(np.float32)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]  # a shard: about 2 * sample * texts / shards rows of hashes at most
@@ -217,14 +228,15 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", settings: Set
             order = np.lexsort((y, row))
             places, bounds = _known([packed[k] for k in order], terms)
             y = y[order]
-            out = _train(places, bounds, y, weights[(y >= 0.5).astype(int)], params, s, s.seed + turn)
+            out = _train(places, bounds, y, weights[(y >= 0.5).astype(int)], params, s, s.seed + turn, value).astype(np.float32)
             yield pa.RecordBatch.from_arrays([pa.array([len(y)]), pa.array([out.tobytes()], pa.binary())], names=["n", "params"])
 
     shards = rows.repartition(s.shards, "row")
     for turn in range(s.rounds):
         found = shards.mapInArrow(task, "n long, params binary").collect()  # ``shards`` rows of fixed size
-        params = sum(r.n * np.frombuffer(r.params) for r in found) / sum(r.n for r in found)
-    return Model(terms, float(params[0]), params[1 : 1 + m], params[1 + m :].reshape(m, s.factors))
+        params = (sum(r.n * np.frombuffer(r.params, np.float32).astype(np.float64) for r in found) / sum(r.n for r in found)).astype(np.float32)
+    scaled = params[1 + m :].reshape(m, s.factors) * value[:, None]
+    return Model(terms, float(params[0]), params[1 : 1 + m] * value, scaled, s.bits)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -233,7 +245,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, text in text_slices(batches, "text"):
             w = ts.words(text)
-            terms = hashed_terms(w.dictionary)
+            terms = hashed_terms(w.dictionary, model.bits)
             at = np.searchsorted(model.terms, terms)
             hit = (model.terms[np.minimum(at, len(model.terms) - 1)] == terms) & (terms != 0)
             any_hit = hit.any(1)

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from llm_helpers import EDGE, docs_df, prose, rows_of
@@ -32,6 +34,36 @@ def test_gradient_matches_differences():
     assert (np.sign(moved[strong]) == -np.sign(slope[strong])).all()
 
 
+def test_values_scale_the_gradient():
+    """Training with values x is training of w * x and v * x."""
+    s = t.Settings(factors=2, epochs=1, l2=0.0, rate=1e-6)
+    rng = np.random.default_rng(3)
+    start, value = rng.normal(size=1 + 4 + 8), np.array([0.05, 0.5, 1.0, 0.2])
+    places, bounds, y = np.array([0, 1, 3, 2, 3]), np.array([0, 3, 5]), np.array([1.0, 0.0])
+
+    def loss(p):
+        out, _ = t.margin(places, bounds, p[0], p[1:5] * value, p[5:].reshape(4, 2) * value[:, None])
+        return np.mean(np.log1p(np.exp(out)) - y * out)
+
+    moved = t._train(places, bounds, y, np.ones(2), start, s, 0, value) - start
+    slope = np.array([(loss(start + 1e-6 * e) - loss(start - 1e-6 * e)) / 2e-6 for e in np.eye(13)])
+    # AdaGrad's first step is rate * slope / sqrt(slope^2 + 1e-3).
+    assert np.allclose(moved, -1e-6 * slope / np.sqrt(slope**2 + 1e-3), rtol=1e-3, atol=1e-12)
+
+
+def test_no_term_is_left_out(spark):
+    """Far more terms than any bound of before, each in the model with a value, and the frequent insult still decides."""
+    rows = [(k, " ".join([*(f"w{k}x{i}" for i in range(40)), "vermin" if k % 2 else "gentle"])) for k in range(400)]
+    labels = spark.createDataFrame([(k, 1, k % 2) for k, _ in rows], "doc_id long, quality int, toxic int")
+    docs = docs_df(spark, rows)
+    model = t.fit(docs, labels)
+    w = ts.words(pa.array([x for k, x in rows if zlib.crc32(str(k).encode()) % 5], pa.large_string()))
+    seen = np.unique(t.hashed_terms(w.dictionary))
+    assert len(seen) > 10000 and np.array_equal(model.terms, seen[seen != 0])
+    assert np.abs(model.v).max(1).all()
+    assert all((r.score >= 0.5) == bool(r.doc_id % 2) for r in t.score(docs, model).collect())
+
+
 def test_pairs_that_single_weights_cannot_separate(spark):
     """Toxic only when an insult meets a group: either alone is clean."""
     rows, labels = [], []
