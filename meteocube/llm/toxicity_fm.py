@@ -9,7 +9,7 @@ label, but at least ``Settings.least``: no term is left out, and chance ones of
 Fitting reads at most ``Settings.sample`` labelled ids of each class (the smallest hashes of their ids; those of
 held-out ids never), each with at most ``Settings.texts`` different term sets (an id that repeats, however often). Buckets that
 no such text holds have no parameters. Training runs in ``Settings.shards`` tasks, each over its shard, whose parameters are averaged
-after every round; parameters are a table of at most 2^bits rows.
+after every round by chunks, in Spark; parameters are a table of at most 2^bits rows, of which the driver holds one copy.
 
 Defined results: a null text is an empty text and gets sigmoid(w0); equal texts get equal scores; without labels
 of both classes every score is the mean label (0 without labels); empty tables give an empty result; repeated rows
@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ from meteocube.llm import textstats as ts
 from meteocube.llm.common import held_out, materialize, table, text_slices, training_labels
 
 THRESHOLD = 0.5
+#: parameters in a chunk that travels by itself
+CHUNK = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -42,7 +45,7 @@ class Settings:
     #: different texts of one labelled id that fitting reads at most
     texts: int = 4
     #: terms are hashed to 2^bits buckets
-    bits: int = 18
+    bits: int = 17
     #: log-likelihood ratio at which a bucket has half its full value, and the smallest value
     prior: float = 30.0
     least: float = 0.05
@@ -229,12 +232,21 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", settings: Set
             places, bounds = _known([packed[k] for k in order], terms)
             y = y[order]
             out = _train(places, bounds, y, weights[(y >= 0.5).astype(int)], params, s, s.seed + turn, value).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array([len(y)]), pa.array([out.tobytes()], pa.binary())], names=["n", "params"])
+            some = [out[k : k + CHUNK].tobytes() for k in range(0, len(out), CHUNK)]
+            shard = np.full((len(some), 2), [TaskContext.get().partitionId(), len(y)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(some))), pa.array(shard[:, 0]), pa.array(shard[:, 1]), pa.array(some, pa.binary())], names=["chunk", "shard", "n", "params"])
+
+    def mean(t: pa.Table) -> pa.Table:
+        t = t.sort_by("shard")  # a sum in a fixed order
+        parts = np.stack([np.frombuffer(x, np.float32) for x in t["params"].to_pylist()])
+        out = np.average(parts.astype(np.float64), axis=0, weights=t["n"].to_numpy()).astype(np.float32)
+        return pa.table({"chunk": t["chunk"][:1], "params": pa.array([out.tobytes()], pa.binary())})
 
     shards = rows.repartition(s.shards, "row")
     for turn in range(s.rounds):
-        found = shards.mapInArrow(task, "n long, params binary").collect()  # ``shards`` rows of fixed size
-        params = (sum(r.n * np.frombuffer(r.params, np.float32).astype(np.float64) for r in found) / sum(r.n for r in found)).astype(np.float32)
+        found = shards.mapInArrow(task, "chunk long, shard long, n long, params binary").repartition(8, "chunk")
+        found = found.groupBy("chunk").applyInArrow(mean, "chunk long, params binary").collect()  # one row for each CHUNK parameters
+        params = np.concatenate([np.frombuffer(r.params, np.float32) for r in sorted(found, key=lambda r: r.chunk)])
     scaled = params[1 + m :].reshape(m, s.factors) * value[:, None]
     return Model(terms, float(params[0]), params[1 : 1 + m] * value, scaled, s.bits)
 
@@ -251,8 +263,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             any_hit = hit.any(1)
             use = any_hit[w.idx] if len(w.idx) else np.zeros(0, bool)
             doc, word = w.doc[use], w.idx[use]
-            pairs = np.unique((np.repeat(doc, 3) * len(model.terms) + at[word].ravel())[hit[word].ravel()])
-            places, row = pairs % len(model.terms), pairs // len(model.terms)
+            kind = np.uint32 if len(text) * len(model.terms) < 1 << 32 else np.uint64  # half as wide sorts twice as fast
+            pairs = np.unique((np.repeat(doc.astype(kind), 3) * kind(len(model.terms)) + at.astype(kind)[word].ravel())[hit[word].ravel()])
+            places, row = pairs % kind(len(model.terms)), pairs // kind(len(model.terms))
             out, _ = margin(places, np.searchsorted(row, np.arange(len(text) + 1)), model.w0, model.w, model.v)
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(_sigmoid(out))], names=["doc_id", "score"])
 
