@@ -242,11 +242,13 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", settings: Set
         out = np.average(parts.astype(np.float64), axis=0, weights=t["n"].to_numpy()).astype(np.float32)
         return pa.table({"chunk": t["chunk"][:1], "params": pa.array([out.tobytes()], pa.binary())})
 
-    shards = rows.repartition(s.shards, "row")
+    # Dealt once for all rounds, not once for each: rows of fixed number, dealt again from the table if an executor is lost.
+    shards = rows.repartition(s.shards, "row").persist()
     for turn in range(s.rounds):
         found = shards.mapInArrow(task, "chunk long, shard long, n long, params binary").repartition(8, "chunk")
         found = found.groupBy("chunk").applyInArrow(mean, "chunk long, params binary").collect()  # one row for each CHUNK parameters
         params = np.concatenate([np.frombuffer(r.params, np.float32) for r in sorted(found, key=lambda r: r.chunk)])
+    shards.unpersist()
     scaled = params[1 + m :].reshape(m, s.factors) * value[:, None]
     return Model(terms, float(params[0]), params[1 : 1 + m] * value, scaled, s.bits)
 
