@@ -27,7 +27,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -235,19 +234,16 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", settings: Set
     rng = np.random.default_rng(s.seed)
     params = np.concatenate([[0.0], np.zeros(m), rng.normal(scale=0.01, size=m * s.factors)]).astype(np.float32)
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]  # a shard: about 2 * sample * texts / shards rows of hashes at most
-        if held:
-            y = np.concatenate([b.column(0).to_numpy() for b in held])
-            row = np.concatenate([b.column(1).to_numpy() for b in held])
-            packed = [t for b in held for t in b.column(2).to_pylist()]
-            order = np.lexsort((y, row))
-            places, bounds = _known([packed[k] for k in order], terms)
-            y = y[order]
-            out = _train(places, bounds, y, weights[(y >= 0.5).astype(int)], params, s, s.seed + turn, value).astype(np.float32)
-            some = [out[k : k + CHUNK].tobytes() for k in range(0, len(out), CHUNK)]
-            shard = np.full((len(some), 2), [TaskContext.get().partitionId(), len(y)])
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(some))), pa.array(shard[:, 0]), pa.array(shard[:, 1]), pa.array(some, pa.binary())], names=["chunk", "shard", "n", "params"])
+    def train(t: pa.Table) -> pa.Table:
+        """One shard, about 2 * sample * texts / shards rows of buckets at most; its number is no partition's."""
+        y, row, packed = t["y"].to_numpy(), t["row"].to_numpy(), t["terms"].to_pylist()
+        order = np.lexsort((y, row))
+        places, bounds = _known([packed[k] for k in order], terms)
+        y = y[order]
+        out = _train(places, bounds, y, weights[(y >= 0.5).astype(int)], params, s, s.seed + turn, value).astype(np.float32)
+        some = [out[k : k + CHUNK].tobytes() for k in range(0, len(out), CHUNK)]
+        same = lambda x: pa.array(np.full(len(some), x))
+        return pa.table({"chunk": pa.array(np.arange(len(some))), "shard": same(t["shard"][0].as_py()), "n": same(len(y)), "params": pa.array(some, pa.binary())})
 
     def mean(t: pa.Table) -> pa.Table:
         t = t.sort_by("shard")  # a sum in a fixed order
@@ -256,9 +252,9 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", settings: Set
         return pa.table({"chunk": t["chunk"][:1], "params": pa.array([out.tobytes()], pa.binary())})
 
     # Dealt once for all rounds, not once for each: rows of fixed number, dealt again from the table if an executor is lost.
-    shards = rows.repartition(s.shards, "row").persist()
+    shards = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(s.shards))).repartition(s.shards, "shard").persist()
     for turn in range(s.rounds):
-        found = shards.mapInArrow(task, "chunk long, shard long, n long, params binary").repartition(8, "chunk")
+        found = shards.groupBy("shard").applyInArrow(train, "chunk long, shard long, n long, params binary").repartition(8, "chunk")
         found = found.groupBy("chunk").applyInArrow(mean, "chunk long, params binary").collect()  # one row for each CHUNK parameters
         params = np.concatenate([np.frombuffer(r.params, np.float32) for r in sorted(found, key=lambda r: r.chunk)])
     shards.unpersist()
