@@ -122,3 +122,21 @@ def test_one_labelled_id_with_a_third_of_all_rows(spark):
     finally:
         t.materialize = real
     assert made[0].where("row = 3").count() == settings.texts
+
+
+def test_equal_words_and_starts_are_hashed_once(monkeypatch):
+    import pyarrow as pa
+    import xxhash
+
+    from meteocube.llm import toxicity_fm as T
+
+    calls = []
+    real = xxhash.xxh32_intdigest
+    monkeypatch.setattr(T.xxhash, "xxh32_intdigest", lambda b, seed: calls.append((b, seed)) or real(b, seed))
+    words = ["Toxicology", "toxicology,", "(TOXICITY)", "tox", "...", "", "toxié", "toxiéx"]
+    got = T.hashed_terms(pa.array(words, pa.large_string()))
+    assert len(calls) == len(set(calls))
+    bucket = lambda x, seed: 1 + (real(x.encode(), seed) >> 16)
+    plain = ["toxicology", "toxicology", "toxicity", "tox", "", "", "toxié", "toxiéx"]
+    assert got.tolist() == [[bucket(p, 1) if p else 0, bucket(p[:4], 3) if len(p) > 4 else 0, bucket(p[:5], 4) if len(p) > 5 else 0] for p in plain]
+    assert T.hashed_terms(pa.array([], pa.large_string())).shape == (0, 3)
