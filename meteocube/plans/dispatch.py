@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from ..functions.calendar import parse_day
-from ..operators.guard import OK, fetch
+from ..operators.guard import OK, check_result, fetch
 from ..schema import LEVELS, LIMITS, ROW_LIMIT
 from .build import Cube
 from .queries import TIME_COLUMNS, series, snapshot, value_column
@@ -45,12 +45,16 @@ def query(cube: Cube, level: str, metric: str, agg: str, start, end, station: st
 
 
 def answer(cube: Cube, level: str, metric: str, agg: str, start, end, station: str | None = None,
-           cap: int | None = ROW_LIMIT, limits: Mapping[str, int] | None = LIMITS):
+           cap: int | None = ROW_LIMIT, limits: Mapping[str, int] | None = LIMITS, collect: bool = True):
     """The request's answer for a caller: (status, pandas frame or None), evaluated once.
 
-    With ``cap=None`` the whole answer stays distributed: ('ok', ordered DataFrame).
+    With ``cap=None`` the whole answer stays distributed: ('ok', ordered DataFrame). With ``collect=False`` it is
+    counted against the cap and stays distributed and unordered: (status, DataFrame or None).
     """
     if cap is None:
         return OK, query(cube, level, metric, agg, start, end, station, limits=limits)
     df = query(cube, level, metric, agg, start, end, station, ordered=False, limits=limits)
+    if not collect:
+        status = check_result(df, cap)
+        return status, (df if status == OK else None)
     return fetch(df, [c for c in (*TIME_COLUMNS[level], "id") if c in df.columns], cap)
