@@ -59,10 +59,18 @@ def parts(value: str, prefix: str) -> list[Column]:
 def buffers(prefix: str) -> list[Column]:
     """Aggregates over ``parts``: the two sums and the number of readings."""
     c, d = f"`{prefix}_c`", f"`{prefix}_d`"
-    return [F.expr(f"sum({c})").alias(f"{prefix}_sc"), F.expr(f"sum({d})").alias(f"{prefix}_sd"),
+    # Without the filter every reading, most of which have no decimal, would rewrite the decimal buffer.
+    return [F.expr(f"sum({c})").alias(f"{prefix}_sc"), F.expr(f"sum({d}) FILTER (WHERE {d} IS NOT NULL)").alias(f"{prefix}_sd"),
             F.expr(f"count(CASE WHEN {c} IS NOT NULL OR {d} IS NOT NULL THEN 1 END)").alias(f"{prefix}_n"), F.expr(f"count({d})").alias(f"{prefix}_nd")]
 
 
+def merged(prefix: str) -> list[Column]:
+    """Aggregates over ``buffers`` of smaller groups: the buffers of the larger ones."""
+    sc, sd, n, nd = (f"`{prefix}_{x}`" for x in ("sc", "sd", "n", "nd"))
+    return [F.expr(f"sum({sc})").alias(f"{prefix}_sc"), F.expr(f"sum({sd}) FILTER (WHERE {sd} IS NOT NULL)").alias(f"{prefix}_sd"),
+            F.expr(f"sum({n})").alias(f"{prefix}_n"), F.expr(f"sum({nd})").alias(f"{prefix}_nd")]
+
+
 # The quotient of two decimals is itself rounded (to its last place), so the hundredths it gives are checked against the
 # exact remainder and corrected by one. s is (sc, sd, n); t the exact total, k the count, near the hundredths.
 _CORRECTED = f"""CASE

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exact import buffers, finite, mean, parts, rounded
+from ..functions.exact import buffers, finite, mean, merged, parts, rounded
 from ..schema import METRICS
 
 DAILY_KEYS = ("id", "DATE", "year", "month")
@@ -63,25 +63,52 @@ def daily_rollup_join_form(hourly: DataFrame) -> DataFrame:
     return joined.select("id", "DATE", *measures, "year", "month")
 
 
-def _period_rollup(daily: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, list]:
-    """Aggregate buffers per period and the expressions that finish them."""
-    values = {f"_{a}_{m}": f"{a}{m}" for m in METRICS for a in ("avg", "min", "max")}
-    aggregates = [a for v in values for a in buffers(v)]
-    aggregates += [F.min(f"_min_{m}").alias(f"_lo_{m}") for m in METRICS] + [F.max(f"_max_{m}").alias(f"_hi_{m}") for m in METRICS]
+_PERIOD_VALUES = {f"_{a}_{m}": f"{a}{m}" for m in METRICS for a in ("avg", "min", "max")}
+
+
+def _period_outputs() -> list:
     outs = []
     for m in METRICS:
         outs += [mean(f"_avg_{m}").alias(f"avg{m}"), mean(f"_min_{m}").alias(f"avg_min{m}"), F.col(f"_lo_{m}").alias(f"min{m}"),
                  mean(f"_max_{m}").alias(f"avg_max{m}"), F.col(f"_hi_{m}").alias(f"max{m}")]
-    return _with_parts(daily, list(keys), values).groupBy(*keys).agg(*aggregates), outs
+    return outs
+
+
+def _period_sums(daily: DataFrame, keys: tuple[str, ...], gathered: bool) -> DataFrame:
+    """Aggregate buffers per period.
+
+    ``gathered``: whether a period's days lie together, as in a table clustered by month; they are then summed before the
+    exchange. Elsewhere hardly two of them meet in a task, and the buffers, four times as wide as a day, would be shuffled
+    for every day; so the days are, of which a period has at most 366.
+    """
+    aggregates = [a for v in _PERIOD_VALUES for a in buffers(v)]
+    aggregates += [F.min(f"_min_{m}").alias(f"_lo_{m}") for m in METRICS] + [F.max(f"_max_{m}").alias(f"_hi_{m}") for m in METRICS]
+    days = daily if gathered else daily.select(*keys, *_PERIOD_VALUES.values()).repartition(*keys)
+    return _with_parts(days, list(keys), _PERIOD_VALUES).groupBy(*keys).agg(*aggregates)
+
+
+def monthly_sums(daily: DataFrame, gathered: bool = False) -> DataFrame:
+    """The exact buffers per (id, year, month) that both period tables are finished from."""
+    return _period_sums(daily, MONTHLY_KEYS, gathered)
+
+
+def monthly_of(sums: DataFrame) -> DataFrame:
+    """A2 from ``monthly_sums``: no exchange."""
+    return sums.select("id", *_period_outputs(), "year", "month")
+
+
+def yearly_of(sums: DataFrame) -> DataFrame:
+    """A3 from ``monthly_sums``: sums of the daily values, not of rounded monthly ones."""
+    aggregates = [a for v in _PERIOD_VALUES for a in merged(v)]
+    aggregates += [F.min(f"_lo_{m}").alias(f"_lo_{m}") for m in METRICS] + [F.max(f"_hi_{m}").alias(f"_hi_{m}") for m in METRICS]
+    return sums.groupBy(*YEARLY_KEYS).agg(*aggregates).select("id", "year", *_period_outputs())
 
 
 def monthly_rollup(daily: DataFrame) -> DataFrame:
     """A2: (id, year, month) -> 20 measures, from the daily table."""
-    agg, outs = _period_rollup(daily, MONTHLY_KEYS)
-    return agg.select("id", *outs, "year", "month")
+    return monthly_of(monthly_sums(daily))
 
 
 def yearly_rollup(daily: DataFrame) -> DataFrame:
     """A3: (id, year) -> 20 measures, from the daily table (not from monthly)."""
-    agg, outs = _period_rollup(daily, YEARLY_KEYS)
-    return agg.select("id", "year", *outs)
+    return _period_sums(daily, YEARLY_KEYS, gathered=False).select("id", "year", *_period_outputs())

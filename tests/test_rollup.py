@@ -1,8 +1,10 @@
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from meteocube.operators.hourly import hourly_fact, split_rejects
-from meteocube.operators.rollup import daily_rollup, daily_rollup_join_form, monthly_rollup, yearly_rollup
+from meteocube.operators.rollup import daily_rollup, daily_rollup_join_form, monthly_of, monthly_rollup, monthly_sums, yearly_of, yearly_rollup
 
 from helpers import plan_text, raw_df
 
@@ -90,3 +92,34 @@ def test_non_finite_or_off_globe_coordinates_are_rejects(spark):
     ok, bad = split_rejects(raw)
     assert (ok.count(), bad.count()) == (1, 4)
     assert daily_rollup(hourly_fact(raw)).count() == 1   # no ANSI cast failure on the bad rows
+
+
+def _two_years(spark):
+    rows = []
+    for k, (lat, lon) in enumerate([(10.0, 20.0), (11.0, 21.0), (12.0, 22.0)]):
+        for day in range(0, 700, 3):
+            t = dt.datetime(2019, 1, 1) + dt.timedelta(days=day)
+            rows.append((t, lat, lon, 0.37 * day + k, None if day % 2 else 1.005 * k, 1e10 + day / 7, float(day)))
+    return daily_rollup(hourly_fact(raw_df(spark, rows)))
+
+
+def test_periods_shuffle_days_and_not_their_wider_buffers(spark):
+    daily = _two_years(spark)
+    for roll in (monthly_rollup, yearly_rollup):
+        plan = plan_text(roll(daily), "simple")
+        exchange = plan.index("REPARTITION_BY_COL")  # the partial sums come after the days' exchange, without another
+        assert plan.index("partial_sum") < exchange and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_both_periods_come_from_the_monthly_sums(spark):
+    daily = _two_years(spark)
+    for gathered in (False, True):
+        sums = monthly_sums(daily, gathered)
+        rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+        assert rows(monthly_of(sums)) == rows(monthly_rollup(daily)) and rows(yearly_of(sums)) == rows(yearly_rollup(daily))
+        assert len(rows(yearly_of(sums))) == 6
+
+
+def test_decimal_sums_skip_readings_without_one(spark):
+    plan = plan_text(_two_years(spark), "simple")
+    assert plan.count("FILTER") + plan.count("filter (") + plan.count("filter(") >= 4, plan
