@@ -1,7 +1,7 @@
 """The whole build (Q11) and the handle on its stored tables.
 
 raw -> hourly (one pass: the fact partitioned by year and month, rejects in a
-partition of their own) -> daily -> monthly and yearly; and hourly -> distinct
+partition of their own) -> daily -> exact sums per month -> monthly and yearly; and hourly -> distinct
 coordinates -> points (every coordinate with its city) -> locations (one row
 per station key).  Every stage continues from what an earlier stage wrote (K6),
 so a failure re-runs one stage, not the lineage from the raw scan, and each
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..operators.hourly import cells_of, fact_of, rejects_of, stored_hourly
 from ..operators.joins import MAX_BROADCAST_ROWS, bounded_rows
 from ..operators.locations import BASE_CELL_DEG, locate, one_per_station
-from ..operators.rollup import daily_rollup, monthly_rollup, yearly_rollup
+from ..operators.rollup import daily_rollup, monthly_of, monthly_sums, yearly_of
 from ..schema import STORED, TABLES, VIEW_NAMES
 from ..sinks.parquet import materialize, write_sorted, write_table
 from ..sources.raw import read_csv_text, register_views, typed_with_bad_text
@@ -155,10 +155,12 @@ def build(spark: SparkSession, raw: DataFrame, places: DataFrame, root: str, lay
     with ThreadPoolExecutor(max_workers=3) as pool:
         placed = pool.submit(place_stations)  # beside the rollup chain
         daily = materialize(spark, daily_rollup(fact_of(stored)), f"{to}/daily", ("year", "month"), layout, ("id", "DATE"))
+        # Both period tables from one pass over the days.
+        sums = materialize(spark, monthly_sums(daily, gathered=layout == "clustered"), f"{to}/_monthly_sums", (), "small_files")
         _all(
-            pool.submit(write_table, monthly_rollup(daily), f"{to}/monthly", ("year", "month"), layout, ("id",)),
+            pool.submit(write_table, monthly_of(sums), f"{to}/monthly", ("year", "month"), layout, ("id",)),
             # Unpartitioned: the rebalance lets AQE size the files (one file while the table is small).
-            pool.submit(write_table, yearly_rollup(daily), f"{to}/yearly", (), layout, ("id", "year")),
+            pool.submit(write_table, yearly_of(sums), f"{to}/yearly", (), layout, ("id", "year")),
             placed,
         )
     row = spark.createDataFrame([(version, time.time_ns())], _PUBLISHED)

@@ -301,3 +301,37 @@ def test_csv_without_rows(spark, tmp_dir):
         f.write("DATE,TMP\n")
     assert ingest_csv(spark, f"{tmp_dir}/csv", f"{tmp_dir}/raw").collect() == []
     assert {r.column_name: r.n_bad for r in spark.read.parquet(f"{tmp_dir}/raw_bad_text").collect()} == {"DATE": 0, "TMP": 0}
+
+
+@pytest.mark.parametrize("layout", ["clustered", "small_files"])
+def test_period_tables_are_built_from_one_pass_over_the_days(spark, tmp_dir, layout):
+    from meteocube.operators.rollup import monthly_rollup, yearly_rollup
+
+    rows = [(f"2020-{m:02d}-{d:02d} 00:00", 10.0 + s, 20.0, 0.1 * d + s, 1.0 / d, 1e10 + d, None) for m in (1, 2, 3) for d in (1, 9, 20) for s in range(6)]
+    c = build(spark, raw_df(spark, rows).repartition(8), places_df(spark), f"{tmp_dir}/c", layout=layout)
+    both = lambda a, b: sorted(map(tuple, a.select(b.columns).collect())) == sorted(map(tuple, b.collect()))
+    assert both(c.monthly(), monthly_rollup(c.daily())) and both(c.yearly(), yearly_rollup(c.daily()))
+    assert spark.read.parquet(f"{c.root}/_monthly_sums").count() == c.monthly().count() == 18
+
+
+def test_an_answer_within_its_cap_can_stay_distributed(spark, tmp_dir):
+    from meteocube.operators.guard import numbered
+
+    c = many_files(spark, tmp_dir)
+    args = ("daily", "TMP", "avg", "2020-01-01", "2020-01-28")
+    n = 28 * 40
+    status, df = answer(c, *args, cap=n, limits=None, collect=False)
+    assert status == "ok" and not hasattr(df, "itertuples")
+    assert answer(c, *args, cap=n - 1, limits=None, collect=False) == ("Too Large", None)
+    assert answer(c, "daily", "TMP", "avg", "1890-01-01", "1890-01-05", cap=n, collect=False) == ("No Data", None)
+    got = [(r.place, r.DATE, r.id) for r in numbered(df, "DATE", "id").collect()]
+    _, pdf = answer(c, *args, cap=n, limits=None)
+    assert sorted(got) == [(k, d, i) for k, (d, i) in enumerate(zip(pdf["DATE"], pdf["id"]), 1)] and len(got) == n
+
+
+def test_the_guarded_answer_keeps_its_rows_off_the_driver(spark, monkeypatch):
+    from meteocube.plans import catalog, dispatch
+
+    monkeypatch.setattr(dispatch, "fetch", None)
+    got = catalog.q_guarded_answer(spark, "/root/testdata/sf0.001").groupBy("cap_case", "status").count().collect()
+    assert {(r.cap_case, r.status) for r in got} == {("above", "ok"), ("at", "ok"), ("below", "Too Large"), ("empty", "No Data")}
