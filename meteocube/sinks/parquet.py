@@ -39,8 +39,10 @@ def _clustered(df: DataFrame, partition_by: tuple[str, ...], sort_by: tuple[str
                spread: dict[str, Column] | None = None) -> DataFrame:
     spread = spread or {}
     out = df.withColumns(spread).hint("rebalance", *partition_by, *spread) if partition_by else df.hint("rebalance")
-    order = (*partition_by, *sort_by)
-    out = out.sortWithinPartitions(*order) if order else out
+    # A sort evaluates an expression again in every comparison: a day out of a timestamp costs more than the sort.
+    keys = {f"_order_{k}": c for k, c in enumerate(sort_by) if isinstance(c, Column)}
+    order = (*partition_by, *(f"_order_{k}" if isinstance(c, Column) else c for k, c in enumerate(sort_by)))
+    out = out.withColumns(keys).sortWithinPartitions(*order).drop(*keys) if order else out
     return out.drop(*spread) if partition_by else out
 
 

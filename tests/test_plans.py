@@ -92,3 +92,16 @@ def test_generated_methods_are_small_enough_to_compile(spark, name):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     assert sizes and max(sizes) < HUGE_METHOD, sizes
+
+
+def test_sort_keys_are_computed_once_per_row(spark):
+    from pyspark.sql import functions as F
+
+    from meteocube.plans.build import hourly_order, hourly_spread
+    from meteocube.sinks.parquet import _clustered
+
+    df = spark.range(10).select(F.col("id").cast("string").alias("id"), F.timestamp_seconds(F.col("id") * 3600).alias("DATE"),
+                                F.lit(1970).alias("year"), F.lit(1).alias("month"))
+    out = _clustered(df, ("year", "month"), hourly_order(), hourly_spread())
+    sort = next(line for line in plan_text(out, "simple").splitlines() if " Sort [" in line)
+    assert "cast(" not in sort and sort.index("_order_0") < sort.index("id#") and out.columns == df.columns
